@@ -33,7 +33,7 @@ def _let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), 0)
 
 
-def fingerprint(text: Column, k: int = 5, w: int = 16) -> Column:
+def fingerprint(text: Column, k: int = 3, w: int = 8) -> Column:
     """Kept (pos, hash) by position; ``pos`` counts units from 0. Null and empty texts have none.
 
     With fewer hashes than ``w`` there is one window of all of them.
