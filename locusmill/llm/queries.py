@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from locusmill.llm.common import table
 from locusmill.llm.hash_tree import op9_hash_tree
+from locusmill.llm.mixing import op1_source_mix
 from locusmill.llm.secret_index import op10_trigram_index
 from locusmill.llm.winnow import op8_winnowing
 
@@ -15,6 +16,7 @@ from locusmill.llm.winnow import op8_winnowing
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     docs = lambda f: lambda spark, d: f(table(spark, d, "documents"))
     return {
+        "op1_source_mix": docs(op1_source_mix),
         "op8_winnowing": docs(op8_winnowing),
         "op9_hash_tree": docs(op9_hash_tree),
         "op10_trigram_index": docs(op10_trigram_index),
