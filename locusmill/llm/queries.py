@@ -10,6 +10,7 @@ from locusmill.llm.common import table
 from locusmill.llm.hash_tree import op9_hash_tree
 from locusmill.llm.mixing import op1_source_mix
 from locusmill.llm.secret_index import op10_trigram_index
+from locusmill.llm.token_counts import op7_whole_tokens
 from locusmill.llm.winnow import op8_winnowing
 
 
@@ -17,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     docs = lambda f: lambda spark, d: f(table(spark, d, "documents"))
     return {
         "op1_source_mix": docs(op1_source_mix),
+        "op7_whole_tokens": docs(op7_whole_tokens),
         "op8_winnowing": docs(op8_winnowing),
         "op9_hash_tree": docs(op9_hash_tree),
         "op10_trigram_index": docs(op10_trigram_index),
