@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from locusmill.llm.common import table
+from locusmill.llm.curve_packing import op5_curve_packing
 from locusmill.llm.hash_tree import op9_hash_tree
 from locusmill.llm.mixing import op1_source_mix
+from locusmill.llm.quality import op3_llr_rules
 from locusmill.llm.secret_index import op10_trigram_index
 from locusmill.llm.token_counts import op7_whole_tokens
 from locusmill.llm.winnow import op8_winnowing
@@ -18,6 +20,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     docs = lambda f: lambda spark, d: f(table(spark, d, "documents"))
     return {
         "op1_source_mix": docs(op1_source_mix),
+        "op3_llr_rules": op3_llr_rules,
+        "op5_curve_packing": docs(op5_curve_packing),
         "op7_whole_tokens": docs(op7_whole_tokens),
         "op8_winnowing": docs(op8_winnowing),
         "op9_hash_tree": docs(op9_hash_tree),

@@ -66,3 +66,35 @@ def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     index = np.arange(ends[-1] if len(ends) else 0, dtype=np.int64)
     index += np.repeat(starts - (ends - lengths), lengths)
     return flat[index]
+
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection on unsigned 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def string_hashes(names: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each string's bytes, the same in every batch: a polynomial in an odd number, then mixed."""
+    if not len(names):
+        return np.zeros(0, np.uint64)
+    size = pc.binary_length(names).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    raw = np.frombuffer(b"".join(pc.cast(names, pa.binary()).to_pylist()), np.uint8)
+    longest = int(size.max())
+    powers = np.cumprod(np.full(max(1, longest), _STEP | np.uint64(1), np.uint64))
+    at = np.arange(len(raw)) - np.repeat(ends[:-1], size)
+    total = np.concatenate([[np.uint64(0)], np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[at])])
+    return mixed(total[ends[1:]] - total[ends[:-1]] + size.astype(np.uint64) * _STEP)
+
+
+def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of n neighbours: one for each start but the last n - 1."""
+    out = hashes[: max(0, len(hashes) - n + 1)]
+    for k in range(1, n):
+        out = mixed(out * _STEP + hashes[k : len(hashes) - n + 1 + k])
+    return out
