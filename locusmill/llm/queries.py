@@ -10,6 +10,7 @@ from locusmill.llm.common import table
 from locusmill.llm.curve_packing import op5_curve_packing
 from locusmill.llm.hash_tree import op9_hash_tree
 from locusmill.llm.jaccard import op6_combination_prefixes
+from locusmill.llm.katz import op4_katz_backoff
 from locusmill.llm.mixing import op1_source_mix
 from locusmill.llm.quality import op3_llr_rules
 from locusmill.llm.secret_index import op10_trigram_index
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mix": docs(op1_source_mix),
         "op3_llr_rules": op3_llr_rules,
+        "op4_katz_backoff": docs(op4_katz_backoff),
         "op5_curve_packing": docs(op5_curve_packing),
         "op6_combination_prefixes": docs(op6_combination_prefixes),
         "op7_whole_tokens": docs(op7_whole_tokens),
