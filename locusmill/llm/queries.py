@@ -15,6 +15,7 @@ from locusmill.llm.mixing import op1_source_mix
 from locusmill.llm.quality import op3_llr_rules
 from locusmill.llm.secret_index import op10_trigram_index
 from locusmill.llm.token_counts import op7_whole_tokens
+from locusmill.llm.url_graph import op2_trust_spread
 from locusmill.llm.winnow import op8_winnowing
 
 
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     docs = lambda f: lambda spark, d: f(table(spark, d, "documents"))
     return {
         "op1_source_mix": docs(op1_source_mix),
+        "op2_trust_spread": lambda spark, d: op2_trust_spread(table(spark, d, "pages")),
         "op3_llr_rules": op3_llr_rules,
         "op4_katz_backoff": docs(op4_katz_backoff),
         "op5_curve_packing": docs(op5_curve_packing),
