@@ -4,7 +4,8 @@ Shingles are ordered rare ones first, frequent ones last (by a sketch of all doc
 two sets that link, each lacks at most ``t`` of the other's shingles, so both prefixes that need ``t + 1`` losses to lose every
 signature share one. Rare shingles are signatures alone. Frequent ones are dealt into subclasses, and pairs of one subclass are signatures: m
 shingles of a subclass stand for m - 1 losses, so prefixes are extended. Subclasses depend on the size of a set; a set is indexed for its own
-band of sizes and the next, which holds every size it can link with. Candidates are verified on whole sets.
+band of sizes and the next, which holds every size it can link with.
+A candidate pair goes on only if its prefixes share as many shingles as the whole sets would need, and is then verified on whole sets.
 
 Equal sets are one class from the start. In each signature's bucket the members are first verified against the least one (in slices, for frequent
 shingles), and only where a bucket then holds several components are the pairs across components verified, so copies are never paired.
@@ -94,6 +95,12 @@ def signatures(s: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.nd
     return rare, np.concatenate(out)
 
 
+def prefix(s: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles of a set in the common order, one more than it may lack, as positive numbers in that order."""
+    order = (s >> np.uint64(2)) | (frequent.astype(np.uint64) << np.uint64(62))
+    return np.sort(order)[: _losses(len(s), percent) + 1].astype(np.int64)
+
+
 def _scan(n: int, text: str):
     """Pass 1: class and size of each document, and each task's part of the frequency sketch."""
 
@@ -134,29 +141,33 @@ def frequency_sketch(scan: DataFrame) -> np.ndarray:
     return out
 
 
+SIGNED = ["sig", "salt", "cls", "n", "prefix"]
+
+
 def _sign(n: int, percent: int, text: str, often):
-    """Pass 2: the signatures of each class, once a batch."""
+    """Pass 2: the signatures of each class, and in a row without signature its prefix, once a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(often.value, np.uint8)).astype(bool)
         for b in slices(batches, text):
             seen: set[bytes] = set()
-            keys, sizes, rare, pairs = [], [], [], []
+            keys, sizes, rare, pairs, firsts = [], [], [], [], []
             for s in shingle_sets(word_codes(b.column(text), lower=True), n):
                 if not len(s) or (key := set_key(s)) in seen:
                     continue
                 seen.add(key)
-                x, y = signatures(s, bits[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], percent)
-                keys.append(key), sizes.append(len(s)), rare.append(x), pairs.append(y)
+                frequent = bits[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                x, y = signatures(s, frequent, percent)
+                keys.append(key), sizes.append(len(s)), rare.append(x), pairs.append(y), firsts.append(prefix(s, frequent, percent))
             per = np.array([len(x) + len(y) for x, y in zip(rare, pairs)], np.int64)
             sig = np.concatenate([*(z for x, y in zip(rare, pairs) for z in (x, y)), np.zeros(0, np.uint64)])
             hot = np.concatenate([*(np.repeat([False, True], [len(x), len(y)]) for x, y in zip(rare, pairs)), np.zeros(0, bool)])
             who = np.repeat(np.arange(len(keys)), per)
-            salt = np.where(hot, 1 + np.array([k[0] % SALTS for k in keys], np.int32)[who] if len(keys) else 0, 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sig.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(keys, pa.binary()).take(pa.array(who)), pa.array(np.array(sizes, np.int64)[who] if len(keys) else [], pa.int64())],
-                ["sig", "salt", "cls", "n"],
-            )
+            salt = np.where(hot, 1 + np.array([k[0] % SALTS for k in keys], np.int32)[who], 0)
+            all_keys, all_sizes, k = pa.array(keys, pa.binary()), np.array(sizes, np.int64), len(keys)
+            columns = [pa.array(sig.view(np.int64)), pa.array(salt.astype(np.int32)), all_keys.take(pa.array(who)), pa.array(all_sizes[who]), pa.nulls(len(sig), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, SIGNED)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), all_keys, pa.array(all_sizes), pa.array(firsts, pa.list_(pa.int64()))], SIGNED)
 
     return run
 
@@ -197,11 +208,31 @@ def _set_filter(classes: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+def _plausible(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and prefixes allow a link.
+
+    Common shingles up to the end of the prefix that ends first are in both prefixes, so the sets have at most those and what follows that prefix in common.
+    """
+    side = lambda k: prefixes.select(F.col("cls").alias(k), F.col("n").alias(f"_n{k}"), F.col("prefix").alias(f"_p{k}"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    rest = F.when(F.element_at("_pa", -1) <= F.element_at("_pb", -1), F.col("_na") - F.size("_pa")).otherwise(F.col("_nb") - F.size("_pb"))
+    most = F.size(F.array_intersect("_pa", "_pb")) + rest
+    sizes = percent * F.greatest("_na", "_nb") <= 100 * F.least("_na", "_nb")
+    return met.filter(sizes & ((100 + percent) * most >= percent * (F.col("_na") + F.col("_nb")))).select("a", "b")
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, prefixes: DataFrame, n: int, percent: int, text: str) -> DataFrame:
+    """The pairs (a, b) of classes whose whole sets link, as a table."""
+    pairs = written(_plausible(pairs, prefixes, percent), "jaccard-plausible")
+    if pairs.isEmpty():
+        return pairs
+    classes = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    wanted = docs.sparkSession.sparkContext.broadcast(_set_filter(classes))
+    sets = docs.mapInArrow(_send_sets(n, text, wanted), StructType([StructField("cls", prefixes.schema["cls"].dataType), StructField("shingles", ArrayType(LongType()))]))
+    sets = written(sets.join(classes, "cls", "left_semi").dropDuplicates(["cls"]), "jaccard-sets")
     met = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("_a")), "a").join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("_b")), "b")
     both = F.size(F.array_intersect("_a", "_b"))
-    return met.filter(100 * both >= percent * (F.size("_a") + F.size("_b") - both)).select("a", "b")
+    return written(met.filter(100 * both >= percent * (F.size("_a") + F.size("_b") - both)).select("a", "b"), "jaccard-links")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
@@ -220,7 +251,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     counts = frequency_sketch(scan)
     often = spark.sparkContext.broadcast(np.packbits(counts > max(64, 4 * int(counts.mean()))).tobytes())
 
-    signed = docs.mapInArrow(_sign(n, percent, text, often), "sig long, salt int, cls binary, n long")
+    signed = written(docs.mapInArrow(_sign(n, percent, text, often), "sig long, salt int, cls binary, n long, prefix array<long>"), "jaccard-signatures")
+    prefixes = signed.filter("prefix IS NOT NULL").select("cls", "n", "prefix").dropDuplicates(["cls"])
+    signed = signed.filter("prefix IS NULL").select("sig", "salt", "cls", "n")
     bucket = Window.partitionBy("sig", "salt")
     starred = signed.withColumn("hub", F.min("cls").over(bucket)).withColumn("top", F.max("cls").over(bucket))
     # copies from several tasks are one member
@@ -233,11 +266,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     tried = written(stars.distinct(), "jaccard-pairs")
     several = members.groupBy("sig").agg(F.min("cls").alias("_a"), F.max("cls").alias("_b")).filter("_a <> _b").select("sig")
     members = written(members.join(several, "sig").select("sig", "cls", "n"), "jaccard-buckets")
-    wanted = spark.sparkContext.broadcast(_set_filter(members.select("cls").distinct()))
-    sets = docs.mapInArrow(_send_sets(n, text, wanted), StructType([StructField("cls", rows.schema["cls"].dataType), StructField("shingles", ArrayType(LongType()))]))
-    sets = written(sets.join(members.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "jaccard-sets")
-
-    links = written(_linked(tried, sets, percent), "jaccard-links")
+    links = _linked(tried, docs, prefixes, n, percent, text)
     comps = components(links, "a", "b")
     # buckets that hold several components still: pairs across them
     held = members.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
@@ -246,7 +275,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     ratio = F.lit(percent) * F.greatest("x.n", "y.n") <= 100 * F.least("x.n", "y.n")
     across = held.alias("x").join(held.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") < F.col("y.comp")) & ratio)
     across = across.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = written(_linked(across, sets, percent), "jaccard-more")
+    more = _linked(across, docs, prefixes, n, percent, text)
     if not more.isEmpty():
         comps = components(links.union(more), "a", "b")
 
