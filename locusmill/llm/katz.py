@@ -27,8 +27,8 @@ END, START = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 #: Counts up to this are discounted.
 LAST = 5
 #: Text for one partition of the model.
-PART_MB = 50
-CHUNK_MB = 16
+PART_MB = 32
+CHUNK_MB = 8
 
 
 def held_out(doc_id) -> bool:
@@ -85,21 +85,22 @@ def _send(parts: int, text: str):
         chunk = TaskContext.get().partitionId() << 24
         for b in slices(batches, text, mb=CHUNK_MB):
             w = word_codes(b.column(text), lower=True)
-            n, docs = b.num_rows, w.doc.astype(np.int64)
+            n, docs = b.num_rows, w.doc
             ids = b.column("doc_id").to_pylist()
             names = np.concatenate([string_hashes(w.names), [END, START]]).astype(np.uint64)
             v = len(names)
             # tokens: the words and an end for each text; histories: the token before, or the start
-            tok = np.full(len(w.codes) + n, v - 2, np.int64)
+            tok = np.full(len(w.codes) + n, v - 2, np.int32)
             tok[np.arange(len(w.codes)) + docs] = w.codes
-            hist = np.concatenate([[v - 1], tok[:-1]])
+            hist = np.concatenate([np.array([v - 1], np.int32), tok[:-1]])
             hist[w.offsets[:-1] + np.arange(n)] = v - 1
-            doc = np.repeat(np.arange(n), w.lengths + 1)
+            doc = np.repeat(np.arange(n, dtype=np.int32), w.lengths + 1)
             to = (mixed(names) % np.uint64(parts)).astype(np.int64)
             by_part = np.argsort(to, kind="stable")
             rank = np.empty(v, np.int64)
             rank[by_part] = np.arange(v)
             key = rank[hist] * v + tok
+            del tok, hist, docs
             order = np.argsort(key, kind="stable")
             key, doc = key[order], doc[order]
             start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
