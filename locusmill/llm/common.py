@@ -29,6 +29,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed(df: DataFrame, column: str, out: str) -> DataFrame:
+    """``df`` with ``out``, a long that no two rows share: ``column`` where it is one already, else numbers fixed in a table."""
+    rows, ids = df.agg(F.count(F.lit(1)), F.countDistinct(column)).first()
+    if rows == ids and df.schema[column].dataType.simpleString() in ("int", "bigint"):
+        return df.withColumn(out, F.col(column).cast("long"))
+    return written(df.withColumn(out, F.monotonically_increasing_id()), "keyed")
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

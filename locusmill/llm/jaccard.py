@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from locusmill.llm.common import written
+from locusmill.llm.common import keyed, written
 from locusmill.llm.components import components
 from locusmill.llm.words import Words, gram_hashes, mixed, slices, string_hashes, word_codes
 
@@ -284,6 +284,17 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     return placed.join(least, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` but for near duplicates: of each component, the row with the least doc_id stays.
+
+    Texts without words are never duplicates. With repeated or null ids, the first row in the table's order stays.
+    """
+    rows = keyed(docs, "doc_id", "_key")
+    found = near_duplicates(rows.select(F.col("_key").alias("doc_id"), F.col(text)), n, percent, text)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_key"))
+    return rows.join(gone, "_key", "left_anti").select(docs.columns)
+
+
 def op6_combination_prefixes(docs: DataFrame) -> DataFrame:
     """The contract's query."""
     return near_duplicates(docs, n=3, percent=90)

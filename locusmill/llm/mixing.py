@@ -9,14 +9,16 @@ The last slot of a source is cut to the words that its target still needs.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from locusmill.llm.common import n_words, running_start, written
+from locusmill.llm.common import WORD, keyed, n_words, running_start, written
 
 SEED = 20240601
 
@@ -196,3 +198,36 @@ def op1_source_mix(docs: DataFrame, block_words: int = 256) -> DataFrame:
     taken = met.groupBy("p._rank", "p._start").agg(F.sum(words).alias("taken"))
     out = placed.alias("a").join(taken.alias("b"), (F.col("a._rank") == F.col("b._rank")) & (F.col("a._start") == F.col("b._start")) & (F.col("a.size") > 0), "left")
     return out.select("a.doc_id", "a.size", "a.source_size", "a.target", F.coalesce("b.taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def _cut_words(texts: pd.Series, lows: pd.Series, highs: pd.Series, sizes: pd.Series) -> pd.Series:
+    """Words ``low`` to ``high`` of each text of ``size`` words, with what stands between them; all words are the whole text."""
+    word, out = re.compile(WORD), []
+    for t, lo, hi, n in zip(texts, lows, highs, sizes):
+        if hi - lo < n:
+            at = list(islice(word.finditer(t), int(lo), int(hi)))
+            t = t[at[0].start() : at[-1].end()]
+        out.append(t)
+    return pd.Series(out)
+
+
+def mixed_documents(docs: DataFrame, source: str, weights: tuple[float, ...], cap: float = 3.0, block_words: int = 256, text: str = "text") -> DataFrame:
+    """What the mix takes, as documents: the columns of ``docs``, with the whole text or a stretch of its words.
+
+    A document taken twice and a half gives two rows and a part. Neighbouring blocks of a document that are taken equally often
+    stay one stretch. Texts without words are in no row. Columns keep their values, but for the text.
+    """
+    rows = keyed(docs, "doc_id", "_key")
+    plan, _, takes = mix_plan(rows.select("_key", source, n_words(F.col(text)).alias("size")), source, ["_key", "size"], F.col("size"), weights, cap, block_words)
+    p, used = pieces(plan, block_words).alias("p"), takes.groupBy("rank", "block").agg(F.sort_array(F.collect_list("took"), asc=False).alias("tooks")).alias("u")
+    met = p.join(used, (F.col("p._rank") == F.col("u.rank")) & (F.col("p.block") == F.col("u.block")))
+    # the n-th time that a block is taken goes with the n-th time of the next block
+    each = met.select(F.col("p._key").alias("_key"), "p.size", "p.lo", "p.hi", "p._start", F.col("p.block").alias("block"), F.posexplode("u.tooks").alias("time", "took"))
+    base = F.col("block") * block_words - F.col("_start")
+    each = each.select("_key", "size", "time", (base + F.col("lo")).alias("a"), (base + F.least("took", "hi")).alias("z")).filter("z > a")
+    order = Window.partitionBy("_key", "time").orderBy("a")
+    each = each.withColumn("new", (F.coalesce(F.lag("z").over(order), F.lit(-1)) != F.col("a")).cast("int"))
+    each = each.withColumn("stretch", F.sum("new").over(order))
+    found = each.groupBy("_key", F.col("size").alias("_words"), "time", "stretch").agg(F.min("a").alias("_a"), F.max("z").alias("_z"))
+    cut = F.pandas_udf(_cut_words, "string")
+    return rows.join(found, "_key").withColumn(text, cut(F.col(text), F.col("_a"), F.col("_z"), F.col("_words"))).select(docs.columns)
