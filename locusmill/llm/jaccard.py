@@ -26,7 +26,7 @@ from locusmill.llm.common import keyed, written
 from locusmill.llm.components import components
 from locusmill.llm.words import Words, gram_hashes, mixed, slices, string_hashes, word_codes
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 SKETCH_PARTS = 64
 #: Slices of a bucket of frequent shingles.
 SALTS = 32
@@ -105,7 +105,7 @@ def _scan(n: int, text: str):
     """Pass 1: class and size of each document, and each task's part of the frequency sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int32)
+        sketch = np.zeros(1 << SKETCH_BITS, np.int32)  # 16 MB
         for b in slices(batches, text):
             sets = list(shingle_sets(word_codes(b.column(text), lower=True), n))
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
@@ -115,7 +115,7 @@ def _scan(n: int, text: str):
                 [b.column("doc_id"), pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(b.num_rows, pa.int32()), empty],
                 ["doc_id", "cls", "n", "part", "counts"],
             )
-        parts = [x.astype("<i4").tobytes() for x in np.split(sketch, SKETCH_PARTS)]
+        parts = [x.astype("<u2").tobytes() for x in np.split(np.minimum(sketch, 0xFFFF), SKETCH_PARTS)]  # more is frequent anyhow
         k = len(parts)
         yield pa.RecordBatch.from_arrays([pa.nulls(k, docs_type), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()), pa.array(range(k), pa.int32()), pa.array(parts, pa.binary())], ["doc_id", "cls", "n", "part", "counts"])
 
@@ -127,17 +127,22 @@ def _add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
     total = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.int64)
     for b in batches:
         for x in b.column("counts").to_pylist():
-            total += np.frombuffer(x, "<i4")
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.astype("<i8").tobytes()], pa.binary())], ["part", "counts"])
+            total += np.frombuffer(x, "<u2")
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(total, 0x7FFFFFFF).astype("<i4").tobytes()], pa.binary())], ["part", "counts"])
+
+
+def frequent_above(mean: float) -> float:
+    """Buckets with more than this hold a frequent shingle: chance alone hardly puts so many rare ones together."""
+    return max(32.0, mean + 8 * math.sqrt(mean))
 
 
 def frequency_sketch(scan: DataFrame) -> np.ndarray:
-    """Shingles of all documents by hash bucket: 2 ** SKETCH_BITS counts (8 MB) come to the driver, whatever the corpus."""
+    """Shingles of all documents by hash bucket: 2 ** SKETCH_BITS counts (16 MB) come to the driver, whatever the corpus."""
     parts = scan.filter("part IS NOT NULL").select("part", "counts").groupBy("part").applyInArrow(_add_up, "part int, counts binary")
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
+    out = np.zeros(1 << SKETCH_BITS, np.int32)
     step = len(out) // SKETCH_PARTS
     for r in parts.collect():
-        out[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(r["counts"], "<i8")
+        out[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(r["counts"], "<i4")
     return out
 
 
@@ -249,31 +254,30 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     scan = written(docs.mapInArrow(_scan(n, text), "doc_id long, cls binary, n long, part int, counts binary"), "jaccard-scan")
     rows = scan.filter("part IS NULL").select("doc_id", "cls", "n")
     counts = frequency_sketch(scan)
-    often = spark.sparkContext.broadcast(np.packbits(counts > max(64, 4 * int(counts.mean()))).tobytes())
+    often = spark.sparkContext.broadcast(np.packbits(counts > frequent_above(float(counts.mean()))).tobytes())
 
     signed = written(docs.mapInArrow(_sign(n, percent, text, often), "sig long, salt int, cls binary, n long, prefix array<long>"), "jaccard-signatures")
     prefixes = signed.filter("prefix IS NOT NULL").select("cls", "n", "prefix").dropDuplicates(["cls"])
     signed = signed.filter("prefix IS NULL").select("sig", "salt", "cls", "n")
     bucket = Window.partitionBy("sig", "salt")
-    starred = signed.withColumn("hub", F.min("cls").over(bucket)).withColumn("top", F.max("cls").over(bucket))
-    # copies from several tasks are one member
-    members = written(starred.filter("salt > 0 OR hub <> top").select("sig", "salt", "cls", "n", "hub").distinct(), "jaccard-members")
-    hubs = members.filter("salt > 0").select("sig", "hub").distinct()
-    tops = hubs.groupBy("sig").agg(F.min("hub").alias("a"), F.max("hub").alias("_top")).filter("a <> _top").drop("_top")
-    stars = members.filter("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).union(
-        hubs.join(tops, "sig").filter("hub <> a").select("a", F.col("hub").alias("b"))
-    )
-    tried = written(stars.distinct(), "jaccard-pairs")
-    several = members.groupBy("sig").agg(F.min("cls").alias("_a"), F.max("cls").alias("_b")).filter("_a <> _b").select("sig")
-    members = written(members.join(several, "sig").select("sig", "cls", "n"), "jaccard-buckets")
+    starred = signed.withColumn("hub", F.min(F.struct("cls", "n")).over(bucket)).withColumn("top", F.max("cls").over(bucket))
+    # copies from several tasks are one member; a bucket's rows are together, so that takes no shuffle
+    members = starred.filter("salt > 0 OR hub.cls <> top").select("sig", "salt", "cls", "n", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n")).distinct()
+    members = written(members, "jaccard-members")
+    fits = lambda x, y: percent * F.greatest(x, y) <= 100 * F.least(x, y)
+    stars = members.filter("cls <> hub").filter(fits("n", "hub_n")).select(F.col("hub").alias("a"), F.col("cls").alias("b"))
+    hubs = members.filter("salt > 0").select("sig", "hub", "hub_n").distinct()
+    tops = hubs.groupBy("sig").agg(F.min(F.struct("hub", "hub_n")).alias("t"), F.max("hub").alias("_top")).filter("t.hub <> _top")
+    tied = hubs.join(tops, "sig").filter("hub <> t.hub").filter(fits(F.col("hub_n"), F.col("t.hub_n")))
+    tried = written(stars.union(tied.select(F.col("t.hub").alias("a"), F.col("hub").alias("b"))).distinct(), "jaccard-pairs")
+    members = members.select("sig", "cls", "n")
     links = _linked(tried, docs, prefixes, n, percent, text)
     comps = components(links, "a", "b")
     # buckets that hold several components still: pairs across them
     held = members.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
     open_ = held.groupBy("sig").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).filter("_a <> _b").select("sig")
     held = held.join(open_, "sig")
-    ratio = F.lit(percent) * F.greatest("x.n", "y.n") <= 100 * F.least("x.n", "y.n")
-    across = held.alias("x").join(held.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") < F.col("y.comp")) & ratio)
+    across = held.alias("x").join(held.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") < F.col("y.comp")) & fits("x.n", "y.n"))
     across = across.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     more = _linked(across, docs, prefixes, n, percent, text)
     if not more.isEmpty():
