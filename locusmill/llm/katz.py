@@ -27,7 +27,7 @@ END, START = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 #: Counts up to this are discounted.
 LAST = 5
 #: Text for one partition of the model.
-PART_MB = 32
+PART_MB = 16
 CHUNK_MB = 8
 
 
