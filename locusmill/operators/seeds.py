@@ -1,0 +1,84 @@
+"""Target sites by seed match, their context, and counts."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from locusmill.functions.sequences import flank_au, part, reverse_complement
+
+# Site classes, strongest first, and the bases each spans before and after t1.
+CLASSES = ("8mer", "7mer-m8", "7mer-A1", "6mer", "offset-6mer")
+SPANS = {"8mer": (-7, 1), "7mer-m8": (-7, 0), "7mer-A1": (-6, 1), "6mer": (-6, 0), "offset-6mer": (-7, -1)}
+
+
+def class_rank(c: Column) -> Column:
+    at = F.array_position(F.array(*map(F.lit, CLASSES)), c)
+    return F.when(at == 0, len(CLASSES) + 1).otherwise(at)
+
+
+def sites(guides: DataFrame, targets: DataFrame, classes: tuple[str, ...] = CLASSES) -> DataFrame:
+    """guide_id, seq_id, start, end, t1, site_class of guides (guide_id, guide) on targets (seq_id, sequence), T for U on both.
+
+    Six-mers of the targets meet the complements of guide bases 2-7 and 3-8; each meeting names the target base t1 opposite guide
+    base 1, and the strongest class that holds there is the site's. Classes not asked for are dropped after that. Guides under 8 bases have none.
+    """
+    g = guides.filter(F.char_length("guide") >= 8)
+    seed = lambda a, b: reverse_complement(part(F.col("guide"), a, b))
+    keys = g.select("guide_id", "guide", F.explode(F.array(F.struct(seed(2, 7).alias("six"), F.lit(6).alias("to")), F.struct(seed(3, 8).alias("six"), F.lit(7).alias("to")))).alias("k"))
+    keys = keys.select("guide_id", "guide", "k.six", "k.to")
+    at = F.explode(F.sequence(F.lit(0), F.char_length("sequence") - 6)).alias("at")
+    mers = targets.filter(F.char_length("sequence") >= 6).select("seq_id", "sequence", at).withColumn("six", F.substring("sequence", F.col("at") + 1, F.lit(6)))
+    met = keys.join(mers.select("seq_id", "six", "at"), "six").select("guide_id", "guide", "seq_id", (F.col("at") + F.col("to")).alias("t1")).distinct()
+    met = met.join(targets.select("seq_id", "sequence"), "seq_id")
+    # the target before t1, read against guide bases 2 to 8, and the base at t1
+    back = lambda a, b: (F.col("t1") >= b - 1) & (F.substring("sequence", F.col("t1") - b + 2, F.lit(b - a + 1)) == seed(a, b))
+    a1 = F.substring("sequence", F.col("t1") + 1, F.lit(1)) == "A"
+    m7, m8 = back(2, 7), back(2, 8)
+    cls = F.when(m8 & a1, "8mer").when(m8, "7mer-m8").when(m7 & a1, "7mer-A1").when(m7, "6mer").when(back(3, 8), "offset-6mer")
+    rows = met.withColumn("site_class", cls).filter(F.col("site_class").isin(*classes))
+    spans = F.create_map(*[x for c, (a, b) in SPANS.items() for x in (F.lit(c), F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")))])
+    return rows.select("guide_id", "seq_id", (F.col("t1") + spans[F.col("site_class")]["a"]).alias("start"), (F.col("t1") + spans[F.col("site_class")]["b"]).alias("end"), "t1", "site_class")
+
+
+def supplementary_pairing(guide: Column, sequence: Column, t1: Column) -> Column:
+    """The longest run of complementary bases opposite guide bases 13 to 16, over five offsets of the target; 0 for guides under 16 bases."""
+    # opposite guide base i (from 1) at offset o lies target base t1 - (i - 1) - o
+    pairs = lambda i, o: F.when(t1 - i + 1 - o < 0, False).otherwise(F.coalesce(F.translate(F.substring(guide, i, 1), "ACGT", "TGCA") == F.substring(sequence, (t1 - i + 2 - o).cast("int"), F.lit(1)), F.lit(False)))
+    runs = []
+    for o in range(5):
+        run, best = F.lit(0), F.lit(0)
+        for i in range(13, 17):
+            run = F.when(pairs(i, o), run + 1).otherwise(0)
+            best = F.greatest(best, run)
+        runs.append(best)
+    return F.when(F.char_length(guide) < 16, 0).otherwise(F.greatest(*runs))
+
+
+def with_context(found: DataFrame, regions: DataFrame) -> DataFrame:
+    """Every region that has a site's sequence, with distances from its ends and the A/U share around. ``regions``: seq_id, region_id, region, sequence."""
+    rows = found.join(regions, "seq_id")
+    n = F.char_length("sequence")
+    rows = rows.withColumn("dist_5p", F.col("start")).withColumn("dist_3p", n - F.col("end"))
+    near = (F.col("region") == "3UTR") & (F.col("start") < 15)
+    return rows.withColumn("au_flanks", flank_au(F.col("sequence"), F.col("start"), F.col("end"))).withColumn("near_stop", near)
+
+
+def distinct_sequences(regions: DataFrame) -> DataFrame:
+    """seq_id (a digest), sequence: each once."""
+    return regions.select(F.sha2("sequence", 256).alias("seq_id"), "sequence").distinct()
+
+
+def class_counts(found: DataFrame, guides: DataFrame) -> DataFrame:
+    """candidate, decoy, site_class, n of every guide and class, zeros too. ``guides``: guide_id, candidate, decoy (its number, null: real)."""
+    frame = guides.select("guide_id", "candidate", "decoy", F.explode(F.array(*map(F.lit, CLASSES))).alias("site_class"))
+    n = found.groupBy("guide_id", "site_class").agg(F.count(F.lit(1)).alias("n"))
+    return frame.join(n, ["guide_id", "site_class"], "left").select("candidate", "decoy", "site_class", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+def target_summary(hits: DataFrame) -> DataFrame:
+    """candidate, transcript, gene: sites, best_class and sites of each class."""
+    rows = hits.groupBy("candidate", "transcript", "gene").agg(
+        F.count(F.lit(1)).alias("sites"), F.min_by("site_class", class_rank(F.col("site_class"))).alias("best_class"), *[F.count_if(F.col("site_class") == c).alias("n_" + c.replace("-", "_")) for c in CLASSES]
+    )
+    return rows
