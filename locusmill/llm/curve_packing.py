@@ -73,7 +73,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text")
     kept = [c for c in docs.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, text):
+        for b in slices(batches, text, mb=16):
             w = word_codes(b.column(text))
             flat, at = encode_words(w.names, spec.value)
             per = np.diff(at)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusmill.llm.words import mixed, slices, string_hashes, sums, word_codes
+from locusmill.llm.words import give_back, mixed, slices, string_hashes, sums, word_codes
 
 END, START = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 #: Counts up to this are discounted.
@@ -173,6 +173,7 @@ def _ask(parts: int):
             mine = to == p
             row = {"to": p, "part": key[0].as_py(), "names": names[mine].tobytes(), "counts": _small(count[mine]), "types": pair_types.tobytes() if p == 0 else None}
             yield pa.RecordBatch.from_pylist([row], _schema(ASKED))
+        give_back()
 
     return run
 
@@ -258,6 +259,8 @@ def _score(sent: pa.Table, answers: pa.Table) -> pa.Table:
             some, of = np.unique(docs, return_inverse=True)
             values = np.stack([np.bincount(of, x, len(some)) for x in each])
             out.append({"chunk": r["chunk"], "docs": _small(some), "values": values.tobytes(), "ids": r["ids"], "sizes": r["sizes"], "n": model.n})
+    del rows, got
+    give_back()
     return pa.Table.from_pylist(out, _schema(SCORED))
 
 

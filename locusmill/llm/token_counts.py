@@ -30,7 +30,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFra
     spec = docs.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, text):
+        for b in slices(batches, text, mb=16):
             w = word_codes(b.column(text))
             _, offsets = encode_words(w.names, spec.value)
             n = sums(np.diff(offsets)[w.codes], w.offsets)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,8 +43,23 @@ def word_codes(texts: pa.Array, lower: bool = False) -> Words:
     return Words(coded.indices.to_numpy(zero_copy_only=False), before[ends], coded.dictionary)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, mb: float = 24) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return freed memory to the system: a worker is used again for later tasks and would keep its peak."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, mb: float = 8) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that each has about ``mb`` MB of text at most, or one row."""
+    yield from _slices(batches, column, mb)
+    give_back()
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: str, mb: float) -> Iterator[pa.RecordBatch]:
     for b in batches:
         size = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         if not len(size):
