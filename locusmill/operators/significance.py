@@ -19,7 +19,7 @@ def site_count_fdr(counts: DataFrame) -> DataFrame:
     real, decoy = F.when(F.col("decoy").isNull(), F.col("n")), F.when(F.col("decoy").isNotNull(), F.col("n"))
     out = rows.groupBy("candidate", "site_class").agg(F.coalesce(F.sum(real), F.lit(0)).alias("real_sites"), F.coalesce(F.avg(decoy), F.lit(0.0)).alias("decoy_mean"), F.coalesce(F.stddev_pop(decoy), F.lit(0.0)).alias("decoy_sd"))
     positive = lambda c: F.when(F.col(c) > 0, F.col(c))
-    return out.withColumn("enrichment", F.col("real_sites") / positive("decoy_mean")).withColumn("fdr", F.least(F.lit(1.0), F.col("decoy_mean") / positive("real_sites")))
+    return out.withColumn("enrichment", F.col("real_sites") / positive("decoy_mean")).withColumn("fdr", F.when(F.col("real_sites") > 0, F.least(F.lit(1.0), F.col("decoy_mean") / F.col("real_sites"))))
 
 
 def q_values(scores: DataFrame, keys: list[str], score: str, n_decoys: int, pseudo: int = 0, higher_is_better: bool = False) -> DataFrame:
