@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
@@ -101,6 +101,18 @@ def prefix(s: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     return np.sort(order)[: _losses(len(s), percent) + 1].astype(np.int64)
 
 
+#: Bits of a set's parity map.
+PARITY_BITS = 256
+#: Least signatures of a set that are kept with it.
+LEAST = 8
+
+
+def parity(s: np.ndarray) -> np.ndarray:
+    """Each shingle flips one bit: the maps of two sets differ in at most as many bits as the sets in shingles."""
+    bit = (mixed(s ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(PARITY_BITS)).astype(np.int64)
+    return np.packbits(np.bincount(bit, minlength=PARITY_BITS) & 1).view(">i8").astype(np.int64)
+
+
 def _scan(n: int, text: str):
     """Pass 1: class and size of each document, and each task's part of the frequency sketch."""
 
@@ -146,7 +158,7 @@ def frequency_sketch(scan: DataFrame) -> np.ndarray:
     return out
 
 
-SIGNED = ["sig", "salt", "cls", "n", "prefix"]
+SIGNED = ["sig", "salt", "cls", "n", "prefix", "parity", "least"]
 
 
 def _sign(n: int, percent: int, text: str, often):
@@ -156,7 +168,7 @@ def _sign(n: int, percent: int, text: str, often):
         bits = np.unpackbits(np.frombuffer(often.value, np.uint8)).astype(bool)
         for b in slices(batches, text):
             seen: set[bytes] = set()
-            keys, sizes, rare, pairs, firsts = [], [], [], [], []
+            keys, sizes, rare, pairs, firsts, maps, least = [], [], [], [], [], [], []
             for s in shingle_sets(word_codes(b.column(text), lower=True), n):
                 if not len(s) or (key := set_key(s)) in seen:
                     continue
@@ -164,15 +176,17 @@ def _sign(n: int, percent: int, text: str, often):
                 frequent = bits[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 x, y = signatures(s, frequent, percent)
                 keys.append(key), sizes.append(len(s)), rare.append(x), pairs.append(y), firsts.append(prefix(s, frequent, percent))
+                maps.append(parity(s)), least.append(np.sort(np.concatenate([x, y]).view(np.int64))[:LEAST])
             per = np.array([len(x) + len(y) for x, y in zip(rare, pairs)], np.int64)
             sig = np.concatenate([*(z for x, y in zip(rare, pairs) for z in (x, y)), np.zeros(0, np.uint64)])
             hot = np.concatenate([*(np.repeat([False, True], [len(x), len(y)]) for x, y in zip(rare, pairs)), np.zeros(0, bool)])
             who = np.repeat(np.arange(len(keys)), per)
             salt = np.where(hot, 1 + np.array([k[0] % SALTS for k in keys], np.int32)[who], 0)
+            longs = pa.list_(pa.int64())
             all_keys, all_sizes, k = pa.array(keys, pa.binary()), np.array(sizes, np.int64), len(keys)
-            columns = [pa.array(sig.view(np.int64)), pa.array(salt.astype(np.int32)), all_keys.take(pa.array(who)), pa.array(all_sizes[who]), pa.nulls(len(sig), pa.list_(pa.int64()))]
+            columns = [pa.array(sig.view(np.int64)), pa.array(salt.astype(np.int32)), all_keys.take(pa.array(who)), pa.array(all_sizes[who]), *[pa.nulls(len(sig), longs)] * 3]
             yield pa.RecordBatch.from_arrays(columns, SIGNED)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), all_keys, pa.array(all_sizes), pa.array(firsts, pa.list_(pa.int64()))], SIGNED)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), all_keys, pa.array(all_sizes), *[pa.array(x, longs) for x in (firsts, maps, least)]], SIGNED)
 
     return run
 
@@ -213,13 +227,24 @@ def _set_filter(classes: DataFrame) -> bytes:
     return out.tobytes()
 
 
+def _apart(a: str, b: str) -> Column:
+    """Bits in which two parity maps differ."""
+    return sum((F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(1, PARITY_BITS // 64)), F.bit_count(F.get(a, 0).bitwiseXOR(F.get(b, 0))))
+
+
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Sizes and parity maps of two sides allow a link: linked sets differ in at most (1 - t) / (1 + t) of the sum of their sizes."""
+    n = [F.col(f"{x}n") for x in (a, b)]
+    return (percent * F.greatest(*n) <= 100 * F.least(*n)) & ((100 + percent) * _apart(f"{a}parity", f"{b}parity") <= (100 - percent) * (n[0] + n[1]))
+
+
 def _plausible(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sizes and prefixes allow a link.
 
     Common shingles up to the end of the prefix that ends first are in both prefixes, so the sets have at most those and what follows that prefix in common.
     """
-    side = lambda k: prefixes.select(F.col("cls").alias(k), F.col("n").alias(f"_n{k}"), F.col("prefix").alias(f"_p{k}"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    side = lambda k: prefixes.select(F.col("cls").alias(k), F.col("n").alias(f"_n{k}"), F.col("prefix").alias(f"_p{k}"), F.col("n").alias(f"_{k}n"), F.col("parity").alias(f"_{k}parity"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b").filter(_may_link("_a", "_b", percent))
     rest = F.when(F.element_at("_pa", -1) <= F.element_at("_pb", -1), F.col("_na") - F.size("_pa")).otherwise(F.col("_nb") - F.size("_pb"))
     most = F.size(F.array_intersect("_pa", "_pb")) + rest
     sizes = percent * F.greatest("_na", "_nb") <= 100 * F.least("_na", "_nb")
@@ -256,8 +281,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     counts = frequency_sketch(scan)
     often = spark.sparkContext.broadcast(np.packbits(counts > frequent_above(float(counts.mean()))).tobytes())
 
-    signed = written(docs.mapInArrow(_sign(n, percent, text, often), "sig long, salt int, cls binary, n long, prefix array<long>"), "jaccard-signatures")
-    prefixes = signed.filter("prefix IS NOT NULL").select("cls", "n", "prefix").dropDuplicates(["cls"])
+    signed = written(docs.mapInArrow(_sign(n, percent, text, often), "sig long, salt int, cls binary, n long, prefix array<long>, parity array<long>, least array<long>"), "jaccard-signatures")
+    prefixes = signed.filter("prefix IS NOT NULL").select("cls", "n", "prefix", "parity", "least").dropDuplicates(["cls"])
+    prefixes = written(prefixes, "jaccard-classes")
     signed = signed.filter("prefix IS NULL").select("sig", "salt", "cls", "n")
     bucket = Window.partitionBy("sig", "salt")
     starred = signed.withColumn("hub", F.min(F.struct("cls", "n")).over(bucket)).withColumn("top", F.max("cls").over(bucket))
@@ -273,12 +299,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     members = members.select("sig", "cls", "n")
     links = _linked(tried, docs, prefixes, n, percent, text)
     comps = components(links, "a", "b")
-    # buckets that hold several components still: pairs across them
+    # buckets that hold several components still: pairs across them, at the least signature that both have if it is among the kept ones
     held = members.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
     open_ = held.groupBy("sig").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).filter("_a <> _b").select("sig")
-    held = held.join(open_, "sig")
-    across = held.alias("x").join(held.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") < F.col("y.comp")) & fits("x.n", "y.n"))
-    across = across.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    held = held.join(prefixes.select("cls", "parity", "least"), "cls").join(open_, "sig")
+    x, y = (held.select(F.col("sig"), *[F.col(c).alias(f"{k}{c}") for c in ("cls", "n", "comp", "parity", "least")]) for k in "xy")
+    first = F.array_min(F.array_intersect("xleast", "yleast"))
+    met = x.join(y, "sig").filter((F.col("xcomp") < F.col("ycomp")) & _may_link("x", "y", percent) & (F.coalesce(first, F.col("sig")) == F.col("sig")))
+    across = met.select(F.least("xcls", "ycls").alias("a"), F.greatest("xcls", "ycls").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     more = _linked(across, docs, prefixes, n, percent, text)
     if not more.isEmpty():
         comps = components(links.union(more), "a", "b")
