@@ -21,7 +21,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from locusmill.llm.common import running_start, written
 from locusmill.llm.tokens import encode_words
-from locusmill.llm.words import ragged, slices, sums, word_codes
+from locusmill.llm.words import light_batches, ragged, slices, sums, word_codes
 
 DIMS, BITS = 4, 8
 #: Leading bits of the key that make a cell; cells are laid one after the other.
@@ -73,7 +73,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text")
     kept = [c for c in docs.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, text, mb=16):
+        for b in slices(batches, text, mb=16, gather=True):
             w = word_codes(b.column(text))
             flat, at = encode_words(w.names, spec.value)
             per = np.diff(at)
@@ -143,6 +143,7 @@ def pack_along_curve(docs: DataFrame, tokenizer: str, length: int = 4096, end_id
     gives no pieces. ``length`` is a power of two. Equal keys (copies) follow each other in any order, and a cell of the curve with
     very many documents is laid in several runs along it.
     """
+    light_batches(docs.sparkSession)
     laid = written(tokenised(docs.select(F.col("doc_id"), F.col(text)), tokenizer, end_id, text).withColumn("_row", F.monotonically_increasing_id()), "packing-ids")
     small = laid.select("_row", "_key", "_n", F.shiftright("_key", DIMS * BITS - CELL_BITS).cast("int").alias("_cell"))
     # at most 2 ** CELL_BITS rows

@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from locusmill.llm.common import keyed, written
 from locusmill.llm.components import components
-from locusmill.llm.words import Words, gram_hashes, mixed, slices, string_hashes, word_codes
+from locusmill.llm.words import Words, gram_hashes, light_batches, mixed, slices, string_hashes, word_codes
 
 SKETCH_BITS = 22
 SKETCH_PARTS = 64
@@ -275,6 +275,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     if not 50 <= percent < 100:
         raise ValueError("percent: 50 to 99")
     spark = docs.sparkSession
+    light_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias(text))
     scan = written(docs.mapInArrow(_scan(n, text), "doc_id long, cls binary, n long, part int, counts binary"), "jaccard-scan")
     rows = scan.filter("part IS NULL").select("doc_id", "cls", "n")

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusmill.llm.words import give_back, mixed, slices, string_hashes, sums, word_codes
+from locusmill.llm.words import give_back, light_batches, mixed, slices, string_hashes, sums, word_codes
 
 END, START = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 #: Counts up to this are discounted.
@@ -83,7 +83,7 @@ def _schema(text: str) -> pa.Schema:
 def _send(parts: int, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 24
-        for b in slices(batches, text, mb=CHUNK_MB):
+        for b in slices(batches, text, mb=CHUNK_MB, gather=True):
             w = word_codes(b.column(text), lower=True)
             n, docs = b.num_rows, w.doc
             ids = b.column("doc_id").to_pylist()
@@ -291,6 +291,7 @@ def katz_scores(docs: DataFrame, text: str = "text") -> DataFrame:
     An empty table gives no rows; without training rows every token has probability 1 as the unknown word (score 0).
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
+    light_batches(docs.sparkSession)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     parts = max(12, int(size / 1e6 / PART_MB) + 1)
     sent = docs.mapInArrow(_send(parts, text), SENT)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from locusmill.llm.tokens import encode_words
-from locusmill.llm.words import slices, sums, word_codes
+from locusmill.llm.words import light_batches, slices, sums, word_codes
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
@@ -27,10 +27,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFra
     in number and order; columns of these two names are replaced.
     """
     docs = docs.drop("n_bytes", "n_tokens")
+    light_batches(docs.sparkSession)
     spec = docs.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, text, mb=16):
+        for b in slices(batches, text, mb=16, gather=True):
             w = word_codes(b.column(text))
             _, offsets = encode_words(w.names, spec.value)
             n = sums(np.diff(offsets)[w.codes], w.offsets)

@@ -23,7 +23,7 @@ _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-ö
 #: Starts every special string; words that hold it go to the library whole.
 _SPECIAL = "<|"
 #: Pre-tokens that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 @lru_cache(maxsize=2)

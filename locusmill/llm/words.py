@@ -10,6 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 
 @dataclass
@@ -53,14 +54,16 @@ def give_back() -> None:
         pass
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, mb: float = 8) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that each has about ``mb`` MB of text at most, or one row."""
-    yield from _slices(batches, column, mb)
-    give_back()
+def light_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Spark send at most ``rows`` rows at once to Python from now on in this session, as texts can be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
 
 
-def _slices(batches: Iterator[pa.RecordBatch], column: str, mb: float) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+def slices(batches: Iterator[pa.RecordBatch], column: str, mb: float = 8, gather: bool = False) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that each has about ``mb`` MB of text at most, or one row; ``gather``: small ones put together first."""
+    for b in _gathered(batches, mb) if gather else batches:
         size = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         if not len(size):
             continue
@@ -68,6 +71,18 @@ def _slices(batches: Iterator[pa.RecordBatch], column: str, mb: float) -> Iterat
         cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(size)]
         for a, z in zip(cuts, cuts[1:]):
             yield b.slice(a, z - a)
+    give_back()
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], mb: float) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.nbytes for x in held) >= mb * 1e6:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if held and sum(x.num_rows for x in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
