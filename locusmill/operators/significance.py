@@ -44,13 +44,14 @@ def standardised(scores: DataFrame, score: str) -> DataFrame:
     ``scores``: candidate, decoy (its number, null: real), score. Sums by decoy are taken first, so leaving one out is a subtraction.
     """
     x = F.col(score)
-    own = scores.filter(F.col("decoy").isNotNull() & x.isNotNull()).groupBy("candidate", "decoy").agg(F.count(F.lit(1)).alias("n1"), F.sum(x).alias("s1"), F.sum(x * x).alias("ss1"))
-    total = own.groupBy("candidate").agg(F.sum("n1").alias("n"), F.sum("s1").alias("s"), F.sum("ss1").alias("ss"), F.max("n1").alias("_most")).filter(F.col("n") - F.col("_most") >= MIN_DECOY_SCORES)
+    own = scores.filter(F.col("decoy").isNotNull() & x.isNotNull()).groupBy("candidate", "decoy").agg(F.count(F.lit(1)).alias("_n1"), F.sum(x).alias("_s1"), F.sum(x * x).alias("_q1"))
+    total = own.groupBy("candidate").agg(F.sum("_n1").alias("_n"), F.sum("_s1").alias("_s"), F.sum("_q1").alias("_q"), F.max("_n1").alias("_most")).filter(F.col("_n") - F.col("_most") >= MIN_DECOY_SCORES)
     rows = scores.join(total.drop("_most"), "candidate", "left").join(own, ["candidate", "decoy"], "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
-    n, s, ss = F.col("n") - zero(F.col("n1")), F.col("s") - zero(F.col("s1")), F.col("ss") - zero(F.col("ss1"))
-    rows = rows.withColumn("_n", n).withColumn("_m", F.try_divide(s, n)).withColumn("_v", F.try_divide(ss, n) - F.try_divide(s, n) * F.try_divide(s, n))
-    z = F.when((F.col("_n") >= MIN_DECOY_SCORES) & (F.col("_v") > 1e-12), F.bround((x - F.col("_m")) / F.sqrt("_v"), 4))
+    n, s, q = (F.col(f"_{k}") - zero(F.col(f"_{k}1")) for k in "nsq")
+    mean = F.try_divide(s, n)
+    rows = rows.withColumn("_rest", n).withColumn("_mean", mean).withColumn("_var", F.try_divide(q, n) - mean * mean)
+    z = F.when((F.col("_rest") >= MIN_DECOY_SCORES) & (F.col("_var") > 1e-12), F.bround((x - F.col("_mean")) / F.sqrt("_var"), 4))
     return rows.withColumn("z", z).select(*scores.columns, "z")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from locusmill.functions import circular as circ
 from locusmill.functions import sequences as seq
-from locusmill.operators import align, collapse, ends, intervals, loci, origin, peaks, seeds, significance
+from locusmill.operators import align, collapse, ends, evaluation, hairpins, intervals, loci, origin, peaks, reports, seeds, shuffles, significance
 from locusmill.operators.origin import OriginRules
 from locusmill.plans import views as v
 
@@ -489,3 +489,105 @@ def _(spark, d):
 def _(spark, d):
     rows = intervals.block_starts(v.members(spark, d), gap=200)
     return peaks.peak_claims(rows, [*intervals.KEYS, "block_start"]).drop("backgrounds")
+
+
+# --- reports ------------------------------------------------------------------------------------
+def _judged_loci(spark, d):
+    return _merged(spark, d).select("*", F.when(F.col("n") >= 3, "peak").otherwise("background").alias("kind"), (F.col("n") >= 5).alias("pass"), F.col("n").alias("total"))
+
+
+JUDGED = "judged AS (SELECT *, CASE WHEN n >= 3 THEN 'peak' ELSE 'background' END AS kind, n >= 5 AS pass, n AS total FROM loci)"
+
+
+@query("ag15_loci_by_genome", with_(v.MEMBERS, _blocks(0), LOCI, JUDGED, then="SELECT genome, count(*) AS loci, count(*) FILTER (kind = 'peak') AS peaks, count(*) FILTER (pass) AS passing FROM judged GROUP BY genome"))
+def _(spark, d):
+    return reports.loci_by_genome(_judged_loci(spark, d))
+
+
+@query("st7_top_contigs", with_(v.MEMBERS, _blocks(0), LOCI, JUDGED, then="SELECT genome, contig, count(*) FILTER (pass) AS passing, CAST(sum(total) AS BIGINT) AS reads FROM judged GROUP BY ALL ORDER BY passing DESC, reads DESC, genome, contig LIMIT 4"))
+def _(spark, d):
+    return reports.top_contigs(_judged_loci(spark, d), 4)
+
+
+@query(
+    "ag16_class_shares",
+    _best_ctes + """SELECT class, genomes, sample, reads, round(reads / sum(reads) OVER (PARTITION BY sample), 9) AS share FROM (SELECT class, CASE WHEN class IN ('unmapped', 'too_many_hits') THEN '' ELSE array_to_string(genomes, '+') END AS genomes, sample, CAST(sum(n) AS BIGINT) AS reads
+ FROM cls JOIN (SELECT 'o' || o_orderkey AS read_id, o_orderpriority AS sample, 1 + o_orderkey % 4 AS n FROM orders) USING (read_id) GROUP BY ALL)""",
+)
+def _(spark, d):
+    o = v.load(spark, d, "orders")
+    counts = o.select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("read_id"), F.col("o_orderpriority").alias("sample"), (1 + F.col("o_orderkey") % 4).alias("n"))
+    return reports.class_shares(origin.origin_summary(_origin(spark, d, RULES["best"])[1], counts)).withColumn("share", F.round("share", 9))
+
+
+@query(
+    "ag14_funnel",
+    _best_ctes.rstrip()
+    + f", {v.READS}, {_blocks(0)}, {LOCI}, {JUDGED}"
+    + f""", placed_reads AS (SELECT class, l_returnflag AS sample, l_linenumber AS n FROM cls JOIN (SELECT 'o' || l_orderkey AS read_id, l_returnflag, l_linenumber FROM lineitem) USING (read_id)),
+in_loci AS (SELECT b.sample, j.kind, j.pass, weight * b.n AS w FROM blocked b JOIN judged j ON b.genome = j.genome AND b.contig = j.contig AND b.strand = j.strand AND b.bs = j.s),
+stages AS (SELECT 'raw' AS stage, sample, CAST(count(*) AS DOUBLE) AS reads FROM reads GROUP BY sample UNION ALL SELECT 'kept', sample, count(*) FILTER ({KEEP}) FROM reads GROUP BY sample
+ UNION ALL SELECT 'mapped', sample, coalesce(sum(n) FILTER (class <> 'unmapped'), 0) FROM placed_reads GROUP BY sample UNION ALL SELECT 'assigned', sample, coalesce(sum(n) FILTER (class = 'assigned'), 0) FROM placed_reads GROUP BY sample
+ UNION ALL SELECT 'focus', sample, sum(w) FROM in_loci GROUP BY sample UNION ALL SELECT 'in_peaks', sample, coalesce(sum(w) FILTER (kind = 'peak'), 0) FROM in_loci GROUP BY sample UNION ALL SELECT 'in_passing', sample, coalesce(sum(w) FILTER (pass), 0) FROM in_loci GROUP BY sample)
+SELECT stage, sample, reads FROM stages UNION ALL SELECT stage, 'total', sum(reads) FROM stages GROUP BY stage""",
+)
+def _(spark, d):
+    placed = v.load(spark, d, "lineitem").select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("read_id"), F.col("l_returnflag").alias("sample"), F.col("l_linenumber").alias("n"))
+    blocks = intervals.block_starts(v.members(spark, d)).withColumn("locus_id", F.concat_ws(":", "genome", "contig", "strand", "block_start"))
+    inside = blocks.join(_judged_loci(spark, d).select("locus_id", "kind", "pass"), "locus_id").select("sample", "kind", "pass", (F.col("weight") * F.col("n")).alias("count"))
+    cls = _origin(spark, d, RULES["best"])[1].select("read_id", "class")
+    return reports.funnel(collapse.libraries(v.reads(spark, d), 18, 28), cls, placed, inside)
+
+
+@query(
+    "ag18_locus_profiles",
+    with_(v.MEMBERS, _blocks(0), "p AS (SELECT genome, contig, strand, bs, unnest(range(s, e)) AS pos, s, e, weight * n AS w FROM blocked)",
+    "q AS (SELECT genome || ':' || contig || ':' || strand || ':' || bs AS locus_id, pos, sum(w) AS depth, coalesce(sum(w) FILTER (pos = CASE WHEN strand = '+' THEN s ELSE e - 1 END), 0) AS five, coalesce(sum(w) FILTER (pos = CASE WHEN strand = '+' THEN e - 1 ELSE s END), 0) AS three FROM p GROUP BY genome, contig, strand, bs, pos)",
+    then="SELECT locus_id, count(*) AS positions, max(depth) AS top_depth, max(five) AS top_five, sum(three) AS three_ends FROM q GROUP BY locus_id"),
+)
+def _(spark, d):
+    rows = intervals.block_starts(v.members(spark, d)).withColumn("locus_id", F.concat_ws(":", "genome", "contig", "strand", "block_start")).withColumn("w", F.col("weight") * F.col("n"))
+    out = reports.locus_profiles(rows, "locus_id")
+    return out.groupBy("locus_id").agg(F.count(F.lit(1)).alias("positions"), F.max("depth").alias("top_depth"), F.max("five_ends").alias("top_five"), F.sum("three_ends").alias("three_ends"))
+
+
+@query(
+    "cp17_empirical_p",
+    "SELECT l_orderkey AS candidate, CASE WHEN k = 0 THEN NULL ELSE round((hits + 1) / (k + 1), 9) END AS p FROM (SELECT l_orderkey, count(*) FILTER (l_linenumber > 1) AS k, count(*) FILTER (l_linenumber > 1 AND l_extendedprice <= real + 1e-9) AS hits FROM lineitem JOIN (SELECT l_orderkey, max(l_extendedprice) AS real FROM lineitem WHERE l_linenumber = 1 GROUP BY 1) USING (l_orderkey) GROUP BY 1)",
+)
+def _(spark, d):
+    rows = v.load(spark, d, "lineitem").select(F.col("l_orderkey").alias("candidate"), F.when(F.col("l_linenumber") > 1, F.col("l_linenumber")).alias("shuffle"), F.col("l_extendedprice").alias("mfe"))
+    real = rows.filter("shuffle IS NULL").groupBy("candidate").agg(F.max("mfe").alias("mfe")).select("candidate", F.lit(None).cast("int").alias("shuffle"), "mfe")
+    return significance.empirical_p(real.unionByName(rows.filter("shuffle IS NOT NULL")), ["candidate"]).withColumn("p", F.round("p", 9))
+
+
+@query(
+    "wn10_best_windows",
+    "SELECT candidate, \"window\", p, mfe FROM (SELECT *, row_number() OVER (PARTITION BY candidate ORDER BY coalesce(p, 1.0), mfe, \"window\") AS r FROM (SELECT l_suppkey * 10 + l_partkey % 10 AS candidate, CASE WHEN l_linenumber % 2 = 0 THEN '3p' ELSE '5p' END AS \"window\", min(CASE WHEN l_discount > 0.02 THEN l_discount END) AS p, min(l_extendedprice) AS mfe FROM lineitem GROUP BY 1, 2)) WHERE r = 1",
+)
+def _(spark, d):
+    rows = v.load(spark, d, "lineitem").groupBy((F.col("l_suppkey") * 10 + F.col("l_partkey") % 10).alias("candidate"), F.when(F.col("l_linenumber") % 2 == 0, "3p").otherwise("5p").alias("window"))
+    return hairpins.best_windows(rows.agg(F.min(F.when(F.col("l_discount") > 0.02, F.col("l_discount"))).alias("p"), F.min("l_extendedprice").alias("mfe")))
+
+
+@query("se2_distinct_sequences", with_(v.TARGETS, then="SELECT DISTINCT sha256(sequence) AS seq_id, length(sequence) AS n FROM targets"))
+def _(spark, d):
+    return seeds.distinct_sequences(v.targets(spark, d)).select("seq_id", F.char_length("sequence").cast("long").alias("n"))
+
+
+@query("jn11_outcomes")
+def _(spark, d):
+    c = v.contigs(spark, d).select("genome", "contig", "length", "circular")
+    truth = v.features(spark, d).withColumn("feature_id", F.concat_ws(":", "genome", "contig", "strand", "start")).withColumn("expected", F.when(F.col("start") % 3 == 0, "any").otherwise("pass"))
+    return evaluation.outcomes(truth.join(F.broadcast(c), ["genome", "contig"]), _judged_loci(spark, d).join(F.broadcast(c), ["genome", "contig"]))
+
+
+@query("rn2_decoys")
+def _(spark, d):
+    return shuffles.decoys(v.guides(spark, d).select("guide_id", "guide").withColumnRenamed("guide_id", "candidate"), 5)
+
+
+@query("fn16_hairpins")
+def _(spark, d):
+    rows = v.load(spark, d, "supplier").select(F.col("s_suppkey").alias("candidate"), v.sequence_of(F.col("s_suppkey")).alias("sequence"))
+    return hairpins.described(hairpins.folded(rows).withColumn("cand_from", F.lit(0)).withColumn("cand_to", F.lit(16)))
