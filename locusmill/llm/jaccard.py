@@ -96,9 +96,9 @@ def signatures(s: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.nd
 
 
 def prefix(s: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles of a set in the common order, one more than it may lack, as positive numbers in that order."""
+    """The first shingles of a set in the common order, one more than it may lack, by their leading 31 bits in that order."""
     order = (s >> np.uint64(2)) | (frequent.astype(np.uint64) << np.uint64(62))
-    return np.sort(order)[: _losses(len(s), percent) + 1].astype(np.int64)
+    return (np.sort(order)[: _losses(len(s), percent) + 1] >> np.uint64(32)).astype(np.int32)
 
 
 #: Bits of a set's parity map.
@@ -182,11 +182,11 @@ def _sign(n: int, percent: int, text: str, often):
             hot = np.concatenate([*(np.repeat([False, True], [len(x), len(y)]) for x, y in zip(rare, pairs)), np.zeros(0, bool)])
             who = np.repeat(np.arange(len(keys)), per)
             salt = np.where(hot, 1 + np.array([k[0] % SALTS for k in keys], np.int32)[who], 0)
-            longs = pa.list_(pa.int64())
+            ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
             all_keys, all_sizes, k = pa.array(keys, pa.binary()), np.array(sizes, np.int64), len(keys)
-            columns = [pa.array(sig.view(np.int64)), pa.array(salt.astype(np.int32)), all_keys.take(pa.array(who)), pa.array(all_sizes[who]), *[pa.nulls(len(sig), longs)] * 3]
+            columns = [pa.array(sig.view(np.int64)), pa.array(salt.astype(np.int32)), all_keys.take(pa.array(who)), pa.array(all_sizes[who]), pa.nulls(len(sig), ints), *[pa.nulls(len(sig), longs)] * 2]
             yield pa.RecordBatch.from_arrays(columns, SIGNED)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), all_keys, pa.array(all_sizes), *[pa.array(x, longs) for x in (firsts, maps, least)]], SIGNED)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), all_keys, pa.array(all_sizes), pa.array(firsts, ints), *[pa.array(x, longs) for x in (maps, least)]], SIGNED)
 
     return run
 
@@ -245,8 +245,10 @@ def _plausible(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame
     """
     side = lambda k: prefixes.select(F.col("cls").alias(k), F.col("n").alias(f"_n{k}"), F.col("prefix").alias(f"_p{k}"), F.col("n").alias(f"_{k}n"), F.col("parity").alias(f"_{k}parity"))
     met = pairs.join(side("a"), "a").join(side("b"), "b").filter(_may_link("_a", "_b", percent))
-    rest = F.when(F.element_at("_pa", -1) <= F.element_at("_pb", -1), F.col("_na") - F.size("_pa")).otherwise(F.col("_nb") - F.size("_pb"))
-    most = F.size(F.array_intersect("_pa", "_pb")) + rest
+    behind, last = [F.col(f"_n{k}") - F.size(f"_p{k}") for k in "ab"], [F.element_at(f"_p{k}", -1) for k in "ab"]
+    rest = F.when(last[0] < last[1], behind[0]).when(last[0] > last[1], behind[1]).otherwise(F.greatest(*behind))
+    merged = F.size("_pa") - F.size(F.array_distinct("_pa"))  # shingles whose leading bits agree count once in the intersection
+    most = F.size(F.array_intersect("_pa", "_pb")) + merged + rest
     sizes = percent * F.greatest("_na", "_nb") <= 100 * F.least("_na", "_nb")
     return met.filter(sizes & ((100 + percent) * most >= percent * (F.col("_na") + F.col("_nb")))).select("a", "b")
 
@@ -282,7 +284,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     counts = frequency_sketch(scan)
     often = spark.sparkContext.broadcast(np.packbits(counts > frequent_above(float(counts.mean()))).tobytes())
 
-    signed = written(docs.mapInArrow(_sign(n, percent, text, often), "sig long, salt int, cls binary, n long, prefix array<long>, parity array<long>, least array<long>"), "jaccard-signatures")
+    signed = written(docs.mapInArrow(_sign(n, percent, text, often), "sig long, salt int, cls binary, n long, prefix array<int>, parity array<long>, least array<long>"), "jaccard-signatures")
     prefixes = signed.filter("prefix IS NOT NULL").select("cls", "n", "prefix", "parity", "least").dropDuplicates(["cls"])
     prefixes = written(prefixes, "jaccard-classes")
     signed = signed.filter("prefix IS NULL").select("sig", "salt", "cls", "n")
