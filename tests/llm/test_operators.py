@@ -149,6 +149,23 @@ def test_quality(spark, docs, none, rows):
     assert quality.quality_rules(docs, labels.limit(0)).filter("kept").count() > 0
 
 
+def test_quality_rejects_documents_labelled_bad(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.quality_rules(docs, labels).join(labels.select("doc_id", "quality", "toxic"), "doc_id").filter("NOT base_failed").collect()
+    bad = [r["kept"] for r in got if r["quality"] == 0 and " | " in r["text"]]
+    good = [r["kept"] for r in got if r["quality"] == 1 and not r["toxic"]]
+    assert len(bad) >= 10 and not any(bad)
+    assert len(good) >= 200 and sum(good) >= 0.98 * len(good)
+
+
+def test_threshold_lies_between_labels():
+    scores = quality.pd.DataFrame({"good": [True] * 3 + [False] * 3, "llr": [-3.0, -0.2, 0.4, -1.0, -0.6, 0.1], "n": [1, 50, 99, 5, 5, 1]})
+    assert quality.threshold_between(scores) == pytest.approx(-0.4)  # one good document of 150 may be lost
+    assert quality.threshold_between(scores[scores["good"]]) == quality.threshold_between(scores[~scores["good"]]) == quality.THRESHOLD
+    assert quality.threshold_between(scores[scores["llr"] > -0.3]) == quality.THRESHOLD
+
+
 def test_katz(docs, none, rows):
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     seqs = [(d, words((t or "").translate(low)) + [None]) for d, t, *_ in rows]
