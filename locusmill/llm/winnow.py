@@ -1,8 +1,9 @@
 """Winnowing fingerprints, in DataFrame functions only.
 
-A text is cut into units (words, and pieces of at most ``UNIT_CHARS`` characters of longer ones), every run of ``k``
-units is hashed, and each window of ``w`` neighbouring hashes keeps its minimum, the rightmost of equal ones. Two texts that share
-``k + w - 1`` units in a row share a kept hash; the kept positions show where.
+A text is cut into units, every run of ``k`` units is hashed, and each window of ``w`` neighbouring hashes keeps its minimum, the rightmost
+of equal ones. Words are units; a word of more than ``UNIT_CHARS`` characters, as text without spaces is, has one at each character
+instead: the ``STEP_CHARS`` characters from there, so that its units don't depend on where it begins. Two texts that share ``k + w - 1`` units
+in a row, or ``k + w + STEP_CHARS - 2`` characters inside long words, share a kept hash; the kept positions show where.
 """
 
 from __future__ import annotations
@@ -10,16 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Longer words are cut, so that text without spaces has units too.
+#: Longer words have overlapping units of ``STEP_CHARS`` characters.
 UNIT_CHARS = 16
+STEP_CHARS = 8
+_IN, _SHORT = r"[^\x20\x09-\x0D]", rf"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{{1,{UNIT_CHARS}}}+(?![^\x20\x09-\x0D])"
+#: Group 1 is the unit; a short word is passed as a whole, a long one by a character.
+UNIT = rf"(?=({_SHORT}|{_IN}{{{STEP_CHARS}}}))(?:{_SHORT}|{_IN})"
 FINGERPRINT = "array<struct<pos:int,hash:bigint>>"
 
 
 def _gram_hashes(text: Column, k: int) -> Column:
     """Hashes of the runs of ``k`` units; a shorter text has one, of all its units; a text without units none."""
-    units = F.transform(
-        F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"[^\x20\x09-\x0D]{{1,{UNIT_CHARS}}}"), F.lit(0)), lambda u: F.xxhash64(u)
-    )
+    units = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(UNIT), F.lit(1)), lambda u: F.xxhash64(u))
     # ``let``: one evaluation of an array that is used several times
     return _let(
         units,

@@ -341,6 +341,20 @@ def test_winnowing_takes_the_rightmost(spark):
     assert [x["pos"] for x in h] == list(range(3, 11)) and len({x["hash"] for x in h}) == 1
 
 
+def test_winnowing_finds_passages_without_spaces_at_any_offset(spark):
+    rng = random.Random(8)
+    chars = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    rows = []
+    for of in ("abcdefghijklmnopqrstuvwxyz0123456789+/", "".join(map(chr, range(0x4E00, 0x5200))), "🙂😀😁😂😃😄😅😆😉😊"):
+        for n in (17, 60, 2000):
+            shared = chars(n, of)
+            rows += [(chars(30, of) + shared + chars(30, of), "words before " + chars(30 + shift, of) + shared + chars(5, of) + " and after", n) for shift in range(33)]
+    got = spark.createDataFrame(rows, "a string, b string, n int").select("n", winnow.fingerprint(F.col("a")).alias("a"), winnow.fingerprint(F.col("b")).alias("b")).collect()
+    assert len(got) == len(rows) and all({x["hash"] for x in r["a"]} & {x["hash"] for x in r["b"]} for r in got)
+    units = spark.createDataFrame([("a bc " + "x" * 17 + "\n" + "y" * 16 + " é",)], "t string").select(F.regexp_extract_all("t", F.lit(winnow.UNIT), F.lit(1)).alias("u")).first()["u"]
+    assert units == ["a", "bc", *["x" * 8] * 10, "y" * 16, "é"]
+
+
 def test_sharding(docs, none, rows):
     got = hash_tree.op9_hash_tree(docs).collect()
     assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == collections.Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t, *_ in rows)
