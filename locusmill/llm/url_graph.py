@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from locusmill.llm.common import written
 
 ALLOW, BLOCK = "allow", "block"
+#: Distrust counts as more than trust if it is so by more than this share, as sums end and add up differently.
+TIE = 1e-6
 
 
 @dataclass(frozen=True)
@@ -78,11 +80,12 @@ def _shares(edges: DataFrame, kind: str, src: str, dst: str) -> DataFrame:
     return edges.join(total, src).select(F.lit(kind).alias("kind"), F.col(src).alias("from"), F.col(dst).alias("to"), (F.col("n") / F.col("_all")).alias("share"))
 
 
-def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 30, enough: float = 1e-9) -> DataFrame:
+def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 1000, enough: float = 1e-9) -> DataFrame:
     """kind, host, score: personalised PageRank of ``trust`` along the edges and of ``distrust`` against them.
 
     ``seeds``: kind, host, seed, the seeds of a kind summing to 1. What a host without links would pass on is dropped.
-    Every round is a written table; rounds end when no score moves more than ``enough``.
+    Every round is a written table, which adds to each score what reaches the host over one link more. Rounds end when that is at most
+    ``enough`` of the score of every host, so a host just reached goes on; more than ``rounds`` are an error.
     """
     edges = written(edges, "host-edges")
     seeds = written(seeds, "host-seeds")
@@ -90,24 +93,23 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: in
     if edges.isEmpty():
         return at
     flow = written(_shares(edges, "trust", "src", "dst").union(_shares(edges, "distrust", "dst", "src")), "host-shares")
-    base = at.withColumnRenamed("score", "base")
-    at = written(at, "host-scores")
+    at = written(at.withColumn("got", F.col("score")), "host-scores")
     for _ in range(rounds):
-        moved = at.join(flow, (at["kind"] == flow["kind"]) & (at["host"] == flow["from"])).select(flow["kind"], F.col("to").alias("host"), (F.col("score") * F.col("share") * damping).alias("got"))
+        moved = at.join(flow, (at["kind"] == flow["kind"]) & (at["host"] == flow["from"])).select(flow["kind"], F.col("to").alias("host"), (F.col("got") * F.col("share") * damping).alias("got"))
         moved = moved.groupBy("kind", "host").agg(F.sum("got").alias("got"))
-        nxt = base.join(moved, ["kind", "host"], "full").select("kind", "host", (F.coalesce("base", F.lit(0.0)) + F.coalesce("got", F.lit(0.0))).alias("score"))
-        nxt = written(nxt, "host-scores")
-        gap = nxt.join(at.withColumnRenamed("score", "was"), ["kind", "host"], "full").agg(F.max(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("was", F.lit(0.0))))).first()[0]
-        at = nxt
+        both = at.select("kind", "host", "score").join(moved, ["kind", "host"], "full")
+        both = both.select("kind", "host", (F.coalesce("score", F.lit(0.0)) + F.coalesce("got", F.lit(0.0))).alias("score"), F.coalesce("got", F.lit(0.0)).alias("got"))
+        at = written(both, "host-scores")
+        gap = at.filter("score > 0").agg(F.max(F.col("got") / F.col("score"))).first()[0]
         if gap is None or gap <= enough:
-            break
-    return at
+            return at.select("kind", "host", "score")
+    raise RuntimeError(f"no end after {rounds} rounds")
 
 
 def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, ratio: float = 1.0, url: str = "url", html: str = "html") -> DataFrame:
     """Add host, path, rule, trust, distrust and verdict to each row of ``pages``; columns of these names are replaced.
 
-    A host is blocked if its distrust is above ``ratio`` times its trust (to 12 digits after the point). Urls without ``://`` and null ones have
+    A host is blocked if its distrust is above ``ratio`` times its trust by more than the share ``TIE``; scores are given to 12 digits, however small. Urls without ``://`` and null ones have
     an empty host, which is no node of the graph: without a fitting rule they are allowed. Repeated rows count as pages of their own; without seeds nothing
     is blocked but by rules.
     """
@@ -123,11 +125,12 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, ratio: floa
     total = seeds.groupBy("kind").agg(F.sum("n").alias("all"))
     seeds = seeds.join(F.broadcast(total), "kind").select("kind", "host", (F.col("n") / F.col("all")).alias("seed"))  # two rows
     scores = spread(seeds, host_links(pages, url, html))
-    of = lambda k: F.round(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)), 12).alias(k)
+    of = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)).alias(k)
     hosts = scores.groupBy("host").agg(of("trust"), of("distrust"))
     judged = parsed.join(hosts, "host", "left").withColumns({k: F.coalesce(k, F.lit(0.0)) for k in ("trust", "distrust")})
-    verdict = F.coalesce("_ruled", F.when(F.col("distrust") > ratio * F.col("trust"), F.lit(BLOCK)).otherwise(F.lit(ALLOW)))
-    return judged.withColumn("verdict", verdict).select(*pages.columns, "host", "path", "rule", "trust", "distrust", "verdict")
+    verdict = F.coalesce("_ruled", F.when(F.col("distrust") > ratio * F.col("trust") * (1 + TIE), F.lit(BLOCK)).otherwise(F.lit(ALLOW)))
+    short = {k: F.format_string("%.11e", F.col(k)).cast("double") for k in ("trust", "distrust")}
+    return judged.withColumn("verdict", verdict).withColumns(short).select(*pages.columns, "host", "path", "rule", "trust", "distrust", "verdict")
 
 
 def op2_trust_spread(pages: DataFrame) -> DataFrame:

@@ -129,6 +129,16 @@ def test_pagerank_matches_matrix(spark):
         assert all(mine.get(h, 0) == pytest.approx(x, abs=1e-9) for h, x in zip(names, want))
 
 
+def test_verdicts_do_not_depend_on_size(spark):
+    links = "kind string, host string, seed double"
+    chain = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(34)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("distrust", "h34", 1e-6)], links)  # one seed of a million
+    got = {r["host"]: r["score"] for r in url_graph.spread(seeds, chain).collect()}
+    assert len(got) == 35 and all(got[f"h{34 - i}"] == pytest.approx(0.15e-6 * 0.85**i, rel=1e-9) for i in range(35))
+    with pytest.raises(RuntimeError):
+        url_graph.spread(seeds, chain, rounds=5)
+
+
 def test_quality(spark, docs, none, rows):
     labels = spark.createDataFrame([(15, 1, 0), (18, 1, None), (None, 1, 0), (27, 0, 0), (15, 1, 0)], "doc_id long, quality int, toxic int")
     out = quality.quality_rules(docs.withColumn("kept", F.lit("clash")), labels)
