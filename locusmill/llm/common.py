@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,8 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the cluster names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="locusmill-")
+    """The folder that all executors share, as ``spark.checkpoint.dir`` names it; in local mode a temporary one if it is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: intermediate tables need a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="locusmill-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -26,15 +33,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` gave and that nothing still to be run reads."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(_paths.pop(t))
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def keyed(df: DataFrame, column: str, out: str) -> DataFrame:
-    """``df`` with ``out``, a long that no two rows share: ``column`` where it is one already, else numbers fixed in a table."""
+    """``df`` with ``out``, a long that no two rows share and that follows ``column``'s order, nulls last.
+
+    That is ``column`` itself if its numbers are no row's twice. Else rows are numbered in its order, equal ones by the hash of all
+    columns: either way a number follows from the rows alone, not from how they are dealt. Equal rows get theirs in any order.
+    """
     rows, ids = df.agg(F.count(F.lit(1)), F.countDistinct(column)).first()
     if rows == ids and df.schema[column].dataType.simpleString() in ("int", "bigint"):
         return df.withColumn(out, F.col(column).cast("long"))
-    return written(df.withColumn(out, F.monotonically_increasing_id()), "keyed")
+    order = [F.col(column).asc_nulls_last(), F.xxhash64(*df.columns)]
+    return written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(out, F.monotonically_increasing_id()), "keyed")
 
 
 def n_words(text: Column) -> Column:

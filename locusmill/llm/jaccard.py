@@ -1,14 +1,17 @@
 """Jaccard join of word shingle sets by token-combination prefixes.
 
-Shingles are ordered rare ones first, frequent ones last (by a sketch of all document frequencies), and by hash in each class. Of
-two sets that link, each lacks at most ``t`` of the other's shingles, so both prefixes that need ``t + 1`` losses to lose every
-signature share one. Rare shingles are signatures alone. Frequent ones are dealt into subclasses, and pairs of one subclass are signatures: m
-shingles of a subclass stand for m - 1 losses, so prefixes are extended. Subclasses depend on the size of a set; a set is indexed for its own
+The document frequency of every shingle is counted first: texts are laid into chunks, each chunk sends its distinct shingles (as buckets of the shingle
+hash, of which there are many for every shingle, so their number follows the input) to partitions of bucket ranges, and gets the level of each
+bucket back, the logarithm of its frequency. So neither the counts nor the frequent shingles are ever in one place.
+
+Shingles are ordered by level, then by hash. Of two sets that link, each lacks at most ``t`` of the other's shingles, so both prefixes that need ``t + 1`` losses to lose
+every signature share one. A shingle of a single chunk and set is no signature, it can't be shared. Rarer shingles are signatures alone. Frequent ones are dealt into subclasses, and pairs of
+one subclass are signatures: m shingles of a subclass stand for m - 1 losses, so prefixes are extended. Subclasses depend on the size of a set; a set is indexed for its own
 band of sizes and the next, which holds every size it can link with.
-A candidate pair goes on only if its prefixes share as many shingles as the whole sets would need, and is then verified on whole sets.
 
-Equal sets are one class from the start. In each signature's bucket the members are first verified against the least one (in slices, for frequent
-shingles), and only where a bucket then holds several components are the pairs across components verified, so copies are never paired.
+Equal sets are one class from the start. In each signature's bucket the members are verified against the least one (in slices, for frequent
+shingles): first each set against the one it shares most buckets with, then against the others that are still in another component; only where a bucket
+then holds several components are the pairs across components verified. Copies are never paired, and no pair, bucket or set is capped.
 """
 
 from __future__ import annotations
@@ -18,20 +21,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from locusmill.llm.common import keyed, written
+from locusmill.llm.common import discard, keyed, written
 from locusmill.llm.components import components
-from locusmill.llm.words import Words, gram_hashes, light_batches, mixed, slices, string_hashes, word_codes
-
-SKETCH_BITS = 22
-SKETCH_PARTS = 64
-#: Slices of a bucket of frequent shingles.
-SALTS = 32
+from locusmill.llm.words import Words, give_back, gram_hashes, mixed, slices, string_hashes, sums, word_codes
+
+#: Text of a chunk, and for one partition of counts or signatures.
+CHUNK_MB, PART_MB = 16, 32
+#: Levels from this one on are frequent: sets of more than 2 ** (FREQUENT - 1) documents.
+FREQUENT = 6
+#: Members of a slice of a bucket of frequent shingles, about.
+SLICE = 4096
 #: Shingles of a subclass that a prefix of frequent shingles has, about.
 PER_SUBCLASS = 4
+#: Bits of a set's parity map.
+PARITY_BITS = 256
 
 
 def shingle_sets(w: Words, n: int) -> Iterator[np.ndarray]:
@@ -40,18 +48,18 @@ def shingle_sets(w: Words, n: int) -> Iterator[np.ndarray]:
     grams = gram_hashes(h, n)
     for a, z in zip(w.offsets[:-1].tolist(), w.offsets[1:].tolist()):
         if z - a >= n:
-            yield np.unique(grams[a : z - n + 1])
+            s = np.sort(grams[a : z - n + 1])
+            yield s if (s[1:] != s[:-1]).all() else np.unique(s)
         elif z > a:
             yield mixed(gram_hashes(h[a:z], z - a) + np.uint64(z - a))
         else:
             yield np.zeros(0, np.uint64)
 
 
-def set_key(s: np.ndarray) -> bytes:
-    """128 bits that stand for a set."""
-    one = mixed(s + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-    two = mixed(s ^ np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64)
-    return np.array([one, two], ">u8").tobytes()
+def set_keys(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """128 bits, as two numbers, that stand for each of the sets laid end to end."""
+    total = [np.concatenate([[np.uint64(0)], np.cumsum(mixed(flat ^ x))]) for x in (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))]
+    return np.stack([x[ends[1:]] - x[ends[:-1]] for x in total], 1)
 
 
 def _losses(n: int, percent: int) -> int:
@@ -70,41 +78,31 @@ def subclasses(b: int, percent: int) -> int:
     return 0 if b == 0 else max(1, int(size * (100 - percent) / 100 / PER_SUBCLASS))
 
 
-def signatures(s: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of a set: of rare shingles, and of pairs of frequent ones."""
-    need = _losses(len(s), percent) + 1
-    b = band(len(s), percent)
-    rare = (s if subclasses(b, percent) == 0 else s[~frequent])[:need]
-    if len(rare) >= need:
-        return rare, np.zeros(0, np.uint64)
-    often, out = s[frequent], []
-    for k in (b, b + 1):
-        m = subclasses(k, percent)
-        cls = mixed(often * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(m)
-        # losses that the shingles up to each stand for: all but the first of each subclass
-        first = np.zeros(len(often), bool)
-        first[np.unique(cls, return_index=True)[1]] = True
-        stop = int(np.searchsorted(np.cumsum(~first), need - len(rare))) + 1
-        order = np.argsort(cls[:stop], kind="stable")
-        part, at = often[:stop][order], cls[:stop][order]
-        ends = np.searchsorted(at, at, side="right")
-        lengths = ends - np.arange(1, len(at) + 1)
-        left = np.repeat(np.arange(len(at)), lengths)
-        right = np.arange(len(left)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + left + 1
-        out.append(mixed(mixed(part[left]) * np.uint64(0x9E3779B97F4A7C15) + part[right] + np.uint64(k)))
-    return rare, np.concatenate(out)
-
-
-def prefix(s: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles of a set in the common order, one more than it may lack, by their leading 31 bits in that order."""
-    order = (s >> np.uint64(2)) | (frequent.astype(np.uint64) << np.uint64(62))
-    return (np.sort(order)[: _losses(len(s), percent) + 1] >> np.uint64(32)).astype(np.int32)
-
-
-#: Bits of a set's parity map.
-PARITY_BITS = 256
-#: Least signatures of a set that are kept with it.
-LEAST = 8
+def signatures(s: np.ndarray, level: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of a set whose shingles have these levels, and the level of each: rare shingles, and pairs of frequent ones with the lesser level of the two."""
+    need, b = _losses(len(s), percent) + 1, band(len(s), percent)
+    order = np.lexsort((s, level))
+    s, level = s[order], level[order]
+    rare = len(s) if subclasses(b, percent) == 0 else int(np.searchsorted(level, FREQUENT))
+    alone = int(np.searchsorted(level, 0, side="right"))
+    sigs, levels = [s[alone : min(rare, need)]], [np.zeros(max(0, min(rare, need) - alone), np.uint8)]
+    if rare < need:
+        often, much = s[rare:], level[rare:]
+        for k in (b, b + 1):
+            cls = mixed(often * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(subclasses(k, percent))
+            # losses that the shingles up to each stand for: all but the first of each subclass
+            first = np.zeros(len(often), bool)
+            first[np.unique(cls, return_index=True)[1]] = True
+            stop = int(np.searchsorted(np.cumsum(~first), need - rare)) + 1
+            by = np.argsort(cls[:stop], kind="stable")
+            part, of, at = often[:stop][by], much[:stop][by], cls[:stop][by]
+            ends = np.searchsorted(at, at, side="right")
+            lengths = ends - np.arange(1, len(at) + 1)
+            left = np.repeat(np.arange(len(at)), lengths)
+            right = np.arange(len(left)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + left + 1
+            sigs.append(mixed(mixed(part[left]) * np.uint64(0x9E3779B97F4A7C15) + part[right] + np.uint64(k)))
+            levels.append(np.minimum(of[left], of[right]))
+    return np.concatenate(sigs), np.concatenate(levels)
 
 
 def parity(s: np.ndarray) -> np.ndarray:
@@ -113,158 +111,225 @@ def parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(bit, minlength=PARITY_BITS) & 1).view(">i8").astype(np.int64)
 
 
-def _scan(n: int, text: str):
-    """Pass 1: class and size of each document, and each task's part of the frequency sketch."""
+def packed(a: np.ndarray) -> bytes:
+    """Unsigned numbers, byte planes from the lowest to the highest one used, compressed."""
+    a = a.astype("<u8")
+    width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
+    return bytes([width]) + len(a).to_bytes(4, "little") + pa.compress(a.view("u1").reshape(-1, 8)[:, :width].T.tobytes(), codec="zstd", asbytes=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int32)  # 16 MB
-        for b in slices(batches, text):
-            sets = list(shingle_sets(word_codes(b.column(text), lower=True), n))
-            flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
-            sketch += np.bincount((flat >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch)).astype(np.int32)
-            empty = pa.nulls(b.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(b.num_rows, pa.int32()), empty],
-                ["doc_id", "cls", "n", "part", "counts"],
-            )
-        parts = [x.astype("<u2").tobytes() for x in np.split(np.minimum(sketch, 0xFFFF), SKETCH_PARTS)]  # more is frequent anyhow
-        k = len(parts)
-        yield pa.RecordBatch.from_arrays([pa.nulls(k, docs_type), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()), pa.array(range(k), pa.int32()), pa.array(parts, pa.binary())], ["doc_id", "cls", "n", "part", "counts"])
-
-    docs_type = pa.int64()
-    return run
 
+def unpacked(b: bytes) -> np.ndarray:
+    width, n = b[0], int.from_bytes(b[1:5], "little")
+    raw = np.frombuffer(pa.decompress(b[5:], width * n, codec="zstd", asbytes=True), "u1").reshape(width, n)
+    out = np.zeros((n, 8), "u1")
+    out[:, :width] = raw.T
+    return out.view("<u8").reshape(-1).astype(np.uint64)
 
-def _add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.int64)
-    for b in batches:
-        for x in b.column("counts").to_pylist():
-            total += np.frombuffer(x, "<u2")
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(total, 0x7FFFFFFF).astype("<i4").tobytes()], pa.binary())], ["part", "counts"])
 
+def _lay(text: str):
+    """Rows into chunks of texts: a number and the rows, compressed."""
 
-def frequent_above(mean: float) -> float:
-    """Buckets with more than this hold a frequent shingle: chance alone hardly puts so many rare ones together."""
-    return max(32.0, mean + 8 * math.sqrt(mean))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 24
+        for b in slices(batches, text, mb=CHUNK_MB, gather=True):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(b)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "rows"])
+            chunk += 1
 
+    return run
 
-def frequency_sketch(scan: DataFrame) -> np.ndarray:
-    """Shingles of all documents by hash bucket: 2 ** SKETCH_BITS counts (16 MB) come to the driver, whatever the corpus."""
-    parts = scan.filter("part IS NOT NULL").select("part", "counts").groupBy("part").applyInArrow(_add_up, "part int, counts binary")
-    out = np.zeros(1 << SKETCH_BITS, np.int32)
-    step = len(out) // SKETCH_PARTS
-    for r in parts.collect():
-        out[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(r["counts"], "<i4")
-    return out
 
+class Chunk:
+    """The sets of a chunk: one for each distinct set (``flat``, ``ends``, ``keys``), and for each row its set (-1: no words)."""
 
-SIGNED = ["sig", "salt", "cls", "n", "prefix", "parity", "least"]
+    def __init__(self, blob: bytes, n: int, text: str) -> None:
+        rows = pa.ipc.open_stream(blob).read_all().combine_chunks().to_batches()[0]
+        self.ids = rows.column("doc_id")
+        sets = list(shingle_sets(word_codes(rows.column(text), lower=True), n))
+        sizes = np.array([len(s) for s in sets], np.int64)
+        flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+        keys = set_keys(flat, np.concatenate([[0], np.cumsum(sizes)]))
+        seen: dict[tuple[int, int], int] = {}
+        firsts = []
+        of = np.full(len(sets), -1, np.int64)
+        for i, key in enumerate(map(tuple, keys.tolist())):
+            if sizes[i]:
+                if key not in seen:
+                    seen[key] = len(firsts)
+                    firsts.append(i)
+                of[i] = seen[key]
+        self.of, self.sizes, self.keys = of, sizes[firsts], keys[firsts]
+        self.flat = flat if len(firsts) == len(sets) else np.concatenate([*(sets[i] for i in firsts), np.zeros(0, np.uint64)])
+        self.ends = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.n = sizes
 
+    def names(self) -> list[bytes]:
+        return [k.tobytes() for k in self.keys.astype(">u8")]
 
-def _sign(n: int, percent: int, text: str, often):
-    """Pass 2: the signatures of each class, and in a row without signature its prefix, once a batch."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(often.value, np.uint8)).astype(bool)
-        for b in slices(batches, text):
-            seen: set[bytes] = set()
-            keys, sizes, rare, pairs, firsts, maps, least = [], [], [], [], [], [], []
-            for s in shingle_sets(word_codes(b.column(text), lower=True), n):
-                if not len(s) or (key := set_key(s)) in seen:
-                    continue
-                seen.add(key)
-                frequent = bits[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                x, y = signatures(s, frequent, percent)
-                keys.append(key), sizes.append(len(s)), rare.append(x), pairs.append(y), firsts.append(prefix(s, frequent, percent))
-                maps.append(parity(s)), least.append(np.sort(np.concatenate([x, y]).view(np.int64))[:LEAST])
-            per = np.array([len(x) + len(y) for x, y in zip(rare, pairs)], np.int64)
-            sig = np.concatenate([*(z for x, y in zip(rare, pairs) for z in (x, y)), np.zeros(0, np.uint64)])
-            hot = np.concatenate([*(np.repeat([False, True], [len(x), len(y)]) for x, y in zip(rare, pairs)), np.zeros(0, bool)])
-            who = np.repeat(np.arange(len(keys)), per)
-            salt = np.where(hot, 1 + np.array([k[0] % SALTS for k in keys], np.int32)[who], 0)
-            ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-            all_keys, all_sizes, k = pa.array(keys, pa.binary()), np.array(sizes, np.int64), len(keys)
-            columns = [pa.array(sig.view(np.int64)), pa.array(salt.astype(np.int32)), all_keys.take(pa.array(who)), pa.array(all_sizes[who]), pa.nulls(len(sig), ints), *[pa.nulls(len(sig), longs)] * 2]
-            yield pa.RecordBatch.from_arrays(columns, SIGNED)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), all_keys, pa.array(all_sizes), pa.array(firsts, ints), *[pa.array(x, longs) for x in (maps, least)]], SIGNED)
+def _part_edges(parts: int, bits: int) -> np.ndarray:
+    return np.array([-(-(p << bits) // parts) for p in range(parts)], np.uint64)
 
-    return run
 
+def _schema(**types) -> pa.Schema:
+    return pa.schema(list(types.items()))
 
-def _send_sets(n: int, text: str, wanted):
-    """Sets of the classes that the filter of wanted ones lets pass, once a batch."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8), bitorder="little").astype(bool)
-        for b in slices(batches, text, mb=8):
-            out: dict[bytes, np.ndarray] = {}
-            for s in shingle_sets(word_codes(b.column(text), lower=True), n):
-                if len(s) and bits[int.from_bytes((key := set_key(s))[:4], "big") % len(bits)]:
-                    out[key] = s.view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.list_(pa.int64()))], ["cls", "shingles"])
+BUCKETS = _schema(part=pa.int32(), chunk=pa.int64(), buckets=pa.binary(), counts=pa.binary())
 
-    return run
 
+def _send_buckets(n: int, text: str, parts: int, bits: int):
+    """A chunk's distinct buckets, with the number of its sets in each, to the partitions of their ranges. Partitions without one get no row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = _part_edges(parts, bits)
+        for b in batches:
+            for chunk, blob in zip(b.column("chunk").to_pylist(), b.column("rows")):
+                at, count = np.unique(Chunk(blob.as_py(), n, text).flat >> np.uint64(64 - bits), return_counts=True)
+                cuts = np.append(np.searchsorted(at, edges), len(at))
+                some = np.flatnonzero(np.diff(cuts)).tolist()
+                spans = [slice(cuts[p], cuts[p + 1]) for p in some]
+                steps = [packed(np.diff(at[x], prepend=edges[p])) for p, x in zip(some, spans)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((some, [chunk] * len(some), steps, [packed(count[x]) for x in spans]), BUCKETS.types)], schema=BUCKETS)
+                give_back()
 
-FILTER_BITS = 1 << 25
+    return run
 
 
-def _set_filter(classes: DataFrame) -> bytes:
-    """A bit for the leading bytes of each class's key: 4 MB whatever the number of classes. With very many it lets all pass, and the join that follows is exact."""
+LEVELS = _schema(chunk=pa.int64(), part=pa.int32(), levels=pa.binary())
+
+
+def _levels(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The level of each bucket, to each chunk in the order it was sent in: 0 for a single set, k for up to 2 ** k sets."""
+    rows = [r for b in batches for r in b.to_pylist()]
+    sent = [np.cumsum(unpacked(r["buckets"])) for r in rows]
+    one, of = np.unique(np.concatenate(sent), return_inverse=True)
+    total = np.bincount(of, np.concatenate([unpacked(r["counts"]) for r in rows]).astype(np.float64), len(one))
+    level = np.ceil(np.log2(total)).astype(np.uint8)[of]
+    ends = np.cumsum([len(x) for x in sent])
+    out = [pa.compress(x.tobytes(), codec="zstd", asbytes=True) for x in np.split(level, ends[:-1])]
+    yield pa.RecordBatch.from_arrays([pa.array([r["chunk"] for r in rows], pa.int64()), pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([len(x).to_bytes(4, "little") + o for x, o in zip(sent, out)], pa.binary())], schema=LEVELS)
+    give_back()
+
+
+#: Of a chunk: its rows (doc_id, n, cls), its sets that have signatures (cls, n, shingles, parity), and the signatures for each partition.
+SIGNED = _schema(
+    kind=pa.int8(), doc_id=pa.int64(), cls=pa.binary(), n=pa.int64(), shingles=pa.list_(pa.int64()), parity=pa.list_(pa.int64()),
+    part=pa.int32(), sig=pa.binary(), slice=pa.binary(), who=pa.binary(), keys=pa.binary(), sizes=pa.binary(), maps=pa.binary(),
+)
+SIGNED_SQL = "kind byte, doc_id long, cls binary, n long, shingles array<long>, parity array<long>, part int, sig binary, slice binary, who binary, keys binary, sizes binary, maps binary"
+ROW, SET, SENT = 0, 1, 2
+
+
+def _table(kind: int, **columns) -> pa.Table:
+    size = len(next(iter(columns.values())))
+    given = {"kind": [kind] * size, **columns}
+    return pa.Table.from_arrays([pa.array(given[f.name], f.type) if f.name in given else pa.nulls(size, f.type) for f in SIGNED], schema=SIGNED)
+
+
+def _sign(n: int, percent: int, text: str, parts: int, bits: int):
+    def run(laid: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        for blob in laid.column("rows"):
+            c = Chunk(blob.as_py(), n, text)
+            names = c.names()
+            out.append(_table(ROW, doc_id=c.ids.to_pylist(), cls=[names[k] if k >= 0 else None for k in c.of.tolist()], n=c.n))
+            one, of = np.unique(c.flat >> np.uint64(64 - bits), return_inverse=True)
+            got = sorted(answers.select(["part", "levels"]).to_pylist(), key=lambda r: r["part"])
+            known = [np.frombuffer(pa.decompress(r["levels"][4:], int.from_bytes(r["levels"][:4], "little"), codec="zstd", asbytes=True), "u1") for r in got]
+            level = np.concatenate([*known, np.zeros(0, np.uint8)])[of]
+            need = c.sizes - -(-c.sizes * percent // 100) + 1
+            signing = np.flatnonzero(sums((level == 0).astype(np.int64), c.ends) < need).tolist()
+            spans = [slice(c.ends[k], c.ends[k + 1]) for k in signing]
+            signed = [signatures(c.flat[x], level[x], percent) for x in spans]
+            maps = [parity(c.flat[x]) for x in spans]
+            out.append(_table(SET, cls=[names[k] for k in signing], n=c.sizes[signing], shingles=[c.flat[x].view(np.int64) for x in spans], parity=maps))
+            sig = np.concatenate([*(x for x, _ in signed), np.zeros(0, np.uint64)])
+            high = np.concatenate([*(x for _, x in signed), np.zeros(0, np.uint8)]).astype(np.int64)
+            who = np.repeat(np.arange(len(signing)), [len(x) for x, _ in signed])
+            # buckets of frequent pairs are cut into slices of their members: 0 is no slice
+            slices_of = np.int64(1) << np.maximum(0, high - int(math.log2(SLICE)))
+            cut = np.where(slices_of > 1, 1 + (c.keys[signing, 0][who] >> np.uint64(1)).astype(np.int64) % slices_of, 0)
+            to = (mixed(sig * np.uint64(0xD1342543DE82EF95) + cut.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((who, to))
+            cuts = np.searchsorted(to[order], np.arange(parts + 1))
+            sent = []
+            for p in range(parts):
+                mine = order[cuts[p] : cuts[p + 1]]
+                if len(mine):
+                    used, at = np.unique(who[mine], return_inverse=True)
+                    some = np.array(signing)[used]
+                    sent.append((p, sig[mine].tobytes(), packed(cut[mine]), packed(at), b"".join(names[k] for k in some), packed(c.sizes[some]), np.array([maps[k] for k in used], "<i8").tobytes()))
+            if sent:
+                out.append(_table(SENT, **dict(zip(("part", "sig", "slice", "who", "keys", "sizes", "maps"), zip(*sent)))))
+        give_back()
+        return pa.concat_tables(out) if out else SIGNED.empty_table()
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        on = np.zeros(FILTER_BITS, bool)
-        for b in batches:
-            for k in b.column(0).to_pylist():
-                on[int.from_bytes(k[:4], "big") % FILTER_BITS] = True
-        words = np.packbits(on, bitorder="little")
-        some = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some].astype(np.int16))], ["at", "bits"])
+    return run
 
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    got = classes.mapInArrow(bits, "at long, bits short").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
-    out[got["at"].to_numpy()] = got["bits"].to_numpy().astype(np.uint8)
-    return out.tobytes()
 
+MEMBERS = "sig long, slice int, cls binary, n long, hub binary, hub_n long, near boolean"
+
+
+def _buckets(percent: int):
+    """The members of the buckets that hold more than one set, and the least one of each, the hub; of slices all, as others may hold more."""
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, base, parts = [r for b in batches for r in b.to_pylist()], 0, []
+        for r in rows:
+            parts.append((np.frombuffer(r["sig"], "<u8"), unpacked(r["slice"]).astype(np.int64), unpacked(r["who"]).astype(np.int64) + base))
+            base += len(r["keys"]) // 16
+        names, first, of = np.unique(np.frombuffer(b"".join(r["keys"] for r in rows), ">u8").astype(np.uint64).reshape(-1, 2), axis=0, return_index=True, return_inverse=True)
+        size = np.concatenate([unpacked(r["sizes"]) for r in rows]).astype(np.int64)[first]
+        maps = np.frombuffer(b"".join(r["maps"] for r in rows), "<u8").reshape(-1, PARITY_BITS // 64)[first]
+        sig, cut, who = (np.concatenate(x) for x in zip(*parts))
+        who = of.reshape(-1)[who]
+        order = np.lexsort((who, cut, sig))
+        sig, cut, who = sig[order], cut[order], who[order]
+        start = np.concatenate([[True], (sig[1:] != sig[:-1]) | (cut[1:] != cut[:-1])])
+        new = start | np.concatenate([[True], who[1:] != who[:-1]])  # copies from several chunks are one member
+        sig, cut, who, start = sig[new], cut[new], who[new], start[new]
+        at = np.flatnonzero(start)
+        many = np.diff(np.append(at, len(sig)))
+        hub = np.repeat(who[at], many)
+        keep = np.flatnonzero((np.repeat(many, many) > 1) | (cut > 0))
+        blobs = pa.array([x.tobytes() for x in names.astype(">u8")], pa.binary())
+        for x in np.array_split(keep, len(keep) // 100_000 + 1):
+            h, w = hub[x], who[x]
+            near = np.bitwise_count(maps[h] ^ maps[w]).sum(1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (size[h] + size[w])
+            near &= percent * np.maximum(size[h], size[w]) <= 100 * np.minimum(size[h], size[w])
+            columns = [pa.array(sig[x].view(np.int64)), pa.array(cut[x], pa.int32()), blobs.take(pa.array(w)), pa.array(size[w]), blobs.take(pa.array(h)), pa.array(size[h]), pa.array(near)]
+            yield pa.RecordBatch.from_arrays(columns, ["sig", "slice", "cls", "n", "hub", "hub_n", "near"])
+        give_back()
 
-def _apart(a: str, b: str) -> Column:
-    """Bits in which two parity maps differ."""
-    return sum((F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(1, PARITY_BITS // 64)), F.bit_count(F.get(a, 0).bitwiseXOR(F.get(b, 0))))
+    return run
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
     """Sizes and parity maps of two sides allow a link: linked sets differ in at most (1 - t) / (1 + t) of the sum of their sizes."""
     n = [F.col(f"{x}n") for x in (a, b)]
-    return (percent * F.greatest(*n) <= 100 * F.least(*n)) & ((100 + percent) * _apart(f"{a}parity", f"{b}parity") <= (100 - percent) * (n[0] + n[1]))
+    apart = sum((F.bit_count(F.get(f"{a}parity", i).bitwiseXOR(F.get(f"{b}parity", i))) for i in range(1, PARITY_BITS // 64)), F.bit_count(F.get(f"{a}parity", 0).bitwiseXOR(F.get(f"{b}parity", 0))))
+    return (percent * F.greatest(*n) <= 100 * F.least(*n)) & ((100 + percent) * apart <= (100 - percent) * (n[0] + n[1]))
 
 
-def _plausible(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sizes and prefixes allow a link.
-
-    Common shingles up to the end of the prefix that ends first are in both prefixes, so the sets have at most those and what follows that prefix in common.
-    """
-    side = lambda k: prefixes.select(F.col("cls").alias(k), F.col("n").alias(f"_n{k}"), F.col("prefix").alias(f"_p{k}"), F.col("n").alias(f"_{k}n"), F.col("parity").alias(f"_{k}parity"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b").filter(_may_link("_a", "_b", percent))
-    behind, last = [F.col(f"_n{k}") - F.size(f"_p{k}") for k in "ab"], [F.element_at(f"_p{k}", -1) for k in "ab"]
-    rest = F.when(last[0] < last[1], behind[0]).when(last[0] > last[1], behind[1]).otherwise(F.greatest(*behind))
-    merged = F.size("_pa") - F.size(F.array_distinct("_pa"))  # shingles whose leading bits agree count once in the intersection
-    most = F.size(F.array_intersect("_pa", "_pb")) + merged + rest
-    sizes = percent * F.greatest("_na", "_nb") <= 100 * F.least("_na", "_nb")
-    return met.filter(sizes & ((100 + percent) * most >= percent * (F.col("_na") + F.col("_nb")))).select("a", "b")
-
-
-def _linked(pairs: DataFrame, docs: DataFrame, prefixes: DataFrame, n: int, percent: int, text: str) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose whole sets link, as a table."""
-    pairs = written(_plausible(pairs, prefixes, percent), "jaccard-plausible")
-    if pairs.isEmpty():
-        return pairs
     classes = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    wanted = docs.sparkSession.sparkContext.broadcast(_set_filter(classes))
-    sets = docs.mapInArrow(_send_sets(n, text, wanted), StructType([StructField("cls", prefixes.schema["cls"].dataType), StructField("shingles", ArrayType(LongType()))]))
-    sets = written(sets.join(classes, "cls", "left_semi").dropDuplicates(["cls"]), "jaccard-sets")
-    met = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("_a")), "a").join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("_b")), "b")
+    some = written(sets.join(classes, "cls", "left_semi").dropDuplicates(["cls"]).select("cls", "shingles"), "jaccard-sets")
+    met = pairs.join(some.select(F.col("cls").alias("a"), F.col("shingles").alias("_a")), "a").join(some.select(F.col("cls").alias("b"), F.col("shingles").alias("_b")), "b")
     both = F.size(F.array_intersect("_a", "_b"))
-    return written(met.filter(100 * both >= percent * (F.size("_a") + F.size("_b") - both)).select("a", "b"), "jaccard-links")
+    out = written(met.filter(100 * both >= percent * (F.size("_a") + F.size("_b") - both)).select("a", "b"), "jaccard-links")
+    discard(some)
+    return out
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs (a, b) that no component holds both of."""
+    of = lambda k: comps.select(F.col("node").alias(k), F.col("component").alias(f"_{k}"))
+    met = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return met.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
@@ -272,47 +337,50 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
 
     Texts link when 100 * intersection >= percent * union of their sets of n-word shingles (A-Z lower-cased);
     component_id is the least doc_id that links reach. Null and empty texts link with nothing, not even each other. Repeated rows and ids
-    stay rows of their own; a null doc_id is never a component's id unless there is no other. No pair, bucket or set is capped.
+    stay rows of their own; a null doc_id is never a component's id unless there is no other. An empty table gives no rows; other columns don't count.
     """
     if not 50 <= percent < 100:
         raise ValueError("percent: 50 to 99")
-    spark = docs.sparkSession
-    light_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias(text))
-    scan = written(docs.mapInArrow(_scan(n, text), "doc_id long, cls binary, n long, part int, counts binary"), "jaccard-scan")
-    rows = scan.filter("part IS NULL").select("doc_id", "cls", "n")
-    counts = frequency_sketch(scan)
-    often = spark.sparkContext.broadcast(np.packbits(counts > frequent_above(float(counts.mean()))).tobytes())
-
-    signed = written(docs.mapInArrow(_sign(n, percent, text, often), "sig long, salt int, cls binary, n long, prefix array<int>, parity array<long>, least array<long>"), "jaccard-signatures")
-    prefixes = signed.filter("prefix IS NOT NULL").select("cls", "n", "prefix", "parity", "least").dropDuplicates(["cls"])
-    prefixes = written(prefixes, "jaccard-classes")
-    signed = signed.filter("prefix IS NULL").select("sig", "salt", "cls", "n")
-    bucket = Window.partitionBy("sig", "salt")
-    starred = signed.withColumn("hub", F.min(F.struct("cls", "n")).over(bucket)).withColumn("top", F.max("cls").over(bucket))
-    # copies from several tasks are one member; a bucket's rows are together, so that takes no shuffle
-    members = starred.filter("salt > 0 OR hub.cls <> top").select("sig", "salt", "cls", "n", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n")).distinct()
-    members = written(members, "jaccard-members")
-    fits = lambda x, y: percent * F.greatest(x, y) <= 100 * F.least(x, y)
-    stars = members.filter("cls <> hub").filter(fits("n", "hub_n")).select(F.col("hub").alias("a"), F.col("cls").alias("b"))
-    hubs = members.filter("salt > 0").select("sig", "hub", "hub_n").distinct()
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(12, int(size / 1e6 / PART_MB) + 1)
+    bits = max(20, (int(size) * 8).bit_length())  # some fifty buckets for every shingle
+    laid_type = StructType([StructField("chunk", LongType()), StructField("rows", BinaryType())])
+    laid = written(docs.mapInArrow(_lay("text"), laid_type), "jaccard-chunks")
+    sent = laid.mapInArrow(_send_buckets(n, "text", parts, bits), "part int, chunk long, buckets binary, counts binary")
+    levels = sent.groupBy("part").applyInArrow(_levels, "chunk long, part int, levels binary")
+    signed = laid.groupBy("chunk").cogroup(levels.groupBy("chunk")).applyInArrow(_sign(n, percent, "text", parts, bits), SIGNED_SQL)
+    signed = written(signed, "jaccard-signatures")
+    discard(laid)
+    rows, sets = signed.filter(F.col("kind") == ROW).select("doc_id", "cls", "n"), signed.filter(F.col("kind") == SET).select("cls", "n", "shingles", "parity")
+    messages = signed.filter(F.col("kind") == SENT).select("part", "sig", "slice", "who", "keys", "sizes", "maps")
+    members = written(messages.groupBy("part").applyInArrow(_buckets(percent), MEMBERS), "jaccard-members")
+
+    # the hubs of a bucket's slices are members of the bucket of the least hub
+    hubs = members.filter("slice > 0").select("sig", "hub", "hub_n").distinct()
     tops = hubs.groupBy("sig").agg(F.min(F.struct("hub", "hub_n")).alias("t"), F.max("hub").alias("_top")).filter("t.hub <> _top")
-    tied = hubs.join(tops, "sig").filter("hub <> t.hub").filter(fits(F.col("hub_n"), F.col("t.hub_n")))
-    tried = written(stars.union(tied.select(F.col("t.hub").alias("a"), F.col("hub").alias("b"))).distinct(), "jaccard-pairs")
-    members = members.select("sig", "cls", "n")
-    links = _linked(tried, docs, prefixes, n, percent, text)
+    tied = hubs.join(tops, "sig").filter("hub <> t.hub").filter(percent * F.greatest("hub_n", "t.hub_n") <= 100 * F.least("hub_n", "t.hub_n"))
+    stars = members.filter("near AND cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).union(tied.select(F.col("t.hub").alias("a"), F.col("hub").alias("b")))
+    tried = written(stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")), "jaccard-stars")
+    best = written(tried.groupBy("b").agg(F.max(F.struct("shared", "a"))["a"].alias("a")).select("a", "b"), "jaccard-best")
+    links = _linked(best, sets, percent)
     comps = components(links, "a", "b")
-    # buckets that hold several components still: pairs across them, at the least signature that both have if it is among the kept ones
-    held = members.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
+    rest = written(_apart(tried.select("a", "b").join(best, ["a", "b"], "left_anti"), comps), "jaccard-rest")
+    if not rest.isEmpty():
+        comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_linked(rest, sets, percent)), "a", "b")
+    # buckets that hold several components still
+    held = members.select("sig", "cls", "n").distinct().join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
+    held = written(held, "jaccard-held")
     open_ = held.groupBy("sig").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).filter("_a <> _b").select("sig")
-    held = held.join(prefixes.select("cls", "parity", "least"), "cls").join(open_, "sig")
-    x, y = (held.select(F.col("sig"), *[F.col(c).alias(f"{k}{c}") for c in ("cls", "n", "comp", "parity", "least")]) for k in "xy")
-    first = F.array_min(F.array_intersect("xleast", "yleast"))
-    met = x.join(y, "sig").filter((F.col("xcomp") < F.col("ycomp")) & _may_link("x", "y", percent) & (F.coalesce(first, F.col("sig")) == F.col("sig")))
-    across = met.select(F.least("xcls", "ycls").alias("a"), F.greatest("xcls", "ycls").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = _linked(across, docs, prefixes, n, percent, text)
-    if not more.isEmpty():
-        comps = components(links.union(more), "a", "b")
+    maps = sets.select("cls", "parity").dropDuplicates(["cls"])
+    held = held.join(open_, "sig").join(maps, "cls")
+    x, y = (held.select(F.col("sig"), *[F.col(c).alias(f"{k}{c}") for c in ("cls", "n", "comp", "parity")]) for k in "xy")
+    met = x.join(y, "sig").filter((F.col("xcomp") < F.col("ycomp")) & _may_link("x", "y", percent))
+    across = met.select(F.least("xcls", "ycls").alias("a"), F.greatest("xcls", "ycls").alias("b")).distinct()
+    across = written(across.join(tried, ["a", "b"], "left_anti"), "jaccard-across")
+    if not across.isEmpty():
+        comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_linked(across, sets, percent)), "a", "b")
+    discard(members, tried, best, rest, across)
 
     placed = rows.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
     least = placed.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
@@ -322,10 +390,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
     """The rows of ``docs`` but for near duplicates: of each component, the row with the least doc_id stays.
 
-    Texts without words are never duplicates. With repeated or null ids, the first row in the table's order stays.
+    Texts without words are never duplicates. Of repeated or null ids, the first row in the order of text and other columns stays.
     """
     rows = keyed(docs, "doc_id", "_key")
-    found = near_duplicates(rows.select(F.col("_key").alias("doc_id"), F.col(text)), n, percent, text)
+    found = near_duplicates(rows.select(F.col("_key").alias("doc_id"), F.col(text).alias("text")), n, percent)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_key"))
     return rows.join(gone, "_key", "left_anti").select(docs.columns)
 

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusmill.llm.common import WORD, keyed, n_words, running_start, written
-from locusmill.llm.words import light_batches
 
 SEED = 20240601
 
@@ -219,7 +218,6 @@ def mixed_documents(docs: DataFrame, source: str, weights: tuple[float, ...], ca
     stay one stretch. Texts without words are in no row. Columns keep their values, but for the text.
     """
     rows = keyed(docs, "doc_id", "_key")
-    light_batches(docs.sparkSession)
     plan, _, takes = mix_plan(rows.select("_key", source, n_words(F.col(text)).alias("size")), source, ["_key", "size"], F.col("size"), weights, cap, block_words)
     p, used = pieces(plan, block_words).alias("p"), takes.groupBy("rank", "block").agg(F.sort_array(F.collect_list("took"), asc=False).alias("tooks")).alias("u")
     met = p.join(used, (F.col("p._rank") == F.col("u.rank")) & (F.col("p.block") == F.col("u.block")))

@@ -10,7 +10,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
 
 
 @dataclass
@@ -54,13 +53,6 @@ def give_back() -> None:
         pass
 
 
-def light_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Let Spark send at most ``rows`` rows at once to Python from now on in this session, as texts can be long."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str, mb: float = 8, gather: bool = False) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that each has about ``mb`` MB of text at most, or one row; ``gather``: small ones put together first."""
     for b in _gathered(batches, mb) if gather else batches:
@@ -110,13 +102,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def utf8(names: pa.Array) -> np.ndarray:
+    """The bytes of all strings, one after the other; none is null."""
+    offsets = np.frombuffer(names.buffers()[1], np.int64 if pa.types.is_large_string(names.type) or pa.types.is_large_binary(names.type) else np.int32)[names.offset : names.offset + len(names) + 1]
+    return np.frombuffer(names.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+
+
 def string_hashes(names: pa.Array) -> np.ndarray:
     """A 64-bit hash of each string's bytes, the same in every batch: a polynomial in an odd number, then mixed."""
     if not len(names):
         return np.zeros(0, np.uint64)
     size = pc.binary_length(names).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.concatenate([[0], np.cumsum(size)])
-    raw = np.frombuffer(b"".join(pc.cast(names, pa.binary()).to_pylist()), np.uint8)
+    raw = utf8(names)
     longest = int(size.max())
     powers = np.cumprod(np.full(max(1, longest), _STEP | np.uint64(1), np.uint64))
     at = np.arange(len(raw)) - np.repeat(ends[:-1], size)

@@ -290,11 +290,11 @@ def components(rows, n, percent):
     return collections.Counter(out)
 
 
-@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
-@pytest.mark.parametrize("above", [None, 1.5])
-def test_jaccard(monkeypatch, docs, none, rows, n, percent, above):
-    if above:  # most shingles count as frequent: pairs of them are the signatures
-        monkeypatch.setattr(jaccard, "frequent_above", lambda mean: above)
+@pytest.mark.parametrize(("n", "percent", "frequent", "slice_of"), [(3, 90, 6, 4096), (5, 80, 6, 4096), (5, 80, 1, 4096), (3, 90, 1, 1)])
+def test_jaccard(monkeypatch, docs, none, rows, n, percent, frequent, slice_of):
+    # most shingles that are shared count as frequent: pairs of them are the signatures, in slices or not
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard, "SLICE", slice_of)
     got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(docs, n, percent).collect())
     assert got == components(rows, n, percent)
     assert jaccard.near_duplicates(none, n, percent).count() == 0
@@ -310,15 +310,17 @@ def test_linked_sets_share_a_signature(percent):
         b = np.unique(np.concatenate([rng.permutation(a)[drop:], rng.integers(0, 2**63, int(rng.integers(0, 4)), dtype=np.uint64)]))
         if not len(b):
             continue
-        often = lambda s: (s >> np.uint64(3)) % np.uint64(10) < rng_share
-        for rng_share in (0, 3, 9, 10):
+        for share in (0, 3, 9, 10):
+            level = lambda s: np.where((s >> np.uint64(3)) % np.uint64(10) < share, 6 + (s >> np.uint64(9)) % np.uint64(3), 1 + (s >> np.uint64(9)) % np.uint64(5)).astype(np.uint8)  # noqa: E731, B023
             if 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b)):
-                x, y = (np.concatenate(jaccard.signatures(s, often(s), percent)) for s in (a, b))
+                x, y = (jaccard.signatures(s, level(s), percent)[0] for s in (a, b))
                 assert len(np.intersect1d(x, y))
-                px, py = (jaccard.prefix(s, often(s), percent) for s in (a, b))
-                behind = len(a) - len(px), len(b) - len(py)
-                rest = max(behind) if px[-1] == py[-1] else behind[int(px[-1] > py[-1])]
-                assert len(np.intersect1d(px, py)) + len(px) - len(set(px)) + rest >= len(np.intersect1d(a, b))
+                assert np.bitwise_count((jaccard.parity(a) ^ jaccard.parity(b)).view(np.uint64)).sum(dtype=np.int64) <= len(np.setxor1d(a, b))
+
+
+def test_packed_numbers():
+    for a in ([], [0], [255, 256, 3], [2**40, 1], [2**64 - 1]):
+        assert jaccard.unpacked(jaccard.packed(np.array(a, np.uint64))).tolist() == a
 
 
 def test_keep_one(docs, rows):
