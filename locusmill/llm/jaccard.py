@@ -11,7 +11,7 @@ band of sizes and the next, which holds every size it can link with.
 
 Equal sets are one class from the start. In each signature's bucket the members are verified against the least one (in slices, for frequent
 shingles): first each set against the one it shares most buckets with, then against the others that are still in another component; only where a bucket
-then holds several components are the pairs across components verified. Copies are never paired, and no pair, bucket or set is capped.
+then holds several components are the pairs across components verified, again the closest pair of two components first. Copies are never paired, and no pair, bucket or set is capped.
 """
 
 from __future__ import annotations
@@ -315,14 +315,19 @@ def _may_link(a: str, b: str, percent: int) -> Column:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets link, as a table."""
+    """The pairs (a, b) of classes whose whole sets link, as a table. Sets are dealt by class once, for both sides."""
     classes = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    some = written(sets.join(classes, "cls", "left_semi").dropDuplicates(["cls"]).select("cls", "shingles"), "jaccard-sets")
+    some = sets.join(classes, "cls", "left_semi").dropDuplicates(["cls"]).select("cls", "shingles")
     met = pairs.join(some.select(F.col("cls").alias("a"), F.col("shingles").alias("_a")), "a").join(some.select(F.col("cls").alias("b"), F.col("shingles").alias("_b")), "b")
     both = F.size(F.array_intersect("_a", "_b"))
-    out = written(met.filter(100 * both >= percent * (F.size("_a") + F.size("_b") - both)).select("a", "b"), "jaccard-links")
-    discard(some)
-    return out
+    return written(met.filter(100 * both >= percent * (F.size("_a") + F.size("_b") - both)).select("a", "b"), "jaccard-links")
+
+
+def _grown(comps: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Components with the pairs that link besides."""
+    if pairs.isEmpty():
+        return comps
+    return components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_linked(pairs, sets, percent)), "a", "b")
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -363,24 +368,25 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     stars = members.filter("near AND cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).union(tied.select(F.col("t.hub").alias("a"), F.col("hub").alias("b")))
     tried = written(stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")), "jaccard-stars")
     best = written(tried.groupBy("b").agg(F.max(F.struct("shared", "a"))["a"].alias("a")).select("a", "b"), "jaccard-best")
-    links = _linked(best, sets, percent)
-    comps = components(links, "a", "b")
+    comps = components(_linked(best, sets, percent), "a", "b")
     rest = written(_apart(tried.select("a", "b").join(best, ["a", "b"], "left_anti"), comps), "jaccard-rest")
-    if not rest.isEmpty():
-        comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_linked(rest, sets, percent)), "a", "b")
+    comps = _grown(comps, rest, sets, percent)
     # buckets that hold several components still
     held = members.select("sig", "cls", "n").distinct().join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
     held = written(held, "jaccard-held")
     open_ = held.groupBy("sig").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).filter("_a <> _b").select("sig")
     maps = sets.select("cls", "parity").dropDuplicates(["cls"])
-    held = held.join(open_, "sig").join(maps, "cls")
-    x, y = (held.select(F.col("sig"), *[F.col(c).alias(f"{k}{c}") for c in ("cls", "n", "comp", "parity")]) for k in "xy")
+    several = held.join(open_, "sig").join(maps, "cls")
+    x, y = (several.select(F.col("sig"), *[F.col(c).alias(f"{k}{c}") for c in ("cls", "n", "comp", "parity")]) for k in "xy")
     met = x.join(y, "sig").filter((F.col("xcomp") < F.col("ycomp")) & _may_link("x", "y", percent))
-    across = met.select(F.least("xcls", "ycls").alias("a"), F.greatest("xcls", "ycls").alias("b")).distinct()
+    across = met.groupBy(F.least("xcls", "ycls").alias("a"), F.greatest("xcls", "ycls").alias("b"), "xcomp", "ycomp").agg(F.count(F.lit(1)).alias("shared"))
     across = written(across.join(tried, ["a", "b"], "left_anti"), "jaccard-across")
-    if not across.isEmpty():
-        comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_linked(across, sets, percent)), "a", "b")
-    discard(members, tried, best, rest, across)
+    # of two components first the pair that shares most, then the others of those still apart
+    closest = written(across.groupBy("xcomp", "ycomp").agg(F.max(F.struct("shared", "a", "b")).alias("m")).select("m.a", "m.b"), "jaccard-closest")
+    comps = _grown(comps, closest, sets, percent)
+    others = written(_apart(across.select("a", "b").join(closest, ["a", "b"], "left_anti"), comps), "jaccard-others")
+    comps = _grown(comps, others, sets, percent)
+    discard(members, tried, best, rest, held, across, closest, others)
 
     placed = rows.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
     least = placed.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
