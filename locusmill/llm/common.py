@@ -66,32 +66,24 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def running_start(
-    df: DataFrame, cell: list[str], order: list[str], size: str, out: str, run_rows: int = 100_000
-) -> DataFrame:
-    """Add ``out``: the sum of ``size`` over the rows that precede a row in its cell.
-
-    A cell of any size is dealt by hash into runs of about ``run_rows`` rows, so that no task
-    sorts a whole cell: rows are summed by run, runs are summed within their cell, and only then is
-    each row placed inside its run. The order within a cell is by run, then by ``order``, then by the
-    hash of ``order``; rows that agree in all of them are interchangeable. ``order`` must separate
-    most rows of a cell, as it deals them.
+def running_start(df: DataFrame, cell: list[str], order: list[str], size: str, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``size`` over the rows that precede a row in its cell, in the order of ``order``; ``df`` is a narrow table.
+
+    Rows are range-partitioned by cell and order, so that no task sorts a whole cell: a range's rows are summed, ranges are
+    summed within their cell, and each row is placed inside its range. Rows that agree in all columns of ``order`` follow in any order; they may fill several ranges.
     """
-    same = lambda a, b, keys: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
-    runs = df.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / F.lit(run_rows)).cast("int").alias("_runs"))
-    dealt = (
-        df.alias("a")
-        .join(runs.alias("b"), same("a", "b", cell))
-        .select("a.*", F.pmod(F.xxhash64(*[F.col(f"a.{c}") for c in order]), F.col("b._runs")).cast("int").alias("_run"))
-    )
-    sums = dealt.groupBy(*cell, "_run").agg(F.sum(size).alias("_sum"))
-    before = Window.partitionBy(*cell).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*cell, *order]
+    rows = df.withColumn("_mark", F.monotonically_increasing_id())
+    ranged = written(rows.repartitionByRange(*keys, "_mark").withColumn("_run", F.spark_partition_id()), "ranges")
+    at = [*cell, "_run"]
+    sums = ranged.groupBy(*at).agg(F.sum(size).alias("_sum"))
+    before = Window.partitionBy(*(cell or [F.lit(1)])).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     sums = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-    inside = Window.partitionBy(*[f"a.{c}" for c in cell], "a._run").orderBy(*[f"a.{c}" for c in order]).rowsBetween(Window.unboundedPreceding, -1)
-    keys = [*cell, "_run"]
+    inside = Window.partitionBy(*[f"a.{c}" for c in at]).orderBy(*[f"a.{c}" for c in order], "a._mark").rowsBetween(Window.unboundedPreceding, -1)
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in at]
     return (
-        dealt.alias("a")
-        .join(sums.alias("b"), same("a", "b", keys))
+        ranged.alias("a")
+        .join(sums.alias("b"), same)
         .select("a.*", (F.col("b._base") + F.coalesce(F.sum(f"a.{size}").over(inside), F.lit(0))).cast("long").alias(out))
-        .drop("_run")
+        .drop("_run", "_mark")
     )

@@ -1,7 +1,7 @@
 """Packing along a space-filling curve.
 
 A document's vector is the mean of pseudorandom sign vectors of its token ids, a hashed bag of words projected to
-``DIMS`` dimensions. Its coordinates give a Hilbert key; documents are laid end to end in the order of their keys, and the one
+``DIMS`` dimensions. Its coordinates give a Hilbert key; documents are range-sorted by it and laid end to end, and the one
 long row of tokens is cut every ``length`` tokens. So neighbours on the curve share sequences, only the end of the row is not a
 full sequence, and that end is cut into powers of two, which need no padding.
 """
@@ -15,17 +15,15 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from locusmill.llm.common import running_start, written
-from locusmill.llm.tokens import encode_words
-from locusmill.llm.words import ragged, slices, sums, word_codes
+from locusmill.llm.tokens import encode, loaded
+from locusmill.llm.words import ragged, slices, sums
 
 DIMS, BITS = 4, 8
-#: Leading bits of the key that make a cell; cells are laid one after the other.
-CELL_BITS = 16
 PIECE = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
@@ -68,28 +66,28 @@ def _coordinates(mean: np.ndarray) -> np.ndarray:
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text") -> DataFrame:
-    """Replace the text by ``_ids`` (unsigned 16-bit little-endian ids, then ``end_id``), ``_n`` of them and the Hilbert ``_key``."""
+    """Replace the text by ``_ids`` (unsigned little-endian ids, then ``end_id``, in as many bytes as the vocabulary needs), ``_n`` of them and the Hilbert ``_key``."""
+    width = id_type(tokenizer, end_id)
     spec = docs.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text())
     kept = [c for c in docs.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, text, mb=16, gather=True):
-            w = word_codes(b.column(text))
-            flat, at = encode_words(w.names, spec.value)
+            flat, at, units, offsets = encode(b.column(text), spec.value)
             per = np.diff(at)
-            flat = flat.astype("<u2")
+            flat = flat.astype(width)
             signs = sign_vectors(1 << 16)
-            whole = np.stack([sums(signs[flat, d].astype(np.float64), at) for d in range(DIMS)], 1)  # of each distinct word
-            n = sums(per[w.codes], w.offsets)
-            mean = np.stack([sums(whole[w.codes, d], w.offsets) for d in range(DIMS)], 1) / np.maximum(n, 1)[:, None]
+            whole = np.stack([sums(signs[flat & 0xFFFF, d].astype(np.float64), at) for d in range(DIMS)], 1)  # of each unit
+            n = sums(per[units], offsets)
+            mean = np.stack([sums(whole[units, d], offsets) for d in range(DIMS)], 1) / np.maximum(n, 1)[:, None]
             keys = hilbert_key(_coordinates(mean))
-            tail = np.array([end_id], "<u2").tobytes()
+            tail = np.array([end_id], width).tobytes()
             step = 512  # texts whose ids are laid out at once
             for a in range(0, b.num_rows, step):
                 z = min(b.num_rows, a + step)
-                codes = w.codes[w.offsets[a] : w.offsets[z]]
+                codes = units[offsets[a] : offsets[z]]
                 ids = ragged(flat, at[:-1][codes], per[codes]).tobytes()
-                ends = np.concatenate([[0], np.cumsum(n[a:z])]) * 2
+                ends = np.concatenate([[0], np.cumsum(n[a:z])]) * int(width[-1])
                 blobs = [ids[x:y] + tail for x, y in zip(ends[:-1].tolist(), ends[1:].tolist())]
                 part = b.slice(a, z - a)
                 yield pa.RecordBatch.from_arrays(
@@ -100,6 +98,11 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text")
     return docs.mapInArrow(run, StructType([*[docs.schema[c] for c in kept], *added]))
 
 
+def id_type(tokenizer: str, end_id: int) -> str:
+    """Two bytes where all ids fit, else four."""
+    return "<u2" if max(end_id, loaded(Path(tokenizer).read_text()).get_vocab_size() - 1) < 1 << 16 else "<u4"
+
+
 def last_cuts(total: int, length: int) -> list[int]:
     """Ends of the sequences behind the last full one: powers of two, falling."""
     at, cuts = total - total % length, []
@@ -110,7 +113,7 @@ def last_cuts(total: int, length: int) -> list[int]:
     return cuts
 
 
-def _cutter(total: int, length: int):
+def _cutter(total: int, length: int, width: str):
     full, tail = total // length, np.array(last_cuts(total, length), np.int64)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +121,7 @@ def _cutter(total: int, length: int):
             docs, rows = b.column("doc_id").take, []
             of: list[int] = []
             for i, (blob, start) in enumerate(zip(b.column("_ids").to_pylist(), b.column("_start").to_pylist())):
-                ids = np.frombuffer(blob, "<u2").astype("<u4")
+                ids = np.frombuffer(blob, width).astype("<u4")
                 end = start + len(ids)
                 inner = np.concatenate([np.arange((start // length + 1) * length, min(end, full * length + 1), length), tail])
                 at = [start, *inner[(inner > start) & (inner < end)].tolist(), end]
@@ -140,21 +143,15 @@ def pack_along_curve(docs: DataFrame, tokenizer: str, length: int = 4096, end_id
     """The pieces of every document (columns ``doc_id`` and ``text``), with their sequence and offset there.
 
     Null and empty texts are the end id alone; repeated rows and ids are documents of their own; an empty table
-    gives no pieces. ``length`` is a power of two. Equal keys (copies) follow each other in any order, and a cell of the curve with
-    very many documents is laid in several runs along it.
+    gives no pieces; other columns don't count. ``length`` is a power of two. Documents are sorted in ranges of the key; equal keys (copies) follow by the hash of id and tokens.
     """
-    laid = written(tokenised(docs.select(F.col("doc_id"), F.col(text)), tokenizer, end_id, text).withColumn("_row", F.monotonically_increasing_id()), "packing-ids")
-    small = laid.select("_row", "_key", "_n", F.shiftright("_key", DIMS * BITS - CELL_BITS).cast("int").alias("_cell"))
-    # at most 2 ** CELL_BITS rows
-    cells = small.groupBy("_cell").agg(F.sum("_n").alias("_size"))
-    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("_base", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    inside = running_start(small, ["_cell"], ["_key", "_row"], "_n", "_at")
-    starts = inside.join(F.broadcast(cells), "_cell").select("_row", (F.col("_at") + F.col("_base")).alias("_start"))
+    laid = tokenised(docs.select(F.col("doc_id"), F.col(text)), tokenizer, end_id, text)
+    laid = written(laid.withColumn("_tie", F.xxhash64("doc_id", "_ids")).withColumn("_row", F.monotonically_increasing_id()), "packing-ids")
+    starts = running_start(laid.select("_row", "_key", "_tie", "_n"), [], ["_key", "_tie"], "_n", "_start").select("_row", "_start")
     total = laid.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     placed = laid.join(starts, "_row").select("doc_id", "_ids", "_start")
     schema = StructType([docs.schema["doc_id"], *[StructField(c, LongType()) for c in PIECE]])
-    return placed.mapInArrow(_cutter(total, length), schema)
+    return placed.mapInArrow(_cutter(total, length, id_type(tokenizer, end_id)), schema)
 
 
 def op5_curve_packing(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:

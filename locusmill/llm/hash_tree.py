@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusmill.llm.common import running_start, written
+from locusmill.llm.common import running_start
 
 
 @dataclass(frozen=True)
@@ -74,17 +74,15 @@ def shard_of(key: Column, tree: Node) -> Column:
     return out
 
 
-def assign_shards(df: DataFrame, key: str, tree: Node, size: Column, grown_tree: Node | None = None) -> DataFrame:
+def assign_shards(df: DataFrame, key: str, tree: Node, grown_tree: Node | None = None) -> DataFrame:
     """Add ``shard``, ``slot`` (gapless from 0 in each shard) and, with ``grown_tree``, ``grown_shard``.
 
     Every row gets a shard: null keys share one, repeated keys share theirs, and repeated rows get slots of
-    their own. An empty table stays empty. Columns of ``df`` named like the added ones are replaced.
+    their own. An empty table stays empty. Columns of ``df`` named ``shard``, ``slot`` or ``grown_shard`` are replaced, others stay.
     """
-    placed = df.drop("shard", "slot", "grown_shard", "_size").withColumn("shard", shard_of(F.col(key), tree).cast("int"))
+    placed = df.drop("shard", "slot", "grown_shard").withColumn("shard", shard_of(F.col(key), tree).cast("int"))
     placed = placed.withColumn("grown_shard", (shard_of(F.col(key), grown_tree) if grown_tree else F.lit(None)).cast("int"))
-    placed = placed.withColumn("_one", F.lit(1).cast("long")).withColumn("size", size.cast("long"))
-    order = [key, *[c for c in ("text_crc32",) if c in placed.columns]]
-    return running_start(written(placed, "shards"), ["shard"], order, "_one", "slot").drop("_one")
+    return running_start(placed.withColumn("_one", F.lit(1).cast("long")), ["shard"], [key], "_one", "slot").drop("_one")
 
 
 def op9_hash_tree(docs: DataFrame, n_shards: int = 8) -> DataFrame:
@@ -96,5 +94,5 @@ def op9_hash_tree(docs: DataFrame, n_shards: int = 8) -> DataFrame:
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).cast("long").alias("text_crc32"),
         F.lit("key").alias("law"),
     )
-    out = assign_shards(rows, "doc_id", tree, F.col("size"), grown(tree, n_shards))
+    out = assign_shards(rows, "doc_id", tree, grown(tree, n_shards))
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -37,16 +37,19 @@ def held_out(doc_id) -> bool:
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
-    """Factors for counts 1 to LAST from n, the numbers of types seen 1 to LAST + 1 times (n[0] is unused).
+    """Factors for counts 1 to LAST from n, the numbers of types seen 1 to LAST + 1 times (n[0] is unused): Good-Turing, as Katz normalises it.
 
-    Good-Turing by Katz, where that gives factors in (0, 1) for all; else half a count is taken off each.
+    Copies of documents make raw numbers of types uneven at every size of corpus, so log n is fitted by a line over log count first; the
+    factors then lie in (0, 1) whenever the line falls faster than 1 / count. Where it doesn't, or with fewer than two numbers, half a count is taken off each.
     """
-    r = np.arange(1, LAST + 1)
-    with np.errstate(all="ignore"):
-        tail = (LAST + 1) * n[LAST + 1] / n[1]
-        d = ((r + 1) * n[r + 1] / n[r] / r - tail) / (1 - tail)
-    ok = np.isfinite(d).all() and ((d > 0) & (d < 1)).all()
-    return np.concatenate([[0.0], d if ok else (r - 0.5) / r])
+    r = np.arange(1, LAST + 2)
+    some = n[1:] > 0
+    slope = np.polyfit(np.log(r[some]), np.log(n[1:][some]), 1)[0] if some.sum() > 1 else 0.0
+    r = r[:-1]
+    if slope >= -1 - 1e-9:
+        return np.concatenate([[0.0], (r - 0.5) / r])
+    tail = (LAST + 1.0) ** (slope + 1)
+    return np.concatenate([[0.0], ((1 + 1 / r) ** (slope + 1) - tail) / (1 - tail)])
 
 
 def _discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:

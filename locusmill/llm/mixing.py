@@ -132,7 +132,7 @@ def _slots_needed(size: int, quota: int, blocks: int, block_words: int) -> int:
 
 
 def mix_plan(
-    docs: DataFrame, source: str, order: list[str], size: Column, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.0, block_words: int = 256, n_shards: int = 64
+    docs: DataFrame, source: str, order: list[str], size: Column, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.0, block_words: int = 256, n_shards: int = 64, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The mix as tables: documents with their place, sources with their targets, and what of each block is taken.
 
@@ -149,7 +149,7 @@ def mix_plan(
     sources = written(sources.withColumn("blocks", F.ceil(F.col("size") / block_words).cast("long")), "mix-sources")
     known = [r.asDict() for r in sources.select("rank", "size", "quota", "blocks").orderBy("rank").collect()]
     slots = np.array([_slots_needed(r["size"], r["quota"], r["blocks"], block_words) for r in known] or [0], np.int64)
-    drawn = shard_draws(slots, n_shards)
+    drawn = shard_draws(slots, n_shards, seed)
     first = np.cumsum(drawn, axis=0) - drawn
     rows = [(r["rank"], k, int(first[k, j]), int(drawn[k, j]), r["size"], r["quota"]) for j, r in enumerate(known) for k in range(n_shards) if drawn[k, j]]
     spark = docs.sparkSession
@@ -161,7 +161,7 @@ def mix_plan(
         .withColumn("slot", F.explode(F.sequence(F.col("first") + F.col("c") * chunk, F.col("first") + F.least((F.col("c") + 1) * chunk, F.col("n")) - 1)))
         .select("rank", "shard", "slot", "size", "quota")
     )
-    takes = slots_df.mapInPandas(_place_slots(block_words, SEED), "rank int, shard int, slot long, block long, took long")
+    takes = slots_df.mapInPandas(_place_slots(block_words, seed), "rank int, shard int, slot long, block long, took long")
     ranked = sized.join(
         sources.select(F.col(source).alias("_source"), F.col("rank").alias("_rank"), F.col("size").alias("source_size"), "target"),
         sized[source].eqNullSafe(F.col("_source")),
@@ -180,24 +180,26 @@ def pieces(placed: DataFrame, block_words: int) -> DataFrame:
     return held.withColumn("lo", F.greatest(F.col("_start") - base, F.lit(0))).withColumn("hi", F.least(end - base, F.lit(block_words)))
 
 
-def op1_source_mix(docs: DataFrame, block_words: int = 256) -> DataFrame:
-    """The contract's query: what the mix takes of every document.
+def op1_source_mix(docs: DataFrame, block_words: int = 256, n_shards: int = 64, seed: int = SEED) -> DataFrame:
+    """The contract's query: what the mix takes of every document, and in ``shards`` how many words go to which output shard (``shard:words`` by shard, comma-joined).
 
     Documents of one source and doc_id follow each other in any order; equal rows share what they are taken together evenly
-    only by chance, their sum is fixed. Empty and null texts have no words and are never taken.
+    only by chance, their sum is fixed. Empty and null texts have no words and are never taken. Other columns don't count.
     """
     rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    placed, _, takes = mix_plan(rows, "source", ["doc_id", "size"], F.col("size"), block_words=block_words)
+    placed, _, takes = mix_plan(rows, "source", ["doc_id", "size"], F.col("size"), block_words=block_words, n_shards=n_shards, seed=seed)
     placed = written(placed, "mix-placed")
-    # what is taken of a block: so many whole takes, and leading parts of it by the one slot that is cut
-    used = takes.groupBy("rank", "block").agg(F.collect_list("took").alias("tooks"))
+    # what is taken of a block, by shard: so many whole takes, and leading parts of it by the one slot that is cut
+    used = takes.groupBy("rank", "block", "shard").agg(F.collect_list("took").alias("tooks"))
     p = pieces(placed, block_words).alias("p")
     u = used.alias("u")
     met = p.join(u, (F.col("p._rank") == F.col("u.rank")) & (F.col("p.block") == F.col("u.block")))
     words = F.aggregate("u.tooks", F.lit(0).cast("long"), lambda a, t: a + F.greatest(F.least(t, F.col("p.hi")) - F.col("p.lo"), F.lit(0).cast("long")))
-    taken = met.groupBy("p._rank", "p._start").agg(F.sum(words).alias("taken"))
+    by_shard = met.groupBy("p._rank", "p._start", "u.shard").agg(F.sum(words).alias("n")).filter("n > 0")
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("shard", "n"))), lambda x: F.concat_ws(":", x["shard"].cast("string"), x["n"].cast("string"))), ",")
+    taken = by_shard.groupBy("_rank", "_start").agg(F.sum("n").alias("taken"), listed.alias("shards"))
     out = placed.alias("a").join(taken.alias("b"), (F.col("a._rank") == F.col("b._rank")) & (F.col("a._start") == F.col("b._start")) & (F.col("a.size") > 0), "left")
-    return out.select("a.doc_id", "a.size", "a.source_size", "a.target", F.coalesce("b.taken", F.lit(0)).cast("long").alias("taken"))
+    return out.select("a.doc_id", "a.size", "a.source_size", "a.target", F.coalesce("b.taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("b.shards", F.lit("")).alias("shards"))
 
 
 def _cut_words(texts: pd.Series, lows: pd.Series, highs: pd.Series, sizes: pd.Series) -> pd.Series:

@@ -1,7 +1,6 @@
 """Secret scanning through a trigram inverted index, in DataFrame functions only.
 
-Each rule's regular expression is given with the literal alternatives that any match must contain; from these the
-Boolean trigram query is derived: an OR over the alternatives of an AND over their trigrams. The index holds postings
+From each rule's regular expression a Boolean query over trigrams is derived (``regex_trigrams``): an OR of ANDs that every match satisfies. The index holds postings
 (trigram, document) for every trigram that some query names, over every document. Intersecting the postings
 of a query gives the documents that may match; only those are run against the rule's expression. A rule without a
 mandatory trigram has no query and scans every document.
@@ -9,6 +8,7 @@ mandatory trigram has no query and scans every document.
 
 from __future__ import annotations
 
+import re._parser as parser
 from dataclasses import dataclass
 from itertools import chain
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """``literals``: strings one of which, in lower case, lies in every match; empty if none is mandatory.
+    """``pattern``: what both Java and Python read alike.
 
     ``value_group`` and ``min_chars``: a match whose group is shorter is dropped after matching.
     ``mask``: whether ``mask_secrets`` hides the match.
@@ -26,7 +26,6 @@ class Rule:
 
     kind: str
     pattern: str
-    literals: tuple[str, ...] = ()
     value_group: int = 0
     min_chars: int = 0
     mask: bool = True
@@ -34,37 +33,131 @@ class Rule:
 
 # The three base kinds.
 BASE = (
-    Rule(
-        "assign",
-        r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-        ("password", "passwd", "secret", "token", "apikey", "api_key"),
-        2,
-        12,
-    ),
-    Rule("access", r"AKIA[A-Z0-9]{14,}", ("akia",), 0, 18),
-    Rule("hex", r"[0-9a-f]{16,}", (), 0, 16),
+    Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    Rule("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
+    Rule("hex", r"[0-9a-f]{16,}", 0, 16),
 )
 #: Kinds that the operator adds. ``[0-9a-f]{16,}`` and ``AKIA[A-Z0-9]{14,}`` above match what longest runs
 #: of at least that length match.
 ADDED = (
-    Rule("bearer", r"(?i)\bbearer\x20+[A-Za-z0-9+/_.~=-]{16,}", ("bearer",)),
-    Rule("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    Rule("slack", r"\bxox[abeoprs]-[A-Za-z0-9-]{10,}", tuple(f"xox{c}-" for c in "abeoprs")),
-    Rule("google", r"\bAIza[A-Za-z0-9_-]{35}", ("aiza",)),
-    Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", ("eyj",)),
-    Rule("pem", r"-----BEGIN[A-Z\x20]*\x20PRIVATE\x20KEY-----", ("private key-----",)),
-    Rule("url_password", r"(?i)\b[a-z][a-z0-9+.-]*://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/@]{6,}@", ("://",)),
+    Rule("bearer", r"(?i)\bbearer\x20+[A-Za-z0-9+/_.~=-]{16,}"),
+    Rule("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("slack", r"\bxox[abeoprs]-[A-Za-z0-9-]{10,}"),
+    Rule("google", r"\bAIza[A-Za-z0-9_-]{35}"),
+    Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    Rule("pem", r"-----BEGIN[A-Z\x20]*\x20PRIVATE\x20KEY-----"),
+    Rule("url_password", r"(?i)\b[a-z][a-z0-9+.-]*://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/@]{6,}@"),
 )
 
 
 SPANS = "array<struct<start:int,end:int,kind:string>>"
 
 
+Query = frozenset[frozenset[str]]
+#: Every text satisfies it.
+ANY_TEXT: Query = frozenset({frozenset()})
+#: Strings and characters of a class that are spelled out, strings' length, clauses of a query: beyond these less is asked for, never more.
+STRINGS, LETTERS, LENGTH, CLAUSES = 64, 16, 24, 64
+
+
+def _or(a: Query, b: Query) -> Query:
+    every = a | b
+    least = frozenset(c for c in every if not any(d < c for d in every))
+    return least if len(least) <= CLAUSES else ANY_TEXT
+
+
+def _and(a: Query, b: Query) -> Query:
+    both: Query = frozenset(c | d for c in a for d in b) if len(a) * len(b) <= CLAUSES * CLAUSES else a
+    least = frozenset(c for c in both if not any(d < c for d in both))
+    return least if len(least) <= CLAUSES else a
+
+
+def _holds(strings: frozenset[str]) -> Query:
+    """One of the strings is in the text."""
+    if any(len(x) < 3 for x in strings):
+        return ANY_TEXT
+    out: Query = frozenset()
+    for x in sorted(strings):
+        out = _or(out, frozenset({frozenset(x[i : i + 3] for i in range(len(x) - 2))}))
+    return out
+
+
+def _letters(items) -> frozenset[str] | None:
+    """The characters of a class in lower case; None: not spelled out."""
+    out: set[str] = set()
+    for op, x in items:
+        if op == parser.LITERAL:
+            codes = [x]
+        elif op == parser.RANGE and x[1] - x[0] < 4 * LETTERS:
+            codes = range(x[0], x[1] + 1)
+        else:
+            return None
+        if any(c > 127 for c in codes):
+            return None  # lower case isn't the same everywhere
+        out |= {chr(c).lower() for c in codes}
+    return frozenset(out) if len(out) <= LETTERS else None
+
+
+def _strings(op, x) -> tuple[frozenset[str] | None, Query]:
+    """Of a node: the strings that it matches, if they are few, else None; and a query that holds for what it matches."""
+    if op in (parser.LITERAL, parser.IN):
+        got = _letters([(op, x)] if op == parser.LITERAL else x)
+        return got, ANY_TEXT
+    if op in (parser.AT, parser.ASSERT, parser.ASSERT_NOT):
+        return frozenset({""}), ANY_TEXT
+    if op == parser.SUBPATTERN:
+        return _sequence(x[-1])
+    if op == parser.BRANCH:
+        parts = [_sequence(b) for b in x[1]]
+        if all(e is not None for e, _ in parts) and len(one := frozenset().union(*(e for e, _ in parts))) <= STRINGS:
+            return one, _holds(one)
+        query: Query = frozenset()
+        for _, q in parts:
+            query = _or(query, q)
+        return None, query
+    if op in (parser.MAX_REPEAT, parser.MIN_REPEAT, parser.POSSESSIVE_REPEAT):
+        low, high, body = x
+        exact, query = _sequence(body)
+        if exact is not None and high == 1:
+            return exact | {""}, ANY_TEXT
+        return None, query if low else ANY_TEXT
+    return None, ANY_TEXT
+
+
+def _sequence(nodes) -> tuple[frozenset[str] | None, Query]:
+    now: frozenset[str] = frozenset({""})
+    query, whole = ANY_TEXT, True
+    for op, x in nodes:
+        repeat = op in (parser.MAX_REPEAT, parser.MIN_REPEAT, parser.POSSESSIVE_REPEAT)
+        times = x[0] if repeat and x[0] == x[1] else 1 if repeat and x[0] > 0 else 0
+        exact, more = _sequence(x[2]) if times else _strings(op, x)
+        for _ in range(max(1, times)):
+            joined = None if exact is None else frozenset(a + b for a in now for b in exact) if len(now) * len(exact) <= STRINGS else None
+            if joined is not None and max(map(len, joined)) <= LENGTH:
+                now = joined
+                continue
+            query, whole = _and(_and(query, _holds(now)), more), False
+            now = frozenset({""}) if exact is None else exact
+            if exact is None:
+                break
+        if times and x[0] != x[1]:  # more of the same may follow
+            query, whole, now = _and(query, _holds(now)), False, frozenset({""})
+    query = _and(query, _holds(now))
+    return (now if whole else None), query
+
+
+def regex_trigrams(pattern: str) -> Query:
+    """An OR of ANDs of trigrams that every match of a regular expression holds in lower case, read from the parsed expression.
+
+    Literals, small classes, alternations and repeats are multiplied out to strings as far as they are few; what can't be spelled out asks for nothing.
+    """
+    return _sequence(parser.parse(pattern))[1]
+
+
 def trigram_query(rule: Rule) -> list[frozenset[str]]:
-    """The OR of ANDs of trigrams that every match satisfies; empty if there is no such query."""
-    if not rule.literals or any(len(x) < 3 for x in rule.literals):
-        return []
-    return [frozenset(x[i : i + 3] for i in range(len(x) - 2)) for x in rule.literals]
+    """The rule's OR of ANDs of trigrams; empty if no trigram is mandatory."""
+    query = regex_trigrams(rule.pattern)
+    return [] if frozenset() in query else sorted(query, key=sorted)
 
 
 def postings(docs: DataFrame, key: str, text: str, rules: tuple[Rule, ...]) -> DataFrame:
@@ -123,9 +216,12 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rules
     Null and empty texts have none. A null key is a key of its own; rows that share a key share the index's
     candidates, each row is verified on its own text. Every row of ``docs`` is kept, an empty table stays empty, and a column ``spans`` is replaced.
     """
-    docs = docs.drop("spans", "_kinds")
-    hits = candidates(postings(docs, key, text, rules), rules).withColumnRenamed("key", "_key").withColumnRenamed("kinds", "_kinds")
-    joined = docs.join(hits, docs[key].eqNullSafe(hits["_key"]), "left").drop("_key")
+    docs = docs.drop("spans")
+    if any(trigram_query(r) for r in rules):
+        hits = candidates(postings(docs, key, text, rules), rules).withColumnRenamed("key", "_key").withColumnRenamed("kinds", "_kinds")
+        joined = docs.join(hits, docs[key].eqNullSafe(hits["_key"]), "left").drop("_key")
+    else:
+        joined = docs.withColumn("_kinds", F.array().cast("array<string>"))
     none = F.array().cast(SPANS)
     by_rule = [
         F.when(F.array_contains("_kinds", r.kind), _spans(F.col(text), r)).otherwise(none) if trigram_query(r) else _spans(F.col(text), r)

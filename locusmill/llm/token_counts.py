@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from locusmill.llm.tokens import encode_words
-from locusmill.llm.words import slices, sums, word_codes
+from locusmill.llm.tokens import encode
+from locusmill.llm.words import slices, sums
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
@@ -31,9 +31,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFra
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, text, mb=16, gather=True):
-            w = word_codes(b.column(text))
-            _, offsets = encode_words(w.names, spec.value)
-            n = sums(np.diff(offsets)[w.codes], w.offsets)
+            _, offsets, units, at = encode(b.column(text), spec.value)
+            n = sums(np.diff(offsets)[units], at)
             size = pc.cast(pc.fill_null(pc.binary_length(b.column(text)), 0), pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns, size, pa.array(n, pa.int64())], [*b.schema.names, "n_bytes", "n_tokens"])
 

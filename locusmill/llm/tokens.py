@@ -1,12 +1,12 @@
-"""Token ids of words, with the vocabulary's whole tokens found without merging.
+"""Token ids of texts, with the vocabulary's whole tokens found without merging.
 
-For ``word_bpe_49k.json``, a text's tokens are those of its white-space separated words one after the other: no pre-token and
-no special string holds white space, and its normalizer doesn't join characters across it. So each distinct word of a batch
-is encoded once.
+Where no pre-token and no special string holds white space and the normalizer doesn't join characters across it, a text's tokens are those of its white-space separated words one
+after the other, and each distinct word of a batch is encoded once. ``word_wise`` reads from the tokenizer file whether that is so; texts of any other tokenizer go to the library whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from functools import lru_cache
 
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from locusmill.llm.words import ragged
+from locusmill.llm.words import ragged, word_codes
 
 #: Words of these characters only are split here; NFC leaves them alone and lower case maps each to one of them.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -34,6 +34,43 @@ def loaded(spec: str) -> Tokenizer:
     return t
 
 
+#: What a tokenizer file must say for its texts to be encoded word by word, by the patterns above.
+WORD_WISE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+@lru_cache(maxsize=2)
+def word_wise(spec: str) -> bool:
+    """Whether texts are encoded word by word: the file's normalizer, split and end of word are those that ``encode_words`` knows, and its special strings start as known and hold no white space."""
+    file = json.loads(spec)
+    special = [t["content"] for t in file.get("added_tokens") or []]
+    plain = file.get("post_processor") is None and file["model"].get("end_of_word_suffix") == "</w>" and file["model"]["type"] == "BPE"
+    return plain and all(file.get(k) == v for k, v in WORD_WISE.items()) and all(t.startswith(_SPECIAL) and t.split() == [t] for t in special)
+
+
+def encode(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Token ids of units, the units' offsets into them, the units of all texts, the texts' offsets into those.
+
+    Units are words, each distinct one encoded once, or whole texts. Null texts have no ids.
+    """
+    if word_wise(spec):
+        w = word_codes(texts)
+        ids, at = encode_words(w.names, spec)
+        return ids, at, w.codes, w.offsets
+    got = loaded(spec).encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+    per = np.array([len(e.ids) for e in got], np.int64)
+    ids = np.fromiter((i for e in got for i in e.ids), np.uint32, int(per.sum()))
+    return ids, np.concatenate([[0], np.cumsum(per)]), np.arange(len(got)), np.arange(len(got) + 1)
+
+
 @lru_cache(maxsize=2)
 def whole_tokens(spec: str) -> dict[str, int]:
     """Strings that are one pre-token and encode alone as one token: each is proved by the library itself."""
@@ -63,12 +100,17 @@ def _byte_letters() -> dict[str, int]:
 _BYTE = _byte_letters()
 #: The byte letters of the characters of ``_PLAIN`` beyond ASCII.
 _LETTERS = {c: "".join({b: x for x, b in _BYTE.items()}[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
-_memory: dict[str, tuple[int, ...]] = {}
+
+
+@lru_cache(maxsize=2)
+def _remembered(spec: str) -> dict[str, tuple[int, ...]]:
+    return {}
+
 
 
 def encode_words(names: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of each word: flat ids and the words' offsets into them."""
-    t, whole = loaded(spec), whole_tokens(spec)
+    t, whole, memory = loaded(spec), whole_tokens(spec), _remembered(spec)
     table: dict[str, int] = {}  # pre-token or odd word: its place in ``parts``
     place: list[int] = []  # of each word's pre-tokens
     per = np.empty(len(names), np.int32)
@@ -82,18 +124,18 @@ def encode_words(names: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
         per[i] = len(found)
         for p in found:
             place.append(table.setdefault(p, len(table)))
-    if len(_memory) > REMEMBERED:
-        _memory.clear()
+    if len(memory) > REMEMBERED:
+        memory.clear()
     parts = list(table)
-    new = [p for p in parts if p not in whole and p not in _memory]
+    new = [p for p in parts if p not in whole and p not in memory]
     odd = [p for p in new if p[0] == "\0"]
     for p, e in zip(odd, t.encode_batch_fast([p[1:] for p in odd], add_special_tokens=False)):
-        _memory[p] = tuple(e.ids)
+        memory[p] = tuple(e.ids)
     merge = t.model.tokenize
     for p in new:
         if p[0] != "\0":
-            _memory[p] = tuple([x.id for x in merge(p if p.isascii() else p.translate(_LETTERS))])
-    ids = [(whole[p],) if p in whole else _memory[p] for p in parts]
+            memory[p] = tuple([x.id for x in merge(p if p.isascii() else p.translate(_LETTERS))])
+    ids = [(whole[p],) if p in whole else memory[p] for p in parts]
     n = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.fromiter((x for y in ids for x in y), np.uint32, int(n.sum()))
     starts = np.cumsum(n) - n

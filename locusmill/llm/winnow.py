@@ -70,19 +70,43 @@ def as_text(fp: Column) -> Column:
     return F.array_join(F.transform(fp, lambda x: F.concat_ws(":", x["pos"].cast("string"), F.lower(F.hex(x["hash"])))), ",")
 
 
+#: Ranges of keys, at most.
+RANGES = 4096
+
+
+def _range_starts(cuts: list[int]) -> list[tuple[int, int]]:
+    """(key, tie) at which each range but the first starts. A key that is several quantiles has ranges of its own, cut evenly along its ties, which are hashes."""
+    starts = []
+    for v in sorted(set(cuts)):
+        times = cuts.count(v)
+        starts += [(v, -(1 << 63) + (k << 64) // times) for k in range(times)]
+        if times > 1:
+            starts.append((v + 1, -(1 << 63)))
+    return starts
+
+
+def _found(starts: list[tuple[int, int]], at: Column) -> Column:
+    """How many of the sorted starts are not above ``at``, by halves."""
+    if not starts:
+        return F.lit(0)
+    known = F.array(*[F.struct(F.lit(v).cast("long"), F.lit(t).cast("long")) for v, t in starts])
+    steps = [1 << b for b in reversed(range(len(starts).bit_length()))]
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda p, step: F.when(F.get(known, p + step - 1) <= at, p + step).otherwise(p))
+
+
 def with_next(df: DataFrame, key: str, columns: list[str], run_rows: int = 10_000) -> DataFrame:
     """Add ``next_<c>`` for each column: its value in the next row by ``key``, ties by ``tie``; after the last row, the first's.
 
-    Keys are integers. Rows are dealt into key ranges of even width, about ``run_rows`` rows each if keys are spread evenly, and
+    Keys are integers, ties hashes. Rows are dealt into key ranges cut at quantiles of the keys, about ``run_rows`` rows each, and
     ordered inside each; the first row of a range is also sent to the end of the range before it, so that texts
-    are shuffled once. There are at most 100,000 ranges and two, whatever the keys, so their table (40 bytes a range) is broadcast.
+    are shuffled once. There are at most ``RANGES`` quantiles, so their table is broadcast.
     ``df`` must have the columns ``key`` and ``tie`` and is read twice. Null keys come first.
     """
-    at = F.coalesce(F.col(key).cast("decimal(38,0)"), F.lit(None))
-    low, high, rows = df.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
-    run_rows = max(run_rows, rows // 100_000)
-    width = max(1, -(-(int(high) - int(low) + 1) * run_rows // rows)) if low is not None else 1
-    run = F.coalesce(F.floor((at - F.lit(low or 0)) / F.lit(width)).cast("long"), F.lit(-1))
+    rows = df.count()
+    parts = min(RANGES, rows // run_rows)
+    cuts = df.agg(F.percentile_approx(key, [k / parts for k in range(1, parts)], 20 * parts)).first()[0] if parts > 1 else None
+    at = F.struct(F.col(key).cast("long"), F.col("tie"))
+    run = F.when(F.col(key).isNull(), -1).otherwise(_found(_range_starts(list(cuts or [])), at)).cast("long")
     dealt = df.withColumn("_run", run)
     firsts = dealt.groupBy("_run").agg(F.min(F.struct(F.col(key), F.col("tie"))).alias("_first"))
     every = Window.orderBy("_run")  # one row for each range

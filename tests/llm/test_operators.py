@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import statistics
 import zlib
 
 import numpy as np
@@ -68,6 +69,19 @@ def test_mix(docs, none, rows):
     again = mixing.op1_source_mix(docs, block_words=16).collect()
     assert collections.Counter((r["doc_id"], r["size"], r["taken"]) for r in got if r["doc_id"] != 15) == collections.Counter((r["doc_id"], r["size"], r["taken"]) for r in again if r["doc_id"] != 15)
     assert mixing.op1_source_mix(none).count() == 0
+    # the shards hold what is taken, evenly, and follow from the draws
+    def shards(rows):
+        each = collections.Counter()
+        for r in rows:
+            parts = [tuple(map(int, x.split(":"))) for x in r["shards"].split(",") if x]
+            assert sum(n for _, n in parts) == r["taken"] and [k for k, _ in parts] == sorted({k for k, _ in parts})
+            each.update(dict(parts))
+        return each
+
+    few, other = (mixing.op1_source_mix(docs, block_words=16, n_shards=4, seed=seed).collect() for seed in (1, 2))
+    sizes = shards(few)
+    assert sorted(sizes) == [0, 1, 2, 3] and max(sizes.values()) - min(sizes.values()) < 0.1 * sum(sizes.values())
+    assert shards(other) and collections.Counter(r["shards"] for r in few) != collections.Counter(r["shards"] for r in other)
 
 
 def test_mix_limits(spark):
@@ -188,8 +202,15 @@ def test_katz(docs, none, rows):
                 hist[h] += 1
     n = sum(one.values())
 
-    def factors(counts):
-        return katz.discounts(np.bincount([c for c in counts if c <= 6], minlength=7))
+    def factors(counts):  # Katz's discounts from Good-Turing counts, numbers of types smoothed by a log-log line
+        types = collections.Counter(counts)
+        line = statistics.linear_regression([math.log(r) for r in range(1, 7) if types[r]], [math.log(types[r]) for r in range(1, 7) if types[r]])
+        assert line.slope < -1
+        smooth = {r: math.exp(line.intercept + line.slope * math.log(r)) for r in range(1, 7)}
+        left = 6 * smooth[6] / smooth[1]
+        out = [0, *((((r + 1) * smooth[r + 1] / smooth[r]) / r - left) / (1 - left) for r in range(1, 6))]
+        assert all(0 < x < 1 for x in out[1:])
+        return out
 
     d1, d2 = factors(one.values()), factors(two.values())
     cut = lambda c, d: c * (d[c] if c <= 5 else 1)
@@ -259,6 +280,42 @@ def test_packing(docs, none, rows, tokenizer):
     assert curve_packing.op5_curve_packing(none).count() == 0
 
 
+def test_packing_follows_the_curve(spark, docs, rows, tokenizer):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    got = curve_packing.pack_along_curve(docs.filter("doc_id IS NOT NULL AND doc_id <> 15"), path, length=64).filter("start = 0").collect()
+    signs, keys = curve_packing.sign_vectors(1 << 16), {}
+    for d, t, *_ in rows:
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids
+        mean = signs[ids].astype(float).mean(0) if ids else np.zeros(curve_packing.DIMS)
+        keys[d] = int(curve_packing.hilbert_key(curve_packing._coordinates(mean)[None])[0])
+    order = [keys[r["doc_id"]] for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"]))]
+    assert len(order) == len(rows) - 4 and order == sorted(order)
+
+
+def test_other_tokenizers(spark, docs, rows):
+    from tokenizers import Tokenizer
+
+    texts = [t for _, t, *_ in rows] + ODD + ["Hello World  hello", "Übergrößenträger"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json", "word_bpe_49k.json"):  # in one session, one after the other
+        t = Tokenizer.from_file(public_tokenizers.path(name))
+        want = [len(t.encode(x or "", add_special_tokens=False).ids) for x in texts]
+        got = {r["doc_id"]: r["n_tokens"] for r in token_counts.op7_whole_tokens(df, public_tokenizers.path(name)).collect()}
+        assert [got[i] for i in range(len(texts))] == want, name
+    packed = curve_packing.pack_along_curve(df, public_tokenizers.path("byte_bpe_50k.json"), 64).collect()
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for r in packed:
+        ids = np.array([*t.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, 2], "<u4")
+        assert zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes()) == r["ids_crc32"]
+
+
+def test_ids_beyond_two_bytes(monkeypatch, docs, none):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert curve_packing.id_type(path, 2) == "<u2" and curve_packing.id_type(path, 70_000) == "<u4"
+    got = curve_packing.pack_along_curve(docs.filter("doc_id = 0"), path, 64, end_id=70_000).collect()
+    assert [r["ids_crc32"] for r in got] == [zlib.crc32(np.array([70_000], "<u4").tobytes())]
+
+
 def test_hilbert_walks_to_neighbours():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     key = curve_packing.hilbert_key(grid, 3)
@@ -330,24 +387,57 @@ def test_keep_one(docs, rows):
     assert n[texts()[5]] + n[" ".join(texts()[7].split(" "))] + n[texts()[8]] == 1 and n[None] == 2
 
 
-def test_winnowing(docs, none, rows):
+UNIT = re.compile(r"(?=((?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,16}(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]{8}))(?:(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,16}(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D])")
+
+
+def test_winnowing(spark, docs, none, rows):
     got = winnow.op8_winnowing(docs.filter("doc_id IS NOT NULL AND doc_id <> 15")).collect()
     mine = {r["doc_id"]: r for r in got}
     order = sorted((d, t or "") for d, t, *_ in rows if d is not None and d != 15)
-    for (d, t), (_, after) in zip(order, [*order[1:], order[0]]):
-        half = len(t) // 2
-        edited = t[: len(t) - half] + after[:half]
-        assert (mine[d]["n_chars"], mine[d]["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        kept = [x.split(":") for x in mine[d]["fingerprint"].split(",") if x]
-        units = re.findall(r"[^\x20\x09-\x0D]{1,16}", t)
-        grams = max(1, len(units) - 2) if units else 0
-        at = [int(p) for p, _ in kept]
-        assert at == sorted(set(at)) and (bool(at) == bool(units))
-        assert all(any(j <= p < j + 8 for p in at) for j in range(max(0, grams - 7)))
+    after = {d: t for (d, _), (_, t) in zip(order, [*order[1:], order[0]])}
+    edited = {d: t[: len(t) - len(t) // 2] + after[d][: len(t) // 2] for d, t in order}
+    units = {t: [m[1] for m in UNIT.finditer(t)] for t in {x for d, t in order for x in (t, edited[d])}}
+    # the hash of every run of three units, from the same hash function, and the windows' minima by hand
+    runs = sorted({tuple(u[i : i + 3]) for u in units.values() for i in range(len(u) - 2)})
+    hashed = spark.createDataFrame([(list(r),) for r in runs], "u array<string>").select("u", F.xxhash64(*[F.xxhash64(F.get("u", i)) for i in range(3)]).alias("h"))
+    hash_of = {tuple(r["u"]): r["h"] for r in hashed.collect()}
+
+    def kept(t):
+        h = [hash_of[tuple(units[t][i : i + 3])] for i in range(len(units[t]) - 2)]
+        at = sorted({max(i for i in range(j, min(j + 8, len(h))) if h[i] == min(h[j : j + 8])) for j in range(max(1, len(h) - 7))}) if h else []
+        return [(i, h[i]) for i in at]
+
+    def listed(f):
+        return ",".join(f"{i}:{x % 2**64:x}" for i, x in f)
+
+    def like(f, g):
+        a, b = {x for _, x in f}, {x for _, x in g}
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    for d, t in order:
+        r = mine[d]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(edited[d].encode()).hexdigest())
+        whole = lambda x: len(units[x]) > 2 or not units[x]
+        assert not whole(t) or r["fingerprint"] == listed(kept(t))
+        assert not whole(edited[d]) or r["edited_fingerprint"] == listed(kept(edited[d]))
+        assert not (whole(t) and whole(edited[d])) or r["near_edited"] == pytest.approx(like(kept(t), kept(edited[d])))
+        assert not (whole(t) and whole(after[d])) or r["near_next"] == pytest.approx(like(kept(t), kept(after[d])))
     assert winnow.op8_winnowing(none).count() == 0
     assert winnow.op8_winnowing(docs).count() == len(rows)
 
 
+def test_next_row_by_quantiles(spark):
+    rng = random.Random(2)
+    ids = [*range(300), 1 << 60, *[7] * 200, *[None] * 40]  # a far one, a hot one, nulls
+    rows = [(i, rng.randrange(-(1 << 63), 1 << 63), k) for k, i in enumerate(ids)]
+    got = winnow.with_next(spark.createDataFrame(rows, "id long, tie long, n int").repartition(3), "id", ["n"], run_rows=20)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = {a[2]: b[2] for a, b in zip(order, [*order[1:], order[0]])}
+    assert {r["n"]: r["next_n"] for r in got.collect()} == want
+    starts = winnow._range_starts([3, 7, 7, 9])
+    assert starts[:1] == [(3, -(1 << 63))] and starts[3] == (8, -(1 << 63)) and starts == sorted(starts)
+
+
 def test_winnowing_takes_the_rightmost(spark):
     h = spark.createDataFrame([("a a a a a a a a a a a a",)], "t string").select(winnow.fingerprint(F.col("t"), 2, 4).alias("f")).first()["f"]
     assert [x["pos"] for x in h] == list(range(3, 11)) and len({x["hash"] for x in h}) == 1
@@ -378,6 +468,23 @@ def test_sharding(docs, none, rows):
     assert hash_tree.op9_hash_tree(none).count() == 0
 
 
+def test_tree_by_hand(spark):
+    node, leaf = hash_tree.Node, hash_tree.leaf
+    tree = lambda w: node("root", children=(node("r0", children=(node("k0", children=(leaf(0), leaf(1, 2.0))), node("k1", children=(leaf(2),)))), node("r1", children=(node("k2", children=(leaf(3, w), leaf(4))),))))
+    names = ["r0", "r1", "k0", "k1", "k2", *[f"shard{i}" for i in range(5)]]
+    rows = spark.range(2000).select("id", *[F.xxhash64("id", F.lit(n)).alias(n) for n in names], hash_tree.shard_of(F.col("id"), tree(1.0)).alias("now"), hash_tree.shard_of(F.col("id"), tree(3.0)).alias("then")).collect()
+
+    def descend(r, at):
+        while at.shard is None:
+            at = min(at.children, key=lambda c: -math.log(((r[c.name] % 2**64 >> 12) + 1) / 2**52) / c.total)
+        return at.shard
+
+    assert all(descend(r, tree(1.0)) == r["now"] and descend(r, tree(3.0)) == r["then"] for r in rows)
+    # more weight for shard 3: keys move into its region from outside, and inside of it into shard 3; nothing else moves
+    moved = {(r["now"], r["then"]) for r in rows if r["now"] != r["then"]}
+    assert moved and all(b in (3, 4) and (a in (0, 1, 2) or (a, b) == (4, 3)) for a, b in moved)
+
+
 def test_tree_follows_weights(spark):
     tree = hash_tree.Node("root", children=(hash_tree.Node("r0", children=(hash_tree.leaf(0, 3.0), hash_tree.leaf(1, 1.0))), hash_tree.leaf(2, 4.0)))
     n = dict(spark.range(20_000).groupBy(hash_tree.shard_of(F.col("id"), tree)).count().collect())
@@ -408,3 +515,53 @@ def test_secrets(docs, none, rows):
 def test_trigram_queries():
     q = secret_index.trigram_query(secret_index.BASE[0])
     assert frozenset({"tok", "oke", "ken"}) in q and secret_index.trigram_query(secret_index.BASE[2]) == []
+    of = lambda p: {tuple(sorted(c)) for c in secret_index.regex_trigrams(p)}
+    assert of("ab(cd|ef)+gh") == {("abc", "bcd"), ("abe", "bef")} and of("(abc|d*)") == of("[0-9a-f]{9}") == {()}
+    assert of("abc.?DEF") == {("abc", "def")} and of("x{3}") == {("xxx",)} and of("(?i)A[bc]d") == {("abd",), ("acd",)}
+
+
+def _example(rng, nodes):
+    """A random string that a parsed expression matches."""
+    p, out = secret_index.parser, ""
+    for op, x in nodes:
+        if op == p.LITERAL:
+            out += chr(x)
+        elif op == p.IN:
+            codes = [c for o, y in x for c in ([y] if o == p.LITERAL else range(y[0], y[1] + 1) if o == p.RANGE else [])]
+            out += chr(rng.choice(codes if x[0][0] != p.NEGATE else [c for c in range(33, 127) if c not in codes]))
+        elif op == p.SUBPATTERN:
+            out += _example(rng, x[-1])
+        elif op == p.BRANCH:
+            out += _example(rng, rng.choice(x[1]))
+        elif op in (p.MAX_REPEAT, p.MIN_REPEAT):
+            out += "".join(_example(rng, x[2]) for _ in range(rng.randint(x[0], min(x[1], x[0] + 3))))
+        elif op in (p.ANY, p.NOT_LITERAL):
+            out += rng.choice("abcxyz")
+        else:
+            assert op == p.AT
+    return out
+
+
+def test_every_match_satisfies_its_trigrams():
+    rng = random.Random(4)
+    made = ["".join(rng.choice(["a", "bc", "[xy]", "(de|f)", "(gh|i)?", "j{2}", "k+", "(lmn){1,3}", ".", "[^q]", "(o|p*)r", "s{0,2}t"]) for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    known = 0
+    for pattern in [r.pattern for r in (*secret_index.BASE, *secret_index.ADDED)] + made:
+        query = secret_index.regex_trigrams(pattern)
+        known += frozenset() not in query
+        for _ in range(20):
+            low = _example(rng, secret_index.parser.parse(pattern)).lower()
+            assert any(all(g in low for g in c) for c in query), (pattern, low)
+    assert known > 150
+
+
+def test_indexed_scan_finds_what_a_full_scan_finds(monkeypatch, spark):
+    rng = random.Random(6)
+    rules = (*secret_index.BASE, *secret_index.ADDED)
+    near = ["bearer x", "ghp_short", "xoxb-1", "eyJ.eyJ", "AKIAX", "-----BEGIN KEY-----", "http://a:b@", "tok en = abcdefghijklmnop", "\u212aey"]
+    rows = [(i, " ".join(rng.choice([_example(rng, secret_index.parser.parse(rng.choice(rules).pattern)), rng.choice(near), "word"]) for _ in range(rng.randint(0, 8)))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in secret_index.op10_trigram_index(df).collect()}
+    monkeypatch.setattr(secret_index, "trigram_query", lambda rule: [])
+    full = {r["doc_id"]: r["spans"] for r in df.select("doc_id", "text").withColumn("spans", F.lit(0)).transform(lambda d: secret_index.find_secrets(d)).select("doc_id", secret_index.listed(F.col("spans")).alias("spans")).collect()}
+    assert found == full and {x.split(":")[0] for s in found.values() for x in s.split(",") if x} == {r.kind for r in rules}
