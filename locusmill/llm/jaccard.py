@@ -9,7 +9,7 @@ every signature share one. A shingle of a single chunk and set is no signature,
 one subclass are signatures: m shingles of a subclass stand for m - 1 losses, so prefixes are extended. Subclasses depend on the size of a set; a set is indexed for its own
 band of sizes and the next, which holds every size it can link with.
 
-Equal sets are one class from the start. In each signature's bucket the members are verified against the least one (in slices, for frequent
+Equal sets are one class from the start. In each signature's bucket the members are verified against the most typical one (in slices, for frequent
 shingles): first each set against the one it shares most buckets with, then against the others that are still in another component; only where a bucket
 then holds several components are the pairs across components verified, again the closest pair of two components first. Copies are never paired, and no pair, bucket or set is capped.
 """
@@ -217,9 +217,9 @@ def _levels(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
 #: Of a chunk: its rows (doc_id, n, cls), its sets that have signatures (cls, n, shingles, parity), and the signatures for each partition.
 SIGNED = _schema(
     kind=pa.int8(), doc_id=pa.int64(), cls=pa.binary(), n=pa.int64(), shingles=pa.list_(pa.int64()), parity=pa.list_(pa.int64()),
-    part=pa.int32(), sig=pa.binary(), slice=pa.binary(), who=pa.binary(), keys=pa.binary(), sizes=pa.binary(), maps=pa.binary(),
+    part=pa.int32(), sig=pa.binary(), slice=pa.binary(), who=pa.binary(), keys=pa.binary(), sizes=pa.binary(), common=pa.binary(), maps=pa.binary(),
 )
-SIGNED_SQL = "kind byte, doc_id long, cls binary, n long, shingles array<long>, parity array<long>, part int, sig binary, slice binary, who binary, keys binary, sizes binary, maps binary"
+SIGNED_SQL = "kind byte, doc_id long, cls binary, n long, shingles array<long>, parity array<long>, part int, sig binary, slice binary, who binary, keys binary, sizes binary, common binary, maps binary"
 ROW, SET, SENT = 0, 1, 2
 
 
@@ -245,6 +245,7 @@ def _sign(n: int, percent: int, text: str, parts: int, bits: int):
             spans = [slice(c.ends[k], c.ends[k + 1]) for k in signing]
             signed = [signatures(c.flat[x], level[x], percent) for x in spans]
             maps = [parity(c.flat[x]) for x in spans]
+            common = sums(level.astype(np.int64), c.ends) * 256 // np.maximum(c.sizes, 1)
             out.append(_table(SET, cls=[names[k] for k in signing], n=c.sizes[signing], shingles=[c.flat[x].view(np.int64) for x in spans], parity=maps))
             sig = np.concatenate([*(x for x, _ in signed), np.zeros(0, np.uint64)])
             high = np.concatenate([*(x for _, x in signed), np.zeros(0, np.uint8)]).astype(np.int64)
@@ -261,9 +262,9 @@ def _sign(n: int, percent: int, text: str, parts: int, bits: int):
                 if len(mine):
                     used, at = np.unique(who[mine], return_inverse=True)
                     some = np.array(signing)[used]
-                    sent.append((p, sig[mine].tobytes(), packed(cut[mine]), packed(at), b"".join(names[k] for k in some), packed(c.sizes[some]), np.array([maps[k] for k in used], "<i8").tobytes()))
+                    sent.append((p, sig[mine].tobytes(), packed(cut[mine]), packed(at), b"".join(names[k] for k in some), packed(c.sizes[some]), packed(common[some]), np.array([maps[k] for k in used], "<i8").tobytes()))
             if sent:
-                out.append(_table(SENT, **dict(zip(("part", "sig", "slice", "who", "keys", "sizes", "maps"), zip(*sent)))))
+                out.append(_table(SENT, **dict(zip(("part", "sig", "slice", "who", "keys", "sizes", "common", "maps"), zip(*sent)))))
         give_back()
         return pa.concat_tables(out) if out else SIGNED.empty_table()
 
@@ -274,7 +275,10 @@ MEMBERS = "sig long, slice int, cls binary, n long, hub binary, hub_n long, near
 
 
 def _buckets(percent: int):
-    """The members of the buckets that hold more than one set, and the least one of each, the hub; of slices all, as others may hold more."""
+    """The members of the buckets that hold more than one set, and each bucket's hub; of slices all, as others may hold more.
+
+    The hub is the set whose shingles are most common on average: of near copies, one without edits of its own if there is any.
+    """
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, base, parts = [r for b in batches for r in b.to_pylist()], 0, []
@@ -283,10 +287,11 @@ def _buckets(percent: int):
             base += len(r["keys"]) // 16
         names, first, of = np.unique(np.frombuffer(b"".join(r["keys"] for r in rows), ">u8").astype(np.uint64).reshape(-1, 2), axis=0, return_index=True, return_inverse=True)
         size = np.concatenate([unpacked(r["sizes"]) for r in rows]).astype(np.int64)[first]
+        common = np.concatenate([unpacked(r["common"]) for r in rows]).astype(np.int64)[first]
         maps = np.frombuffer(b"".join(r["maps"] for r in rows), "<u8").reshape(-1, PARITY_BITS // 64)[first]
         sig, cut, who = (np.concatenate(x) for x in zip(*parts))
         who = of.reshape(-1)[who]
-        order = np.lexsort((who, cut, sig))
+        order = np.lexsort((who, -common[who], cut, sig))
         sig, cut, who = sig[order], cut[order], who[order]
         start = np.concatenate([[True], (sig[1:] != sig[:-1]) | (cut[1:] != cut[:-1])])
         new = start | np.concatenate([[True], who[1:] != who[:-1]])  # copies from several chunks are one member
@@ -358,7 +363,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     signed = written(signed, "jaccard-signatures")
     discard(laid)
     rows, sets = signed.filter(F.col("kind") == ROW).select("doc_id", "cls", "n"), signed.filter(F.col("kind") == SET).select("cls", "n", "shingles", "parity")
-    messages = signed.filter(F.col("kind") == SENT).select("part", "sig", "slice", "who", "keys", "sizes", "maps")
+    messages = signed.filter(F.col("kind") == SENT).select("part", "sig", "slice", "who", "keys", "sizes", "common", "maps")
     members = written(messages.groupBy("part").applyInArrow(_buckets(percent), MEMBERS), "jaccard-members")
 
     # the hubs of a bucket's slices are members of the bucket of the least hub
@@ -374,7 +379,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     # buckets that hold several components still
     held = members.select("sig", "cls", "n").distinct().join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
     held = written(held, "jaccard-held")
-    open_ = held.groupBy("sig").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).filter("_a <> _b").select("sig")
+    # buckets of the same members give the same pairs: one of them will do
+    same = [F.count(F.lit(1)).alias("_k"), *[F.sum(F.xxhash64("cls", F.lit(i)).cast("decimal(38,0)")).alias(f"_s{i}") for i in range(2)]]
+    open_ = held.groupBy("sig").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), *same).filter("_a <> _b").groupBy("_k", "_s0", "_s1").agg(F.min("sig").alias("sig")).select("sig")
     maps = sets.select("cls", "parity").dropDuplicates(["cls"])
     several = held.join(open_, "sig").join(maps, "cls")
     x, y = (several.select(F.col("sig"), *[F.col(c).alias(f"{k}{c}") for c in ("cls", "n", "comp", "parity")]) for k in "xy")

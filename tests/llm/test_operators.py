@@ -558,7 +558,7 @@ def test_every_match_satisfies_its_trigrams():
 def test_indexed_scan_finds_what_a_full_scan_finds(monkeypatch, spark):
     rng = random.Random(6)
     rules = (*secret_index.BASE, *secret_index.ADDED)
-    near = ["bearer x", "ghp_short", "xoxb-1", "eyJ.eyJ", "AKIAX", "-----BEGIN KEY-----", "http://a:b@", "tok en = abcdefghijklmnop", "\u212aey"]
+    near = ["bearer x", "api_key: abcdefghijkl12", "ghp_short", "xoxb-1", "eyJ.eyJ", "AKIAX", "-----BEGIN KEY-----", "http://a:b@", "tok en = abcdefghijklmnop", "\u212aey"]
     rows = [(i, " ".join(rng.choice([_example(rng, secret_index.parser.parse(rng.choice(rules).pattern)), rng.choice(near), "word"]) for _ in range(rng.randint(0, 8)))) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: r["spans"] for r in secret_index.op10_trigram_index(df).collect()}
