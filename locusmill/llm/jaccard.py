@@ -38,6 +38,8 @@ FREQUENT = 6
 SLICE = 4096
 #: Shingles of a subclass that a prefix of frequent shingles has, about.
 PER_SUBCLASS = 4
+#: Buckets that a set names, where pairs across components meet.
+LEAST = 16
 #: Bits of a set's parity map.
 PARITY_BITS = 256
 
@@ -312,11 +314,15 @@ def _buckets(percent: int):
     return run
 
 
+def _bits_apart(a: str, b: str) -> Column:
+    """Bits in which the parity maps of two sides differ."""
+    return sum((F.bit_count(F.get(f"{a}parity", i).bitwiseXOR(F.get(f"{b}parity", i))) for i in range(1, PARITY_BITS // 64)), F.bit_count(F.get(f"{a}parity", 0).bitwiseXOR(F.get(f"{b}parity", 0))))
+
+
 def _may_link(a: str, b: str, percent: int) -> Column:
     """Sizes and parity maps of two sides allow a link: linked sets differ in at most (1 - t) / (1 + t) of the sum of their sizes."""
     n = [F.col(f"{x}n") for x in (a, b)]
-    apart = sum((F.bit_count(F.get(f"{a}parity", i).bitwiseXOR(F.get(f"{b}parity", i))) for i in range(1, PARITY_BITS // 64)), F.bit_count(F.get(f"{a}parity", 0).bitwiseXOR(F.get(f"{b}parity", 0))))
-    return (percent * F.greatest(*n) <= 100 * F.least(*n)) & ((100 + percent) * apart <= (100 - percent) * (n[0] + n[1]))
+    return (percent * F.greatest(*n) <= 100 * F.least(*n)) & ((100 + percent) * _bits_apart(a, b) <= (100 - percent) * (n[0] + n[1]))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -382,18 +388,21 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     # buckets of the same members give the same pairs: one of them will do
     same = [F.count(F.lit(1)).alias("_k"), *[F.sum(F.xxhash64("cls", F.lit(i)).cast("decimal(38,0)")).alias(f"_s{i}") for i in range(2)]]
     open_ = held.groupBy("sig").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), *same).filter("_a <> _b").groupBy("_k", "_s0", "_s1").agg(F.min("sig").alias("sig")).select("sig")
-    maps = sets.select("cls", "parity").dropDuplicates(["cls"])
-    several = held.join(open_, "sig").join(maps, "cls")
-    x, y = (several.select(F.col("sig"), *[F.col(c).alias(f"{k}{c}") for c in ("cls", "n", "comp", "parity")]) for k in "xy")
-    met = x.join(y, "sig").filter((F.col("xcomp") < F.col("ycomp")) & _may_link("x", "y", percent))
-    across = met.groupBy(F.least("xcls", "ycls").alias("a"), F.greatest("xcls", "ycls").alias("b"), "xcomp", "ycomp").agg(F.count(F.lit(1)).alias("shared"))
+    several = written(held.join(open_, "sig"), "jaccard-open")
+    # a pair meets in the least bucket that both name; if they name none, in each that they share
+    named = several.groupBy("cls").agg(F.slice(F.array_sort(F.collect_list("sig")), 1, LEAST).alias("least"))
+    of_cls = sets.select("cls", "parity").join(named, "cls").dropDuplicates(["cls"])
+    x, y = (several.join(of_cls, "cls").select(F.col("sig"), *[F.col(c).alias(f"{k}{c}") for c in ("cls", "n", "comp", "parity", "least")]) for k in "xy")
+    here = F.coalesce(F.array_min(F.array_intersect("xleast", "yleast")), F.col("sig")) == F.col("sig")
+    met = x.join(y, "sig").filter((F.col("xcomp") < F.col("ycomp")) & here & _may_link("x", "y", percent))
+    across = met.groupBy(F.least("xcls", "ycls").alias("a"), F.greatest("xcls", "ycls").alias("b"), "xcomp", "ycomp").agg(F.min(_bits_apart("x", "y") / (F.col("xn") + F.col("yn"))).alias("far"), F.count(F.lit(1)).alias("times"))
     across = written(across.join(tried, ["a", "b"], "left_anti"), "jaccard-across")
     # of two components first the pair that shares most, then the others of those still apart
-    closest = written(across.groupBy("xcomp", "ycomp").agg(F.max(F.struct("shared", "a", "b")).alias("m")).select("m.a", "m.b"), "jaccard-closest")
+    closest = written(across.groupBy("xcomp", "ycomp").agg(F.min(F.struct("far", "a", "b")).alias("m")).select("m.a", "m.b"), "jaccard-closest")
     comps = _grown(comps, closest, sets, percent)
     others = written(_apart(across.select("a", "b").join(closest, ["a", "b"], "left_anti"), comps), "jaccard-others")
     comps = _grown(comps, others, sets, percent)
-    discard(members, tried, best, rest, held, across, closest, others)
+    discard(members, tried, best, rest, held, several, across, closest, others)
 
     placed = rows.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
     least = placed.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
