@@ -38,9 +38,9 @@ def gc_percent(seq: Column) -> Column:
 
 
 def folding_indices(mfe: Column, seq: Column) -> tuple[Column, Column]:
-    """AMFE (energy for 100 bases) and MFEI (AMFE for one percent of G and C; null without any)."""
-    amfe = F.try_divide(100 * mfe, F.char_length(seq))
-    return amfe, F.try_divide(-amfe, gc_percent(seq))
+    """AMFE (energy for 100 bases, positive for a folded sequence; 0 for an empty one) and MFEI (AMFE for one percent of G and C; null without any)."""
+    amfe = F.coalesce(F.try_divide(-100 * mfe, F.char_length(seq)), F.lit(0.0))
+    return amfe, F.try_divide(amfe, gc_percent(seq))
 
 
 def flank_au(seq: Column, start: Column, end: Column, reach: int = 30) -> Column:

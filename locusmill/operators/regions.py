@@ -55,7 +55,7 @@ def to_transcript(position: Column, blocks: Column, strand: Column) -> Column:
     return F.when(strand == "+", forward).otherwise(total - 1 - forward)
 
 
-def regions(found: DataFrame, contigs: DataFrame, wanted: tuple[str, ...] = ("5UTR", "CDS", "3UTR"), whole_if_missing: bool = False) -> DataFrame:
+def regions(found: DataFrame, contigs: DataFrame, wanted: tuple[str, ...] = ("three_prime_UTR",), whole_if_missing: bool = False) -> DataFrame:
     """region_id, transcript, gene, region, contig, strand, sequence of ``transcripts``; ``contigs``: contig, sequence.
 
     The coding span runs from the first to the last coding base; coding pieces that start outside of the exons don't count. A
@@ -71,7 +71,7 @@ def regions(found: DataFrame, contigs: DataFrame, wanted: tuple[str, ...] = ("5U
     rows = rows.withColumn("from", F.least(a, z)).withColumn("to", F.greatest(a, z) + 1)
     n = F.char_length("line")
     part = lambda name, s, e: F.struct(F.lit(name).alias("region"), F.substring("line", (s + 1).cast("int"), (e - s).cast("int")).alias("sequence"))
-    parts = {"5UTR": part("5UTR", F.lit(0), F.col("from")), "CDS": part("CDS", F.col("from"), F.col("to")), "3UTR": part("3UTR", F.col("to"), n), "transcript": part("transcript", F.lit(0), n)}
+    parts = {"five_prime_UTR": part("five_prime_UTR", F.lit(0), F.col("from")), "CDS": part("CDS", F.col("from"), F.col("to")), "three_prime_UTR": part("three_prime_UTR", F.col("to"), n), "transcript": part("transcript", F.lit(0), n)}
     chosen = F.filter(F.array(*[parts[w] for w in wanted]), lambda p: F.coalesce(F.char_length(p["sequence"]), F.lit(0)) > 0)
     if whole_if_missing and "transcript" not in wanted:
         chosen = F.when(F.size(chosen) > 0, chosen).otherwise(F.array(parts["transcript"]))

@@ -132,9 +132,9 @@ def _(spark, d):
 
 
 FIVE = "five AS (SELECT genome, contig, strand, bs, CASE WHEN strand = '+' THEN s ELSE e - 1 END AS pos, sum(weight * n) AS w FROM blocked GROUP BY ALL)"
-LEAD = """{out} AS (SELECT genome, contig, strand, bs, 1.0::DOUBLE / (count(*) + 0.5 * (max(pos) - min(pos) + 1 - count(*))) AS score, max(w) / max(total) AS top_share FROM
+LEAD = """{out} AS (SELECT genome, contig, strand, bs, 1.0::DOUBLE / (count(*) + 0.1 * (max(pos) - min(pos) + 1 - count(*))) AS score, max(w) / max(total) AS top_share FROM
   (SELECT *, sum(w) OVER (PARTITION BY genome, contig, strand, bs) AS total, coalesce(sum(w) OVER (PARTITION BY genome, contig, strand, bs ORDER BY w DESC, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM {of})
-  WHERE before < 0.9 * total - 1e-9 GROUP BY ALL)"""
+  WHERE before < 0.5 * total - 1e-9 GROUP BY ALL)"""
 JITTER = """jit AS (SELECT genome, contig, strand, bs, sum(w) FILTER (abs(pos - top) <= 1) / sum(w) AS jitter_share FROM
   (SELECT *, first_value(pos) OVER (PARTITION BY genome, contig, strand, bs ORDER BY w DESC, pos) AS top FROM five) GROUP BY ALL)"""
 
@@ -184,16 +184,17 @@ def _(spark, d):
     with_(
         v.MEMBERS, _blocks(0), COUNTED, FIVE, LEAD.format(out="five_ends", of="five"), JITTER,
         "three AS (SELECT genome, contig, strand, bs, CASE WHEN strand = '+' THEN e - 1 ELSE s END AS pos, sum(weight * n) AS w FROM blocked GROUP BY ALL)", LEAD.format(out="three_ends", of="three"),
-        "expr AS (SELECT genome, contig, strand, bs, count(*) FILTER (count >= 5) AS k FROM counted GROUP BY ALL)",
+        "lib AS (SELECT sample, sum(n) AS kept FROM members GROUP BY sample)", "expr AS (SELECT genome, contig, strand, bs, count(*) FILTER (count >= 1 - 1e-9 AND 1e6 * count / kept >= 5 - 1e-9) AS k FROM counted JOIN lib USING (sample) GROUP BY ALL)",
         "whole AS (SELECT genome, contig, strand, bs, max(e) AS e, sum(weight * n) AS total, count(DISTINCT read_id) AS reads FROM blocked GROUP BY ALL)",
         then="""SELECT genome, contig, strand, bs AS "start", e AS "end", total, reads, round(f.score, 9) AS five_score, round(f.top_share, 9) AS five_dominant, round(t.score, 9) AS three_score,
- round(jitter_share, 9) AS jitter_share, k AS samples_expressed, f.top_share >= 0.5 - 1e-9 AND t.score >= 0 AS ends_pass, f.top_share >= 0.5 - 1e-9 AND t.score >= 0 AND k >= 1 AS pass,
+ round(jitter_share, 9) AS jitter_share, k AS samples_expressed, f.top_share >= 0.5 - 1e-9 AND t.score >= 0 AS ends_pass, f.top_share >= 0.5 - 1e-9 AND t.score >= 0 AND k >= greatest(1, (SELECT count(*) FROM lib) - 1) AS pass,
  printf('%s_%05d', genome, row_number() OVER (PARTITION BY genome ORDER BY contig, bs, strand, e)) AS locus_id
 FROM whole JOIN five_ends f USING (genome, contig, strand, bs) JOIN three_ends t USING (genome, contig, strand, bs) JOIN jit USING (genome, contig, strand, bs) JOIN expr USING (genome, contig, strand, bs)""",
     ),
 )
 def locus_table(spark, d):
-    out = loci.quantified_blocks(v.members(spark, d), loci.LocusRules())
+    members = v.members(spark, d)
+    out = loci.quantified_blocks(members, members.groupBy("sample").agg(F.sum("n").alias("reads_kept")), loci.LocusRules())
     rounded = {c: F.round(c, 9) for c in ("five_score", "five_dominant", "three_score", "jitter_share")}
     return out.withColumns(rounded).drop("expressed")
 
@@ -230,7 +231,8 @@ def _(spark, d):
     return intervals.anti_overlap(_merged(spark, d), v.features(spark, d), ["genome", "contig"], "locus_id").select("locus_id", "start", "end")
 
 
-RANKS = "CASE type " + " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(loci.CLASS_PRIORITY, 1)) + f" ELSE {len(loci.CLASS_PRIORITY) + 1} END"
+# the types that the view has, by their places in the order of classes
+RANKS = "CASE type WHEN 'tRNA' THEN 1 WHEN 'rRNA' THEN 2 WHEN 'ncRNA' THEN 8 WHEN 'CDS' THEN 15 WHEN 'exon' THEN 16 WHEN 'gene' THEN 19 ELSE 20 END"
 
 
 @query(
@@ -240,9 +242,9 @@ RANKS = "CASE type " + " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(loc
         """spans AS (SELECT locus_id, genome, contig, strand, s, CASE WHEN circular THEN least(e, length) ELSE e END AS e FROM loci JOIN contigs USING (genome, contig)
   UNION ALL SELECT locus_id, genome, contig, strand, 0, e - length FROM loci JOIN contigs USING (genome, contig) WHERE circular AND e > length)""",
         f"met AS (SELECT l.locus_id, l.strand, f.strand AS fs, type, name, {RANKS} AS r FROM spans l JOIN features f ON l.genome = f.genome AND l.contig = f.contig AND f.s < l.e AND f.e > l.s)",
-        "kinds AS (SELECT locus_id, min({'r': r, 't': type}).t AS class, string_agg(DISTINCT type, ';' ORDER BY type) AS types, string_agg(DISTINCT name, ';' ORDER BY name) FILTER (name <> '.') AS names FROM met GROUP BY locus_id)",
-        "side AS (SELECT locus_id, CASE WHEN bool_or(fs = strand) THEN 'sense' WHEN bool_and(fs = '.') THEN 'unstranded' ELSE 'antisense' END AS orientation FROM met JOIN kinds USING (locus_id) WHERE type = class GROUP BY locus_id)",
-        then="SELECT locus_id, coalesce(types, 'NA') AS feature_types, CASE WHEN class IS NULL THEN 'NA' ELSE coalesce(names, '') END AS feature_names, coalesce(class, 'NA') AS class, coalesce(orientation, 'NA') AS orientation FROM loci LEFT JOIN kinds USING (locus_id) LEFT JOIN side USING (locus_id)",
+        "kinds AS (SELECT locus_id, min({'r': r, 't': type}).t AS class, string_agg(DISTINCT type, ',' ORDER BY type) AS types, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM met GROUP BY locus_id)",
+        "side AS (SELECT locus_id, CASE WHEN bool_or(fs = strand) THEN 'sense' WHEN bool_and(fs NOT IN ('+', '-')) THEN 'unstranded' ELSE 'antisense' END AS orientation FROM met JOIN kinds USING (locus_id) WHERE type = class GROUP BY locus_id)",
+        then="SELECT locus_id, coalesce(types, '') AS feature_types, coalesce(names, '') AS feature_names, coalesce(class, 'intergenic') AS class, coalesce(orientation, '') AS orientation FROM loci LEFT JOIN kinds USING (locus_id) LEFT JOIN side USING (locus_id)",
     ),
 )
 def _(spark, d):
@@ -350,7 +352,7 @@ AU = "(length(x) - length(translate(x, 'AUTaut', '')))"
 FROM (SELECT *, substr(sequence, greatest(s - 30, 0) + 1, s - greatest(s - 30, 0)) || substr(sequence, e + 1, 30) AS x FROM sites)"""),
 )
 def _(spark, d):
-    regions = v.targets(spark, d).withColumn("region", F.lit("3UTR")).withColumn("region_id", F.col("seq_id"))
+    regions = v.targets(spark, d).withColumn("region", F.lit("three_prime_UTR")).withColumn("region_id", F.col("seq_id"))
     return seeds.with_context(_sites(spark, d), regions).select("guide_id", "seq_id", "start", "site_class", "dist_5p", "dist_3p", "near_stop", "au_flanks")
 
 
@@ -526,17 +528,18 @@ def _(spark, d):
     + f", {v.READS}, {_blocks(0)}, {LOCI}, {JUDGED}"
     + f""", placed_reads AS (SELECT class, l_returnflag AS sample, l_linenumber AS n FROM cls JOIN (SELECT 'o' || l_orderkey AS read_id, l_returnflag, l_linenumber FROM lineitem) USING (read_id)),
 in_loci AS (SELECT b.sample, j.kind, j.pass, weight * b.n AS w FROM blocked b JOIN judged j ON b.genome = j.genome AND b.contig = j.contig AND b.strand = j.strand AND b.bs = j.s),
-stages AS (SELECT 'raw' AS stage, sample, CAST(count(*) AS DOUBLE) AS reads FROM reads GROUP BY sample UNION ALL SELECT 'kept', sample, count(*) FILTER ({KEEP}) FROM reads GROUP BY sample
- UNION ALL SELECT 'mapped', sample, coalesce(sum(n) FILTER (class <> 'unmapped'), 0) FROM placed_reads GROUP BY sample UNION ALL SELECT 'assigned', sample, coalesce(sum(n) FILTER (class = 'assigned'), 0) FROM placed_reads GROUP BY sample
+stages AS (SELECT 'raw' AS stage, sample, CAST(count(*) AS DOUBLE) AS reads FROM reads GROUP BY sample UNION ALL SELECT 'trimmed', sample, count(*) FROM reads GROUP BY sample UNION ALL SELECT 'length_range', sample, count(*) FILTER ({KEEP}) FROM reads GROUP BY sample
+ UNION ALL SELECT 'mapped', sample, coalesce(sum(n) FILTER (class <> 'unmapped'), 0) FROM placed_reads GROUP BY sample
  UNION ALL SELECT 'focus', sample, sum(w) FROM in_loci GROUP BY sample UNION ALL SELECT 'in_peaks', sample, coalesce(sum(w) FILTER (kind = 'peak'), 0) FROM in_loci GROUP BY sample UNION ALL SELECT 'in_passing', sample, coalesce(sum(w) FILTER (pass), 0) FROM in_loci GROUP BY sample)
-SELECT stage, sample, reads FROM stages UNION ALL SELECT stage, 'total', sum(reads) FROM stages GROUP BY stage""",
+SELECT stage, CASE stage WHEN 'raw' THEN 'Raw reads' WHEN 'trimmed' THEN 'After trimming' WHEN 'length_range' THEN 'In the length range' WHEN 'mapped' THEN 'Aligned to any genome' WHEN 'focus' THEN 'On focus genomes' WHEN 'in_peaks' THEN 'In peak loci' WHEN 'in_passing' THEN 'In passing loci' END AS label, sample, reads
+FROM (SELECT stage, sample, reads FROM stages UNION ALL SELECT stage, 'total', sum(reads) FROM stages GROUP BY stage)""",
 )
 def _(spark, d):
     placed = v.load(spark, d, "lineitem").select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("read_id"), F.col("l_returnflag").alias("sample"), F.col("l_linenumber").alias("n"))
     blocks = intervals.block_starts(v.members(spark, d)).withColumn("locus_id", F.concat_ws(":", "genome", "contig", "strand", "block_start"))
     inside = blocks.join(_judged_loci(spark, d).select("locus_id", "kind", "pass"), "locus_id").select("sample", "kind", "pass", (F.col("weight") * F.col("n")).alias("count"))
     cls = _origin(spark, d, RULES["best"])[1].select("read_id", "class")
-    return reports.funnel(collapse.libraries(v.reads(spark, d), 18, 28), cls, placed, inside)
+    return reports.funnel(v.reads(spark, d).groupBy("sample").agg(F.count(F.lit(1)).alias("reads")), collapse.libraries(v.reads(spark, d), 18, 28), cls, placed, inside)
 
 
 @query(

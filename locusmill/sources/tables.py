@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Feature types that name whole contigs or copies of other features.
-SKIPPED_TYPES = ("region", "chromosome", "sequence_feature", "sequence_conflict", "sequence_alteration")
+# Feature types that name whole contigs.
+SKIPPED_TYPES = ("region", "chromosome", "source", "databank_entry", "contig", "scaffold")
 
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:

@@ -69,8 +69,13 @@ def test_overlaps(spark):
 
 def test_ends(spark):
     profile = spark.createDataFrame([("a", 5, 9.0), ("b", 5, 5.0), ("b", 6, 5.0), ("c", 5, 5.0), ("c", 9, 5.0)], "key string, position long, w double")
-    got = {r["key"]: (r["score"], r["top_share"]) for r in ends.end_scores(profile, "key", penalty=0.5).collect()}
+    got = {r["key"]: (r["score"], r["top_share"]) for r in ends.end_scores(profile, "key", 0.9, 0.5).collect()}
     assert got == {"a": (1.0, 1.0), "b": (0.5, 0.5), "c": (1 / 3.5, 0.5)}
+    # by default half of the reads, and a tenth for a gap
+    more = spark.createDataFrame([("one", 5, 5.0), ("one", 6, 5.0), ("two", 5, 4.0), ("two", 9, 4.0), ("two", 7, 1.0), ("none", 3, 0.0)], "key string, position long, w double")
+    got = {r["key"]: (round(r["score"], 6), round(r["top_share"], 6)) for r in ends.end_scores(more, "key").collect()}
+    assert got == {"one": (1.0, 0.5), "two": (round(1 / 2.3, 6), round(4 / 9, 6)), "none": (0.0, 0.0)}
+    assert {r["key"]: r["jitter_share"] for r in ends.jitter_share(more, "key").collect()}["none"] == 0
     assert {r["key"]: r["jitter_share"] for r in ends.jitter_share(profile, "key").collect()} == {"a": 1.0, "b": 1.0, "c": 0.5}
 
 
@@ -242,6 +247,30 @@ def test_outcomes(spark):
     assert rows(evaluation.false_positives(truth, found), "locus_id") == [("l3",)]
 
 
+def test_annotation(spark):
+    cols = "locus_id string, genome string, contig string, strand string, start long, end long, length long, circular boolean"
+    found = spark.createDataFrame([("a", "g", "c", "+", 10, 30, 100, False), ("b", "g", "c", "-", 40, 60, 100, False), ("c", "g", "c", "+", 70, 90, 100, False), ("w", "h", "m", "+", 95, 115, 100, True)], cols)
+    features = spark.createDataFrame([("g", "c", "+", 0, 100, "gene", "x"), ("g", "c", "-", 20, 35, "tRNA", "t"), ("g", "c", "+", 41, 50, "rRNA", "."), ("g", "c", "?", 42, 43, "rRNA", "r"), ("h", "m", "?", 5, 9, "odd", "."), ("h", "m", ".", 96, 99, "zed", "z")], "genome string, contig string, strand string, start long, end long, type string, name string")
+    want = [("a", "gene,tRNA", "t,x", "tRNA", "antisense"), ("b", "gene,rRNA", ".,r,x", "rRNA", "antisense"), ("c", "gene", "x", "gene", "sense"), ("w", "odd,zed", ".,z", "odd", "unstranded")]
+    names = ("locus_id", "feature_types", "feature_names", "class", "orientation")
+    assert rows(loci.annotate(found, features), *names) == want
+    assert rows(loci.annotate(found, features.limit(0)), *names)[0] == ("a", "", "", "intergenic", "")
+    assert rows(loci.annotate(found, None), *names)[0] == ("a", "NA", "NA", "NA", "NA")
+
+
+def test_sites_at_ends_and_other_seeds(spark):
+    guide = "UGAGGUAGUAGGUUGUAUAGUU"
+    rc = lambda a, b: guide[a - 1 : b].translate(str.maketrans("ACGU", "TGCA"))[::-1]
+    g = spark.createDataFrame([("g", guide.lower()), ("short", "ACGUACG")], "guide_id string, guide string")
+    targets = {"8mer": rc(2, 8) + "A", "7mer-m8": "AA" + rc(2, 8), "7mer-A1": "AA" + rc(2, 7) + "A", "6mer": "AA" + rc(2, 7), "offset-6mer": rc(3, 8), "far": "C" * 1995 + rc(2, 8) + "A" + "C" * 40, "none": "CCCC"}
+    t = spark.createDataFrame(list(targets.items()), "seq_id string, sequence string")
+    got = {r["seq_id"]: (r["start"], r["end"], r["t1"], r["site_class"]) for r in seeds.sites(g, t).collect()}
+    assert got == {"8mer": (0, 8, 7, "8mer"), "7mer-m8": (2, 9, 9, "7mer-m8"), "7mer-A1": (2, 9, 8, "7mer-A1"), "6mer": (2, 8, 8, "6mer"), "offset-6mer": (0, 6, 7, "offset-6mer"), "far": (1995, 2003, 2002, "8mer")}
+    assert {r["seq_id"] for r in seeds.sites(g, t, ("8mer",)).collect()} == {"8mer", "far"}
+    other = spark.createDataFrame([("x", "AA" + rc(4, 12) + rc(4, 12))], "seq_id string, sequence string")
+    assert rows(seeds.sites(g, other, seed=(4, 12)), "start", "end", "t1", "site_class") == [(2, 11, 13, "seed4-12"), (11, 20, 22, "seed4-12")]
+
+
 def test_locus_rules(spark):
     with pytest.raises(ValueError):
         loci.LocusRules(five_filter="x")
@@ -276,9 +305,11 @@ def test_regions(spark, tmp_path):
     (tmp_path / "x.gff").write_text(GFF)
     records = tables.parse_gff(tables.numbered_lines(spark, str(tmp_path / "x.gff")))
     genome = "".join("ACGT"[i % 4] for i in range(60))
-    got = regions.regions(regions.transcripts(records), spark.createDataFrame([("c", genome)], "contig string, sequence string"))
+    contigs = spark.createDataFrame([("c", genome)], "contig string, sequence string")
+    assert rows(regions.regions(regions.transcripts(records), contigs), "region") == [("three_prime_UTR",)]
+    got = regions.regions(regions.transcripts(records), contigs, ("five_prime_UTR", "CDS", "three_prime_UTR"))
     parts = {r["region"]: (r["sequence"], r["gene"]) for r in got.collect()}
-    assert parts == {"5UTR": (genome[:10], "my gene"), "CDS": (genome[10:20] + genome[30:40], "my gene"), "3UTR": (genome[40:60], "my gene")}
+    assert parts == {"five_prime_UTR": (genome[:10], "my gene"), "CDS": (genome[10:20] + genome[30:40], "my gene"), "three_prime_UTR": (genome[40:60], "my gene")}
     assert rows(tables.features(records, "g"), "type", "name")[-1] == ("mRNA", "m1")
 
 
