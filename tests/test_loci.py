@@ -137,13 +137,20 @@ def test_peaks(spark):
     reads = np.ones(100)
     reads[30], reads[46], reads[70], reads[74] = 200, 150, 300, 20
     owner, found = peaks.call_peaks(position, reads)
-    assert sorted(p["position"] for p in found) == [30, 46, 70]  # 74 is a satellite of 70
-    assert {int(owner[i]) for i in (70, 74)} == {next(k for k, p in enumerate(found) if p["position"] == 70)}
+    assert sorted(p.position for p in found) == [30, 46, 70]  # 74 is a satellite of 70
+    assert {int(owner[i]) for i in (70, 74)} == {next(k for k, p in enumerate(found) if p.position == 70)}
     owner, found = peaks.call_peaks(np.arange(100), np.ones(100))
     assert not found and (owner == -1).all()
     members = spark.createDataFrame([("g", "c", "+", 0, int(p), int(p) + 20, "s", 1.0, int(n)) for p, n in zip(position, reads)], K.replace("start", "block_start long, start") + ", sample string, weight double, n long")
     got = peaks.peak_claims(members, [*intervals.KEYS, "block_start"])
     assert {r["peak"] for r in got.collect()} == {30, 46, 70, None}
+    # cut at wide gaps, the same peaks come out as from the whole block
+    far = np.concatenate([position + 1000 * k for k in range(3)])
+    owner, whole = peaks.call_peaks(far, np.tile(reads, 3))
+    assert sorted(p.position for p in whole) == sorted(p + 1000 * k for k in range(3) for p in (30, 46, 70))
+    members = spark.createDataFrame([("g", "c", "+", 0, int(p), int(p) + 20, "s", 1.0, int(n)) for p, n in zip(far, np.tile(reads, 3))], K.replace("start", "block_start long, start") + ", sample string, weight double, n long")
+    got = {r["position"]: (r["peak"], round(r["isolation"], 9)) for r in peaks.peak_claims(members, [*intervals.KEYS, "block_start"]).collect()}
+    assert got == {int(p): (whole[k].position, round(whole[k].isolation, 9)) if k >= 0 else (None, 1.0) for p, k in zip(far, owner)}
 
 
 def test_align_matches_brute_force(spark):
