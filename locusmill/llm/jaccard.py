@@ -216,7 +216,7 @@ def _levels(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
     give_back()
 
 
-#: Of a chunk: its rows (doc_id, n, cls), its sets that have signatures (cls, n, shingles, parity), and the signatures for each partition.
+#: Of a chunk: its rows (doc_id, n, cls), its sets that have signatures (the chunk as doc_id, cls, n, shingles, parity), and the signatures for each partition.
 SIGNED = _schema(
     kind=pa.int8(), doc_id=pa.int64(), cls=pa.binary(), n=pa.int64(), shingles=pa.list_(pa.int64()), parity=pa.list_(pa.int64()),
     part=pa.int32(), sig=pa.binary(), slice=pa.binary(), who=pa.binary(), keys=pa.binary(), sizes=pa.binary(), common=pa.binary(), maps=pa.binary(),
@@ -234,7 +234,7 @@ def _table(kind: int, **columns) -> pa.Table:
 def _sign(n: int, percent: int, text: str, parts: int, bits: int):
     def run(laid: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
-        for blob in laid.column("rows"):
+        for number, blob in zip(laid.column("chunk").to_pylist(), laid.column("rows")):
             c = Chunk(blob.as_py(), n, text)
             names = c.names()
             out.append(_table(ROW, doc_id=c.ids.to_pylist(), cls=[names[k] if k >= 0 else None for k in c.of.tolist()], n=c.n))
@@ -248,7 +248,7 @@ def _sign(n: int, percent: int, text: str, parts: int, bits: int):
             signed = [signatures(c.flat[x], level[x], percent) for x in spans]
             maps = [parity(c.flat[x]) for x in spans]
             common = sums(level.astype(np.int64), c.ends) * 256 // np.maximum(c.sizes, 1)
-            out.append(_table(SET, cls=[names[k] for k in signing], n=c.sizes[signing], shingles=[c.flat[x].view(np.int64) for x in spans], parity=maps))
+            out.append(_table(SET, doc_id=[number] * len(signing), cls=[names[k] for k in signing], n=c.sizes[signing], shingles=[c.flat[x].view(np.int64) for x in spans], parity=maps))
             sig = np.concatenate([*(x for x, _ in signed), np.zeros(0, np.uint64)])
             high = np.concatenate([*(x for _, x in signed), np.zeros(0, np.uint8)]).astype(np.int64)
             who = np.repeat(np.arange(len(signing)), [len(x) for x, _ in signed])
@@ -326,12 +326,15 @@ def _may_link(a: str, b: str, percent: int) -> Column:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets link, as a table. Sets are dealt by class once, for both sides."""
+    """The pairs (a, b) of classes whose whole sets link, as a table. Of a class that stands in several chunks one set is taken, chosen before sets are moved."""
     classes = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    some = sets.join(classes, "cls", "left_semi").dropDuplicates(["cls"]).select("cls", "shingles")
+    one = written(sets.select("cls", "chunk").join(classes, "cls", "left_semi").groupBy("cls").agg(F.min("chunk").alias("chunk")), "jaccard-wanted")
+    some = sets.join(one, ["cls", "chunk"]).select("cls", "shingles")
     met = pairs.join(some.select(F.col("cls").alias("a"), F.col("shingles").alias("_a")), "a").join(some.select(F.col("cls").alias("b"), F.col("shingles").alias("_b")), "b")
     both = F.size(F.array_intersect("_a", "_b"))
-    return written(met.filter(100 * both >= percent * (F.size("_a") + F.size("_b") - both)).select("a", "b"), "jaccard-links")
+    out = written(met.filter(100 * both >= percent * (F.size("_a") + F.size("_b") - both)).select("a", "b"), "jaccard-links")
+    discard(one)
+    return out
 
 
 def _grown(comps: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -368,7 +371,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     signed = laid.groupBy("chunk").cogroup(levels.groupBy("chunk")).applyInArrow(_sign(n, percent, "text", parts, bits), SIGNED_SQL)
     signed = written(signed, "jaccard-signatures")
     discard(laid)
-    rows, sets = signed.filter(F.col("kind") == ROW).select("doc_id", "cls", "n"), signed.filter(F.col("kind") == SET).select("cls", "n", "shingles", "parity")
+    rows, sets = signed.filter(F.col("kind") == ROW).select("doc_id", "cls", "n"), signed.filter(F.col("kind") == SET).select(F.col("doc_id").alias("chunk"), "cls", "n", "shingles", "parity")
     messages = signed.filter(F.col("kind") == SENT).select("part", "sig", "slice", "who", "keys", "sizes", "common", "maps")
     members = written(messages.groupBy("part").applyInArrow(_buckets(percent), MEMBERS), "jaccard-members")
 
