@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from locusmill.functions import circular as circ
 from locusmill.functions import sequences as seq
-from locusmill.operators import align, collapse, ends, evaluation, hairpins, intervals, loci, origin, peaks, reports, seeds, shuffles, significance
+from locusmill.operators import align, collapse, discovery, ends, evaluation, hairpins, intervals, loci, origin, peaks, reports, seeds, shuffles, significance
 from locusmill.operators.origin import OriginRules
 from locusmill.plans import views as v
 
@@ -196,7 +196,7 @@ def locus_table(spark, d):
     members = v.members(spark, d)
     out = loci.quantified_blocks(members, members.groupBy("sample").agg(F.sum("n").alias("reads_kept")), loci.LocusRules())
     rounded = {c: F.round(c, 9) for c in ("five_score", "five_dominant", "three_score", "jitter_share")}
-    return out.withColumns(rounded).drop("expressed")
+    return out.withColumns(rounded).drop("expressed", "three_dominant")
 
 
 @query(
@@ -490,7 +490,23 @@ def _(spark, d):
 @query("wn3_peaks")
 def _(spark, d):
     rows = intervals.block_starts(v.members(spark, d), gap=200)
-    return peaks.peak_claims(rows, [*intervals.KEYS, "block_start"]).drop("backgrounds")
+    return peaks.peak_claims(rows, [*intervals.KEYS, "block_start"]).drop("backgrounds", "strength")
+
+
+def _discovered(spark, d):
+    members = v.members(spark, d)
+    libraries = members.groupBy("sample").agg(F.sum("n").alias("reads_kept"))
+    return discovery.discover(members, v.contigs(spark, d), libraries, v.features(spark, d), gap=200)
+
+
+@query("pf8_discover")
+def _(spark, d):
+    return _discovered(spark, d).loci
+
+
+@query("ag9_discovered_counts")
+def _(spark, d):
+    return _discovered(spark, d).counts
 
 
 # --- reports ------------------------------------------------------------------------------------
