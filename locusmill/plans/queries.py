@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from locusmill.functions import circular as circ
 from locusmill.functions import sequences as seq
-from locusmill.operators import align, collapse, discovery, ends, evaluation, hairpins, intervals, loci, origin, peaks, reports, seeds, shuffles, significance
+from locusmill.operators import align, collapse, discovery, ends, evaluation, hairpins, intervals, loci, origin, peaks, reports, scoring, seeds, shuffles, significance
 from locusmill.operators.origin import OriginRules
 from locusmill.plans import views as v
 
@@ -430,6 +430,77 @@ def _(spark, d):
     return significance.standardised(rows, "x").drop("x")
 
 
+# --- scored sites --------------------------------------------------------------------------------
+
+SCORED_CLASSES = "('8mer', '7mer-m8', '7mer-A1')"
+SCORED = f"""jobs AS (SELECT g.candidate, g.decoy, x.seq_id, x.s, x.site_class, -list_sum([CASE WHEN x.t1 - i + 2 < 1 THEN 0 WHEN substr(x.guide, i, 1) || substr(x.sequence, x.t1 - i + 2, 1) IN ('GC', 'CG') THEN 3
+  WHEN substr(x.guide, i, 1) || substr(x.sequence, x.t1 - i + 2, 1) IN ('AT', 'TA') THEN 2 ELSE 0 END FOR i IN range(1, length(x.guide) + 1)])::DOUBLE AS paired FROM sites x JOIN guides g USING (guide_id) WHERE x.site_class IN {SCORED_CLASSES}),
+own AS (SELECT candidate, decoy, count(*) AS n1, sum(paired) AS s1, sum(paired * paired) AS ss1 FROM jobs WHERE decoy IS NOT NULL GROUP BY ALL),
+total AS (SELECT candidate, sum(n1) AS n, sum(s1) AS s, sum(ss1) AS ss FROM own GROUP BY ALL HAVING sum(n1) - max(n1) >= 20),
+j AS (SELECT jobs.*, n - coalesce(n1, 0) AS n, total.s - coalesce(s1, 0) AS t, ss - coalesce(ss1, 0) AS tt FROM jobs LEFT JOIN total USING (candidate) LEFT JOIN own USING (candidate, decoy)),
+zs AS (SELECT candidate, decoy, seq_id, s, site_class, paired, round_even(CASE WHEN n >= 20 AND tt / n - (t / n) * (t / n) > 1e-12 THEN (paired - t / n) / sqrt(tt / n - (t / n) * (t / n)) END, 4) AS z FROM j),
+u AS (SELECT site_class, z, count(*) FILTER (decoy IS NULL) AS r, count(*) FILTER (decoy IS NOT NULL) AS x FROM zs WHERE z IS NOT NULL GROUP BY ALL),
+c AS (SELECT *, sum(r) OVER w AS nr, sum(x) OVER w AS nd FROM u WINDOW w AS (PARTITION BY site_class ORDER BY z)),
+fdrs AS (SELECT *, least(1.0, (nd + 1) / 5.0 / nr) AS fdr FROM c WHERE r > 0),
+qs AS (SELECT site_class, z, min(fdr) OVER (PARTITION BY site_class ORDER BY z DESC) AS q FROM fdrs),
+scored AS (SELECT candidate, seq_id, s, site_class, paired, z, q, CASE WHEN q <= 0.5 THEN 1 ELSE 0 END AS support FROM zs LEFT JOIN qs USING (site_class, z) WHERE decoy IS NULL),
+attached AS (SELECT g.candidate, x.seq_id, x.s, x.site_class, paired, z, q, support FROM sites x JOIN guides g USING (guide_id) LEFT JOIN scored USING (candidate, seq_id, s, site_class) WHERE g.decoy IS NULL)"""
+
+
+def _scored(spark, d):
+    g, t = v.guides(spark, d), v.targets(spark, d)
+    rows = scoring.score_sites(scoring.jobs(g, t), [scoring.PAIRED])
+    return scoring.with_significance(rows, [scoring.PAIRED], scoring.decoys_each(g), fdr=0.5)
+
+
+def _attached(spark, d):
+    g = v.guides(spark, d).filter("decoy IS NULL").select("guide_id", "candidate")
+    rows = _sites(spark, d).join(g, "guide_id").select("candidate", "seq_id", "start", "site_class")
+    return scoring.attached(rows, _scored(spark, d)[0])
+
+
+@query("jn8_scored_sites", with_(v.GUIDES, v.TARGETS, SITES, SCORED, then='SELECT candidate, seq_id, s AS "start", site_class, paired, z AS paired_z, round(q, 9) AS paired_q, support FROM attached'))
+def _(spark, d):
+    return _attached(spark, d).drop("paired_q_candidate").withColumn("paired_q", F.round("paired_q", 9))
+
+
+@query(
+    "ag13_scored_targets",
+    with_(v.GUIDES, v.TARGETS, SITES, SCORED, then="SELECT candidate, seq_id AS transcript, substr(seq_id, 1, 7) AS gene, count(*) AS sites, arg_min(site_class, CASE site_class "
+    + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(("8mer", "7mer-m8", "7mer-A1", "6mer", "offset-6mer"))) + " END) AS best_class, "
+    + ", ".join(f"count(*) FILTER (site_class = '{c}') AS n_{c.replace('-', '_')}" for c in ("8mer", "7mer-m8", "7mer-A1", "6mer", "offset-6mer"))
+    + ", min(paired) AS best_paired, round(min(q), 9) AS best_paired_q, max(support) AS max_support, count(*) FILTER (support = 1) AS sites_supported FROM attached GROUP BY candidate, seq_id"),
+)
+def _(spark, d):
+    rows = _attached(spark, d).withColumn("transcript", F.col("seq_id")).withColumn("gene", F.substring("seq_id", 1, 7))
+    return scoring.scored_targets(rows, [scoring.PAIRED], seeds.CLASSES).withColumn("best_paired_q", F.round("best_paired_q", 9))
+
+
+@query(
+    "cp11_score_curves",
+    with_(v.GUIDES, v.TARGETS, SITES, SCORED, then="SELECT 'paired' AS predictor, 'paired_z' AS score, site_class, z AS threshold, nr AS real_sites, nd AS decoy_sites, round((nd + 1) / 5.0, 3) AS expected_false, round(fdr, 4) AS fdr FROM fdrs"),
+)
+def _(spark, d):
+    return _scored(spark, d)[1]
+
+
+@query(
+    "ag23_class_estimate",
+    with_(v.GUIDES, v.TARGETS, SITES, then=f"SELECT c.site_class, count(*) FILTER (x.site_class IS NOT NULL AND decoy IS NULL) AS real_sites, count(*) FILTER (x.site_class IS NOT NULL AND decoy IS NOT NULL) AS decoy_sites, c.site_class IN {SCORED_CLASSES} AS scored "
+    "FROM (SELECT unnest(['8mer', '7mer-m8', '7mer-A1', '6mer', 'offset-6mer']) AS site_class) c LEFT JOIN (SELECT site_class, decoy FROM sites JOIN guides USING (guide_id)) x ON x.site_class = c.site_class GROUP BY c.site_class"),
+)
+def _(spark, d):
+    return scoring.class_estimate(_sites(spark, d), v.guides(spark, d), seeds.CLASSES)
+
+
+@query(
+    "ag23_cost_estimate",
+    with_(v.GUIDES, v.TARGETS, SITES, then=f"SELECT sum(n) AS sites, sum(b) / 1000 AS kb, round((sum(n) * 0.045 + sum(b) / 1000 * 0.7) / 3600, 9) AS core_hours FROM (SELECT seq_id, count(*) AS n, any_value(length(sequence)) AS b FROM sites WHERE site_class IN {SCORED_CLASSES} GROUP BY seq_id)"),
+)
+def _(spark, d):
+    return scoring.cost_estimate(_sites(spark, d), v.targets(spark, d), seeds.CLASSES).withColumn("core_hours", F.round("core_hours", 9))
+
+
 # --- functions ----------------------------------------------------------------------------------
 @query(
     "fn1_sequences",
