@@ -81,3 +81,32 @@ def poisson_significant(k: Column, mean: Column, p: float) -> Column:
     """Whether k reads stand out of a background mean; a count far above it does without a sum."""
     n = F.floor(k + 1e-9)
     return F.when(n <= 0, False).when(mean <= 0, True).when(n > mean + 10 * F.sqrt(mean) + 10, True).otherwise(poisson_tail(k, mean) < p)
+
+
+def interval_text(contig: Column, start: Column, end: Column, strand: Column) -> Column:
+    """``chr:10-17(+)``; null if any part is."""
+    return F.concat(contig, F.lit(":"), start.cast("string"), F.lit("-"), end.cast("string"), F.lit("("), strand, F.lit(")"))
+
+
+def parsed_interval(text: Column) -> Column:
+    """contig, start, end, strand of ``interval_text``; the contig may hold colons. Nulls where the text isn't one."""
+    part = lambda i: F.nullif(F.regexp_extract(text, r"^(.*):(\d+)-(\d+)(?:\((.)\))?$", i), F.lit(""))
+    return F.struct(part(1).alias("contig"), part(2).cast("long").alias("start"), part(3).cast("long").alias("end"), part(4).alias("strand"))
+
+
+def number_text(c: Column) -> Column:
+    """Whole numbers without decimals, others with one, ties to the even digit."""
+    x = c.cast("double")
+    return F.when(x == F.floor(x), x.cast("decimal(38,0)").cast("string")).otherwise(F.bround(x, 1).cast("string"))
+
+
+def seed_pairing(site_class: Column, start: Column, end: Column, t1: Column, seed: tuple[int, int] = (2, 8)) -> Column:
+    """guide_from, guide_to (from 1), target_from, target_to (from 0, both included): the stretch that a site's class pairs."""
+    pairing = lambda a, b, s, e: F.struct(F.lit(a).alias("guide_from"), F.lit(b).alias("guide_to"), s.cast("long").alias("target_from"), e.cast("long").alias("target_to"))
+    long_, short = site_class.isin("8mer", "7mer-m8"), site_class.isin("7mer-A1", "6mer")
+    return F.when(long_, pairing(2, 8, t1 - 7, t1 - 1)).when(short, pairing(2, 7, t1 - 6, t1 - 1)).when(site_class == "offset-6mer", pairing(3, 8, t1 - 7, t1 - 2)).otherwise(pairing(*seed, start, end - 1))
+
+
+def pairing_window(pairing: Column, guide_length: Column, target_length: Column, flank: int) -> Column:
+    """start, end of the stretch of a target that an interaction may use: the guide's length and ``flank`` before the pairing, two and ``flank`` behind it."""
+    return F.struct(F.greatest(pairing["target_from"] - guide_length - flank, F.lit(0)).alias("start"), F.least(pairing["target_to"] + 2 + flank, target_length).alias("end"))

@@ -77,3 +77,25 @@ def regions(found: DataFrame, contigs: DataFrame, wanted: tuple[str, ...] = ("th
         chosen = F.when(F.size(chosen) > 0, chosen).otherwise(F.array(parts["transcript"]))
     rows = rows.withColumn("p", F.explode(chosen))
     return rows.select(F.concat_ws("|", "transcript", "p.region").alias("region_id"), "transcript", "gene", "p.region", "contig", "strand", "p.sequence")
+
+
+def transcript_regions(transcripts: DataFrame, table: DataFrame | None = None, wanted: tuple[str, ...] = (), whole_if_missing: bool = False) -> DataFrame:
+    """region_id, transcript, gene, region, sequence of transcripts (name, sequence; U becomes T).
+
+    Without a table each transcript is one region of that name. ``table``: transcript, region, start, end (from 1, both included) and, if it
+    likes, gene; its wanted regions (all without names) are cut out. One that lies outside of its transcript is an error. A transcript without any is given whole if asked for.
+    """
+    rows = transcripts.select(F.col("name").alias("transcript"), F.translate(F.upper("sequence"), "U", "T").alias("line"))
+    named = lambda df, region, gene, sequence: df.select(F.concat_ws("|", "transcript", region).alias("region_id"), "transcript", gene.alias("gene"), region.alias("region"), sequence.alias("sequence"))
+    whole = lambda df: named(df, F.lit("transcript"), F.col("transcript"), F.col("line"))
+    if table is None:
+        return whole(rows)
+    gene = F.nullif(F.col("gene"), F.lit("")) if "gene" in table.columns else F.lit(None).cast("string")
+    parts = table.select("transcript", "region", (F.col("start").cast("long") - 1).alias("from"), F.col("end").cast("long").alias("to"), gene.alias("_gene"))
+    if wanted:
+        parts = parts.filter(F.col("region").isin(*wanted))
+    held = (F.col("from") >= 0) & (F.col("from") < F.col("to")) & (F.col("to") <= F.char_length("line"))
+    outside = F.raise_error(F.format_string("region %s %s-%s lies outside of transcript %s", "region", F.col("from") + 1, "to", "transcript")).cast("string")
+    sequence = F.when(F.coalesce(held, F.lit(False)), F.substring("line", (F.col("from") + 1).cast("int"), (F.col("to") - F.col("from")).cast("int"))).otherwise(outside)
+    out = named(rows.join(parts, "transcript"), F.col("region"), F.coalesce("_gene", "transcript"), sequence)
+    return out.unionByName(whole(rows.join(parts.select("transcript").distinct(), "transcript", "left_anti"))) if whole_if_missing else out

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from locusmill.functions import circular as circ
 from locusmill.functions import sequences as seq
-from locusmill.operators import align, collapse, discovery, ends, evaluation, hairpins, intervals, loci, origin, peaks, reports, scoring, seeds, shuffles, significance
+from locusmill.operators import align, collapse, discovery, ends, evaluation, hairpins, intervals, loci, origin, peaks, precursors, regions, reports, scoring, seeds, shuffles, significance
 from locusmill.operators.origin import OriginRules
 from locusmill.plans import views as v
+from locusmill.sources import outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -443,14 +444,14 @@ u AS (SELECT site_class, z, count(*) FILTER (decoy IS NULL) AS r, count(*) FILTE
 c AS (SELECT *, sum(r) OVER w AS nr, sum(x) OVER w AS nd FROM u WINDOW w AS (PARTITION BY site_class ORDER BY z)),
 fdrs AS (SELECT *, least(1.0, (nd + 1) / 5.0 / nr) AS fdr FROM c WHERE r > 0),
 qs AS (SELECT site_class, z, min(fdr) OVER (PARTITION BY site_class ORDER BY z DESC) AS q FROM fdrs),
-scored AS (SELECT candidate, seq_id, s, site_class, paired, z, q, CASE WHEN q <= 0.5 THEN 1 ELSE 0 END AS support FROM zs LEFT JOIN qs USING (site_class, z) WHERE decoy IS NULL),
+scored AS (SELECT candidate, seq_id, s, site_class, paired, z, q, CASE WHEN q <= 0.9 THEN 1 ELSE 0 END AS support FROM zs LEFT JOIN qs USING (site_class, z) WHERE decoy IS NULL),
 attached AS (SELECT g.candidate, x.seq_id, x.s, x.site_class, paired, z, q, support FROM sites x JOIN guides g USING (guide_id) LEFT JOIN scored USING (candidate, seq_id, s, site_class) WHERE g.decoy IS NULL)"""
 
 
 def _scored(spark, d):
     g, t = v.guides(spark, d), v.targets(spark, d)
     rows = scoring.score_sites(scoring.jobs(g, t), [scoring.PAIRED])
-    return scoring.with_significance(rows, [scoring.PAIRED], scoring.decoys_each(g), fdr=0.5)
+    return scoring.with_significance(rows, [scoring.PAIRED], scoring.decoys_each(g), fdr=0.9)
 
 
 def _attached(spark, d):
@@ -501,6 +502,52 @@ def _(spark, d):
     return scoring.cost_estimate(_sites(spark, d), v.targets(spark, d), seeds.CLASSES).withColumn("core_hours", F.round("core_hours", 9))
 
 
+# --- what steps hand on --------------------------------------------------------------------------
+
+
+@query(
+    "fn9_pairing_windows",
+    with_(v.GUIDES, v.TARGETS, SITES, then="""SELECT guide_id, seq_id, t1, site_class, CASE WHEN site_class = 'offset-6mer' THEN 3 ELSE 2 END AS guide_from, CASE WHEN site_class IN ('7mer-A1', '6mer') THEN 7 ELSE 8 END AS guide_to,
+ greatest(0, CASE WHEN site_class IN ('7mer-A1', '6mer') THEN t1 - 6 ELSE t1 - 7 END - length(guide) - 12) AS "start", least(length(sequence), CASE WHEN site_class = 'offset-6mer' THEN t1 - 2 ELSE t1 - 1 END + 14) AS "end" FROM sites"""),
+)
+def _(spark, d):
+    lengths = v.targets(spark, d).select("seq_id", F.char_length("sequence").alias("n"))
+    rows = _sites(spark, d).join(v.guides(spark, d).select("guide_id", "guide"), "guide_id").join(lengths, "seq_id")
+    pairing = seq.seed_pairing(F.col("site_class"), F.col("start"), F.col("end"), F.col("t1"))
+    rows = rows.withColumn("p", pairing).withColumn("w", seq.pairing_window(F.col("p"), F.char_length("guide"), F.col("n"), 12))
+    return rows.select("guide_id", "seq_id", "t1", "site_class", "p.guide_from", "p.guide_to", "w.start", "w.end")
+
+
+@query(
+    "cp2_transcript_regions",
+    with_(v.TARGETS, then="""SELECT seq_id || '|r' || p_partkey AS region_id, seq_id AS transcript, CASE WHEN p_partkey % 3 = 0 THEN seq_id ELSE p_type END AS gene, 'r' || p_partkey AS region,
+ substr(sequence, CAST(1 + p_partkey % 7 AS BIGINT), CAST(1 + p_size % 12 AS BIGINT)) AS sequence FROM part JOIN targets ON p_brand = seq_id"""),
+)
+def _(spark, d):
+    key, start = F.col("p_partkey"), 1 + F.col("p_partkey") % 7
+    table = v.load(spark, d, "part").select(F.col("p_brand").alias("transcript"), F.concat(F.lit("r"), key).alias("region"), start.alias("start"), (start + F.col("p_size") % 12).alias("end"), F.when(key % 3 > 0, F.col("p_type")).otherwise("").alias("gene"))
+    return regions.transcript_regions(v.targets(spark, d).withColumnRenamed("seq_id", "name"), table)
+
+
+STATUS = ["F", "O", "P"]
+
+
+@query(
+    "sk4_origin_lengths",
+    f"""WITH origin AS ({_best}) SELECT class, genomes, 18 + o_orderkey % 11 AS length, {', '.join(f"coalesce(sum(o_custkey % 5 + 1) FILTER (o_orderstatus = '{s}'), 0) AS {s}" for s in STATUS)} FROM origin JOIN orders ON read_id = 'o' || o_orderkey GROUP BY ALL""",
+)
+def _(spark, d):
+    o = v.load(spark, d, "orders").withColumn("read_id", F.concat(F.lit("o"), F.col("o_orderkey").cast("string")))
+    lengths = o.select("read_id", (18 + F.col("o_orderkey") % 11).alias("length"))
+    counts = o.select("read_id", F.col("o_orderstatus").alias("sample"), (F.col("o_custkey") % 5 + 1).alias("n"))
+    return outputs.origin_tables(_origin(spark, d, RULES["best"])[1], lengths, counts, STATUS)[1]
+
+
+@query("pf16_selected_loci", f"""SELECT locus_id AS candidate, genome, contig, strand, "start", "end" FROM ({SQL['pf8_locus_table']}) WHERE pass""")
+def _(spark, d):
+    return precursors.selected(locus_table(spark, d), anchor="locus")[0]
+
+
 # --- functions ----------------------------------------------------------------------------------
 @query(
     "fn1_sequences",
