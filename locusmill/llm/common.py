@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import weakref
@@ -18,14 +19,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as ``spark.checkpoint.dir`` names it; in local mode a temporary one if it is unset."""
+    """The folder that all executors share, as ``spark.checkpoint.dir`` names it.
+
+    Where it is unset, a session in one process gets a temporary folder, one an application; a cluster (``local-cluster`` too) gets an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is unset: intermediate tables need a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="locusmill-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if named:
+        return named
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is unset: intermediate tables need a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="locusmill-")
+    return _own[app]
+
+
+_own: dict[str, str] = {}
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
