@@ -1,56 +1,137 @@
 """Ungapped alignment with few mismatches: a fuzzy join of reads and contigs by exact pieces.
 
-A read with at most v mismatches has at least one of v + 1 pieces without any. Pieces are joined with the contigs' substrings
-of the same length, and whole reads are then compared base by base.
+A read with at most v mismatches has at least one of v + 1 pieces without any. Contigs stand in a table of k-mers, each row with the bases around
+it; a piece meets the k-mers equal to its first bases, and the whole read is compared with the row's bases, three bits a base.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusmill.functions.sequences import reverse_complement
 
+#: Bases of three bits that a long holds.
+LANES = 21
+ONES = int("1" * LANES, 8)
+#: Longest k-mer: longer pieces meet by their first bases. k-mers come in steps of two bases.
+MOST, STEP = 16, 2
+#: Bases of a piece of a contig.
+PIECE = 1000
+
+
+def digits(sequence: Column, other: str) -> Column:
+    """A, C, G and T (U) as 0 to 3, any other letter as ``other``."""
+    return F.regexp_replace(F.translate(F.upper(sequence), "ACGTU", "01233"), "[^0-3]", other)
+
+
+def _words(text: Column, most: int) -> list[Column]:
+    return [F.coalesce(F.conv(F.substring(text, k + 1, LANES), 8, 10).cast("long"), F.lit(0)) for k in range(0, most, LANES)]
+
+
+def differing(a: list[Column], b: list[Column]) -> Column:
+    """Number of lanes that differ."""
+    out = F.lit(0)
+    for x, y in zip(a, b):
+        d = x.bitwiseXOR(y)
+        out = out + F.bit_count(d.bitwiseOR(F.shiftright(d, 1)).bitwiseOR(F.shiftright(d, 2)).bitwiseAND(F.lit(ONES)))
+    return out.cast("int")
+
+
+def kmer_sizes(shortest: int, longest: int, parts: int) -> list[int]:
+    """k of pieces of reads from ``shortest`` to ``longest`` bases: eight sizes at most."""
+    return list(range(min(shortest // parts, MOST), min(-(-longest // parts), MOST) + 1, STEP))
+
+
+@dataclass(frozen=True)
+class KmerIndex:
+    """A table of k-mers, its sizes, ascending by ``STEP``, and the bases around each."""
 
-def windows(contigs: DataFrame, lengths: list[int], chunk: int = 1 << 16) -> DataFrame:
-    """ref, at, k, piece: every substring of the given lengths. Long contigs are cut into overlapping chunks first, so no task expands a whole one."""
-    most = max(lengths)
-    n = F.char_length("sequence")
-    cut = contigs.select("ref", "sequence", F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(chunk))).alias("from"))
-    cut = cut.select("ref", "from", F.substring("sequence", F.col("from") + 1, F.lit(chunk + most - 1)).alias("s"))
-    k = F.explode(F.array(*map(F.lit, sorted(set(lengths))))).alias("k")
-    rows = cut.select("ref", "from", "s", k).filter("length(s) >= k")
-    last = F.least(F.char_length("s") - F.col("k"), F.lit(chunk - 1))
-    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(0), last)))
-    return rows.select("ref", (F.col("from") + F.col("i")).alias("at"), "k", F.substring("s", F.col("i") + 1, F.col("k")).alias("piece"))
+    table: DataFrame
+    ks: tuple[int, ...]
+    reach: int
 
 
-def align(reads: DataFrame, contigs: DataFrame, mismatches: int, best_only: bool = True) -> DataFrame:
+def kmer_index(contigs: DataFrame, ks: list[int], reach: int) -> KmerIndex:
+    """k, kmer, ref, at, around of contigs (ref, sequence): every k-mer of A, C, G, T, where it starts, and ``reach`` bases before and from there on, in digits.
+
+    Positions beyond a contig are 5, letters that match nothing 6. Work and rows are linear in the contigs' bases. It doesn't hold the reads and can be written once (``write_index``).
+    """
+    padded = F.concat(F.lit("-" * reach), "sequence", F.lit("-" * reach))
+    cut = contigs.select("ref", F.regexp_extract_all(padded, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("p"))
+    # a piece goes on with the next ones' first bases
+    more = -(-2 * reach // PIECE) + 1
+    whole = lambda x, i: F.left(F.concat(x, *[F.coalesce(F.get("p", i + j), F.lit("")) for j in range(1, more)]), F.lit(PIECE + 2 * reach - 1))
+    cut = cut.select("ref", F.posexplode(F.transform("p", whole)).alias("i", "piece"))
+    piece = F.regexp_replace(F.translate(F.upper("piece"), "ACGTU-", "012335"), "[^0-35]", "6")
+    cut = cut.select("ref", "i", piece.alias("piece")).filter(F.char_length("piece") >= 2 * reach)
+    rows = cut.select("ref", "i", "piece", F.explode(F.sequence(F.lit(0), F.least(F.char_length("piece") - 2 * reach, F.lit(PIECE - 1)))).alias("o"))
+    rows = rows.select("ref", (F.col("i") * PIECE + F.col("o")).alias("at"), F.substring("piece", F.col("o") + 1, F.lit(2 * reach)).alias("around"))
+    rows = rows.select("*", F.explode(F.array(*map(F.lit, ks))).alias("k"))
+    rows = rows.select("k", F.substring("around", F.lit(reach + 1), F.col("k")).alias("kmer"), "ref", "at", "around").filter((F.char_length("kmer") == F.col("k")) & ~F.col("kmer").rlike("[56]"))
+    return KmerIndex(rows, tuple(ks), reach)
+
+
+def write_index(index: KmerIndex, path: str) -> KmerIndex:
+    """The table of k-mers, in folders by k and files by k-mer, and read from there."""
+    index.table.repartition("k", "kmer").sortWithinPartitions("k", "kmer").write.partitionBy("k").parquet(path)
+    return KmerIndex(index.table.sparkSession.read.schema(index.table.schema).parquet(path), index.ks, index.reach)
+
+
+def align(reads: DataFrame, contigs: DataFrame | None, mismatches: int, best_only: bool = True, index: KmerIndex | None = None) -> DataFrame:
     """read_id, ref, start, end, strand, mismatches of every placement of reads (read_id, sequence) on contigs (ref, sequence).
 
-    ``best_only``: only a read's placements with its fewest mismatches. Reads as short as the number of pieces have none.
+    ``best_only``: only a read's placements with its fewest mismatches. Letters other than A, C, G, T match nothing; U is T. Reads as short as the number of pieces have none.
+    Instead of contigs, ``index`` can be a ``kmer_index`` that reaches as many bases as the longest read has, with a least k that the shortest read's pieces have.
     """
     if not 0 <= mismatches <= 3:
         raise ValueError("0 to 3 mismatches")
     parts = mismatches + 1
     both = reads.select("read_id", F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("sequence").alias("q")), F.struct(F.lit("-").alias("strand"), reverse_complement(F.col("sequence")).alias("q")))).alias("x"))
-    both = both.select("read_id", "x.strand", "x.q", F.char_length("x.q").alias("n")).filter(F.col("n") >= parts)
-    lengths = [r["n"] for r in both.select("n").distinct().collect()]  # a few read lengths
-    if not lengths:
-        return reads.sparkSession.createDataFrame([], "read_id string, ref string, start int, end int, strand string, mismatches int")
-    ks = sorted({(n * (i + 1)) // parts - (n * i) // parts for n in lengths for i in range(parts)})
-    i = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("i")
-    lo, hi = F.floor(F.col("n") * F.col("i") / parts).cast("int"), F.floor(F.col("n") * (F.col("i") + 1) / parts).cast("int")
-    pieces = both.select("read_id", "strand", "q", "n", i).withColumn("lo", lo).withColumn("k", hi - lo)
-    pieces = pieces.withColumn("piece", F.substring("q", F.col("lo") + 1, F.col("k")))
-    hit = pieces.join(windows(contigs, ks), ["k", "piece"]).select("read_id", "strand", "q", "n", "ref", (F.col("at") - F.col("lo")).alias("start"))
-    hit = hit.filter("start >= 0").distinct()
-    whole = hit.join(contigs.select("ref", "sequence"), "ref").filter(F.col("start") + F.col("n") <= F.char_length("sequence"))
-    target = F.substring("sequence", F.col("start") + 1, F.col("n"))
-    bases = F.sequence(F.lit(1), F.col("n"))
-    off = F.size(F.filter(bases, lambda j: F.substring(F.col("q"), j, F.lit(1)) != F.substring(F.col("target"), j, F.lit(1))))
-    rows = whole.withColumn("target", target).withColumn("mismatches", off).filter(F.col("mismatches") <= mismatches)
-    rows = rows.select("read_id", "ref", "start", (F.col("start") + F.col("n")).alias("end"), "strand", "mismatches")
+    both = both.select("read_id", "x.strand", digits(F.col("x.q"), "7").alias("q"), F.char_length("x.q").alias("n")).filter(F.col("n") >= parts)
+    shortest, longest = both.agg(F.min("n"), F.max("n")).first()
+    if not longest:
+        return reads.select("read_id", F.lit("").alias("ref"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("strand"), F.lit(0).alias("mismatches")).limit(0)
+    if index is None:
+        index = kmer_index(contigs, kmer_sizes(shortest, longest, parts), longest)
+    elif index.reach < longest or index.ks[0] > shortest // parts:
+        raise ValueError(f"the index must reach {longest} bases and hold k-mers of {shortest // parts} bases or fewer")
+    ks, reach = index.ks, index.reach
+    edge = lambda i: F.floor(F.col("n") * i / parts).cast("int")
+    fit = lambda n: F.least(F.lit(ks[0]) + F.floor((n - ks[0]) / STEP).cast("int") * STEP, F.lit(ks[-1]))
+    piece = [F.struct(F.lit(i).alias("i"), edge(i).alias("lo"), fit(edge(i + 1) - edge(i)).alias("k")) for i in range(parts)]
+    rows = both.select("read_id", "strand", "q", "n", *[w.alias(f"q{j}") for j, w in enumerate(_words(F.col("q"), longest))], F.array(*piece).alias("pieces"))
+    rows = rows.select("*", F.explode("pieces").alias("p")).withColumn("k", F.col("p.k")).withColumn("kmer", F.substring("q", F.col("p.lo") + 1, F.col("k")))
+    met = rows.join(index.table, ["k", "kmer"]).withColumn("found", F.substring("around", F.lit(reach + 1) - F.col("p.lo"), F.col("n")))
+    met = met.filter((F.char_length("found") == F.col("n")) & ~F.contains("found", F.lit("5")))
+    # a placement that several pieces find is the first one's
+    for i in range(parts - 1):
+        p = F.col("pieces")[i]
+        met = met.filter((F.col("p.i") <= i) | (F.substring("q", p["lo"] + 1, p["k"]) != F.substring("found", p["lo"] + 1, p["k"])))
+    off = differing([F.col(f"q{j}") for j in range(len(_words(F.col("q"), longest)))], _words(F.col("found"), longest))
+    start = (F.col("at") - F.col("p.lo")).cast("int")
+    met = met.withColumn("mismatches", off).filter(F.col("mismatches") <= mismatches)
+    met = met.select("read_id", "ref", start.alias("start"), (start + F.col("n")).alias("end"), "strand", "mismatches")
     if best_only:
-        rows = rows.withColumn("_best", F.min("mismatches").over(Window.partitionBy("read_id"))).filter("mismatches = _best").drop("_best")
-    return rows
+        met = met.withColumn("_best", F.min("mismatches").over(Window.partitionBy("read_id"))).filter("mismatches = _best").drop("_best")
+    return met
+
+
+def reported(reads: DataFrame, contigs: DataFrame, mismatches: int, max_hits: int, mode: str = "best", evil_max_diff: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The placements that origins are judged by, and the read_ids set aside for too many.
+
+    In the modes ``best`` and ``severe`` these are a read's best placements, and a read with more than ``max_hits`` of them is set aside. ``evil`` compares with placements up to
+    ``evil_max_diff`` mismatches worse, so all with up to ``mismatches + evil_max_diff`` (3 at most) are given, and none is set aside: ``origin.classify`` counts the best ones.
+    """
+    if mode not in ("best", "severe", "evil"):
+        raise ValueError(f"no mode {mode}")
+    if mode == "evil":
+        if not 0 <= evil_max_diff <= mismatches:
+            raise ValueError("evil_max_diff must be between 0 and mismatches")
+        hits = align(reads, contigs, min(3, mismatches + evil_max_diff), best_only=False)
+        return hits, hits.select("read_id").limit(0)
+    hits = align(reads, contigs, mismatches)
+    many = hits.groupBy("read_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_hits).select("read_id")
+    return hits.join(many, "read_id", "left_anti"), many

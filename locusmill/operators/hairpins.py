@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from locusmill.functions.circular import precursor_windows
 from locusmill.functions.sequences import reverse_complement_any_case
 from locusmill.operators.shuffles import shuffle_column
+from locusmill.operators.stretches import cut, pieces
 
 Fold = Callable[[list[str]], list[tuple[str, float]]]
 DESCRIPTION = "hairpin_loops int, stem_pairs int, stem_fraction double, single_hairpin boolean, arm string, paired_fraction double"
@@ -76,14 +77,21 @@ def described(folds: DataFrame, dominant: float = 0.8) -> DataFrame:
 
 
 def windows(candidates: DataFrame, contigs: DataFrame, near: int, far: int) -> DataFrame:
-    """Windows of candidates (candidate, ref, start, end, strand) with their sequence along the strand. ``contigs``: ref, sequence, circular."""
+    """Windows of candidates (candidate, ref, start, end, strand; each once) with their sequence along the strand. ``contigs``: ref, sequence, circular.
+
+    A window is put together from the pieces of the contig that it touches, over the origin from the last and the first ones.
+    """
     if near < 0 or far < 0:
         raise ValueError("flanks must not be negative")
-    rows = candidates.join(contigs.select("ref", "sequence", "circular", F.char_length("sequence").alias("length")), "ref")
-    rows = rows.withColumn("w", F.explode(precursor_windows(F.col("start"), F.col("end"), F.col("strand"), F.col("length"), F.col("circular"), near, far)))
-    cut = F.substring(F.when(F.col("w.wraps"), F.concat("sequence", "sequence")).otherwise(F.col("sequence")), (F.col("w.win_start") + 1).cast("int"), (F.col("w.win_end") - F.col("w.win_start")).cast("int"))
-    cut = F.when(F.col("strand") == "+", cut).otherwise(reverse_complement_any_case(cut))
-    return rows.select("candidate", "ref", "strand", "w.*", cut.alias("sequence"))
+    rows = candidates.join(contigs.select("ref", "circular", F.char_length("sequence").cast("long").alias("length")), "ref")
+    rows = rows.select("candidate", "ref", "strand", "length", F.explode(precursor_windows(F.col("start"), F.col("end"), F.col("strand"), F.col("length"), F.col("circular"), near, far)).alias("w"))
+    span = lambda a, z: F.struct(a.alias("start"), z.alias("end"))
+    whole, over = span(F.col("w.win_start"), F.col("w.win_end")), F.array(span(F.col("w.win_start"), F.col("length")), span(F.lit(0).cast("long"), F.col("w.win_end") - F.col("length")))
+    spans = rows.select("candidate", "ref", "w.window", F.posexplode(F.when(F.col("w.wraps"), over).otherwise(F.array(whole))).alias("part", "s")).select("candidate", "ref", "window", "part", "s.start", "s.end")
+    held = cut(spans, pieces(contigs), ["candidate", "ref", "window"])
+    out = rows.select("candidate", "ref", "strand", "w.*").join(held, ["candidate", "ref", "window"])
+    columns = ["candidate", "ref", "strand", "window", "win_start", "win_end", "cand_from", "cand_to", "wraps", "clipped"]
+    return out.select(*columns, F.when(F.col("strand") == "+", F.col("sequence")).otherwise(reverse_complement_any_case(F.col("sequence"))).alias("sequence"))
 
 
 def stacking_fold(sequences: list[str], loop: int = 3) -> list[tuple[str, float]]:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusmill.functions.sequences import reverse_complement
+from locusmill.functions.sequences import interval_text, reverse_complement
+from locusmill.operators.stretches import cut, pieces
 from locusmill.sources.tables import attribute
 
 BLOCKS = "array<struct<s:bigint,e:bigint>>"
@@ -25,7 +26,7 @@ def merged(blocks: Column) -> Column:
 
 
 def transcripts(records: DataFrame) -> DataFrame:
-    """transcript, gene, contig, strand, exons, cds of GFF3 records (``parse_gff``).
+    """transcript, gene, contig, strand, exons (merged), cds (sorted) of GFF3 records (``parse_gff``).
 
     Children of several parents belong to each; exons are the exon features, or coding and untranslated parts where there are none; transcripts without
     either are dropped. The gene is its Name, else its id, else the transcript's parent, Name or id.
@@ -38,14 +39,10 @@ def transcripts(records: DataFrame) -> DataFrame:
     parts = parts.groupBy("transcript").agg(F.collect_list(F.when(F.col("type") == "exon", block)).alias("x"), F.collect_list(F.when(F.col("type") == "CDS", block)).alias("c"), F.collect_list(F.when(F.col("type") != "exon", block)).alias("o"))
     rows = rna.join(parts, "transcript").join(genes, "parent", "left")
     exons = F.when(F.size("x") > 0, merged(F.col("x"))).otherwise(merged(F.col("o")))
-    rows = rows.select("transcript", F.coalesce("gene_name", "parent", "own", "transcript").alias("gene"), "contig", "strand", exons.alias("exons"), merged(F.col("c")).alias("cds"))
+    rows = rows.select("transcript", F.coalesce("gene_name", "parent", "own", "transcript").alias("gene"), "contig", "strand", exons.alias("exons"), F.array_sort("c").alias("cds"))
     return rows.filter(F.size("exons") > 0)
 
 
-def spliced(blocks: Column, sequence: Column) -> Column:
-    return F.array_join(F.transform(blocks, lambda b: F.substring(sequence, (b["s"] + 1).cast("int"), (b["e"] - b["s"]).cast("int"))), "")
-
-
 def to_transcript(position: Column, blocks: Column, strand: Column) -> Column:
     """A genome position in a transcript's coordinates, null outside of its exons."""
     total = F.aggregate(blocks, F.lit(0).cast("bigint"), lambda a, b: a + b["e"] - b["s"])
@@ -55,28 +52,67 @@ def to_transcript(position: Column, blocks: Column, strand: Column) -> Column:
     return F.when(strand == "+", forward).otherwise(total - 1 - forward)
 
 
+def blocks_of(exons: Column, strand: Column, start: Column, end: Column) -> Column:
+    """The genome's blocks, in a transcript's order, of [start, end) in the transcript's coordinates; ``exons`` are merged and ascend."""
+    ordered = F.when(strand == "+", exons).otherwise(F.reverse(exons))
+    size = lambda b: b["e"] - b["s"]
+    none = F.array().cast("array<struct<s:bigint,e:bigint,o:bigint>>")
+    laid = F.aggregate(
+        ordered,
+        F.struct(F.lit(0).cast("bigint").alias("n"), none.alias("x")),
+        lambda a, b: F.struct((a["n"] + size(b)).alias("n"), F.array_append(a["x"], F.struct(b["s"].alias("s"), b["e"].alias("e"), a["n"].alias("o"))).alias("x")),
+        lambda a: a["x"],
+    )
+    def piece(b):
+        a, z = F.greatest(start, b["o"]) - b["o"], F.least(end, b["o"] + size(b)) - b["o"]
+        forward = F.struct((b["s"] + a).alias("s"), (b["s"] + z).alias("e"))
+        return F.when(strand == "+", forward).otherwise(F.struct((b["e"] - z).alias("s"), (b["e"] - a).alias("e")))
+
+    return F.filter(F.transform(laid, piece), lambda b: b["s"] < b["e"])
+
+
+def to_genome(position: Column, blocks: Column, strand: Column) -> Column:
+    """The genome position of a region's base, both from 0, by the region's blocks; null beyond them."""
+    left = position.cast("bigint")
+    found = F.aggregate(
+        blocks,
+        F.struct(left.alias("left"), F.lit(None).cast("bigint").alias("at")),
+        lambda a, b: F.struct((a["left"] - b["e"] + b["s"]).alias("left"), F.when(a["at"].isNull() & (a["left"] >= 0) & (a["left"] < b["e"] - b["s"]), F.when(strand == "+", b["s"] + a["left"]).otherwise(b["e"] - 1 - a["left"])).otherwise(a["at"]).alias("at")),
+    )
+    return found["at"]
+
+
+def genomic(contig: Column, strand: Column, blocks: Column, start: Column, end: Column) -> Column:
+    """Where [start, end) of a region lies on the genome, over its junctions, as ``chr:10-17(+)``; empty where the region has no such blocks."""
+    a, z = to_genome(start, blocks, strand), to_genome(end - 1, blocks, strand)
+    return F.coalesce(interval_text(contig, F.least(a, z) + 1, F.greatest(a, z) + 1, F.when(a.isNotNull() & z.isNotNull(), strand)), F.lit(""))
+
+
 def regions(found: DataFrame, contigs: DataFrame, wanted: tuple[str, ...] = ("three_prime_UTR",), whole_if_missing: bool = False) -> DataFrame:
-    """region_id, transcript, gene, region, contig, strand, sequence of ``transcripts``; ``contigs``: contig, sequence.
+    """region_id, transcript, gene, region, contig, strand, sequence, blocks of ``transcripts``; ``contigs``: contig, sequence.
 
-    The coding span runs from the first to the last coding base; coding pieces that start outside of the exons don't count. A
-    transcript without any wanted part is given whole if asked for.
+    The coding span runs from the first to the last coding base; coding pieces that start outside of the exons don't count, a last base outside of them is an error. A
+    transcript without any wanted part is given whole if asked for. ``blocks`` are the genome's, in the transcript's order. Exons are cut from pieces of the contigs.
     """
-    rows = found.join(contigs.select("contig", F.upper("sequence").alias("genome_sequence")), "contig")
-    held = F.filter("cds", lambda c: F.exists(F.col("exons"), lambda x: (x["s"] <= c["s"]) & (c["s"] < x["e"])))
+    exons = found.select("transcript", "contig", F.posexplode("exons").alias("part", "x")).select("transcript", "contig", "part", F.col("x.s").alias("start"), F.col("x.e").alias("end"))
+    lines = cut(exons, pieces(contigs, "contig"), ["transcript", "contig"], "contig")
+    rows = found.join(lines, ["transcript", "contig"]).withColumn("line", F.upper("sequence"))
+    held = merged(F.filter("cds", lambda c: F.exists(F.col("exons"), lambda x: (x["s"] <= c["s"]) & (c["s"] < x["e"]))))
     rows = rows.withColumn("cds", held)
-    line = spliced(F.col("exons"), F.col("genome_sequence"))
-    rows = rows.withColumn("line", F.when(F.col("strand") == "+", line).otherwise(reverse_complement(line))).drop("genome_sequence")
+    rows = rows.withColumn("line", F.when(F.col("strand") == "+", F.col("line")).otherwise(reverse_complement(F.col("line"))))
     first, last = F.get("cds", 0)["s"], F.get("cds", F.size("cds") - 1)["e"] - 1
     a, z = (to_transcript(p, F.col("exons"), F.col("strand")) for p in (first, last))
+    outside = F.raise_error(F.format_string("the coding part of transcript %s ends outside of its exons", "transcript")).cast("bigint")
+    z = F.when((F.size("cds") > 0) & z.isNull(), outside).otherwise(z)
     rows = rows.withColumn("from", F.least(a, z)).withColumn("to", F.greatest(a, z) + 1)
     n = F.char_length("line")
-    part = lambda name, s, e: F.struct(F.lit(name).alias("region"), F.substring("line", (s + 1).cast("int"), (e - s).cast("int")).alias("sequence"))
+    part = lambda name, s, e: F.struct(F.lit(name).alias("region"), F.substring("line", (s + 1).cast("int"), (e - s).cast("int")).alias("sequence"), blocks_of(F.col("exons"), F.col("strand"), s, e).alias("blocks"))
     parts = {"five_prime_UTR": part("five_prime_UTR", F.lit(0), F.col("from")), "CDS": part("CDS", F.col("from"), F.col("to")), "three_prime_UTR": part("three_prime_UTR", F.col("to"), n), "transcript": part("transcript", F.lit(0), n)}
     chosen = F.filter(F.array(*[parts[w] for w in wanted]), lambda p: F.coalesce(F.char_length(p["sequence"]), F.lit(0)) > 0)
     if whole_if_missing and "transcript" not in wanted:
         chosen = F.when(F.size(chosen) > 0, chosen).otherwise(F.array(parts["transcript"]))
     rows = rows.withColumn("p", F.explode(chosen))
-    return rows.select(F.concat_ws("|", "transcript", "p.region").alias("region_id"), "transcript", "gene", "p.region", "contig", "strand", "p.sequence")
+    return rows.select(F.concat_ws("|", "transcript", "p.region").alias("region_id"), "transcript", "gene", "p.region", "contig", "strand", "p.sequence", "p.blocks")
 
 
 def transcript_regions(transcripts: DataFrame, table: DataFrame | None = None, wanted: tuple[str, ...] = (), whole_if_missing: bool = False) -> DataFrame:

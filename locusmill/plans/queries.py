@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from locusmill.functions import circular as circ
 from locusmill.functions import sequences as seq
-from locusmill.operators import align, collapse, discovery, ends, evaluation, hairpins, intervals, loci, origin, peaks, precursors, regions, reports, scoring, seeds, shuffles, significance
+from locusmill.operators import align, calibration, collapse, discovery, ends, evaluation, hairpins, intervals, loci, origin, peaks, precursors, regions, reports, scoring, seeds, shuffles, significance
 from locusmill.operators.origin import OriginRules
 from locusmill.plans import views as v
 from locusmill.sources import outputs
@@ -605,6 +605,70 @@ def _(spark, d):
     return align.align(uniq, v.targets(spark, d).withColumnRenamed("seq_id", "ref"), 2, best_only=False)
 
 
+@query(
+    "jn1_reported",
+    SQL["jn1_align"][: SQL["jn1_align"].rindex("SELECT read_id, seq_id")] + """SELECT read_id, any_value(mm) AS mismatches, CAST(count(*) AS BIGINT) AS hits, count(*) > 2 AS set_aside FROM (SELECT *, min(mm) OVER (PARTITION BY read_id) AS best FROM found) WHERE mm = best GROUP BY read_id""",
+)
+def _(spark, d):
+    uniq = v.reads(spark, d).filter(F.char_length("sequence") >= 18).select(F.col("sequence").alias("read_id"), "sequence").distinct()
+    contigs = v.targets(spark, d).withColumnRenamed("seq_id", "ref")
+    kept, many = align.reported(uniq, contigs, 2, max_hits=2)
+    every = align.align(uniq.join(many, "read_id"), contigs, 2).unionByName(kept)
+    out = every.groupBy("read_id").agg(F.min("mismatches").alias("mismatches"), F.count(F.lit(1)).alias("hits"))
+    return out.join(many.withColumn("set_aside", F.lit(True)), "read_id", "left").select("read_id", "mismatches", "hits", F.coalesce("set_aside", F.lit(False)).alias("set_aside"))
+
+
+DRAWS, WINDOW = 2000, 60
+
+
+@query(
+    "rn4_calibration_windows",
+    with_(
+        v.TARGETS,
+        "laid AS (SELECT *, sum(n) OVER (ORDER BY md5(seq_id)) - n AS s, sum(n) OVER () AS total FROM (SELECT *, length(sequence) AS n FROM targets WHERE length(sequence) >= 20))",
+        f"draws AS (SELECT i AS draw, ('0x' || substr(md5('1:place:' || i), 1, 15))::BIGINT % (SELECT max(total) FROM laid) AS p, ('0x' || substr(md5('1:offset:' || i), 1, 15))::BIGINT AS q FROM range({DRAWS}) r(i))",
+        then=f'SELECT draw, seq_id, q % greatest(n - {WINDOW} + 1, 1) AS "start", substr(sequence, CAST(q % greatest(n - {WINDOW} + 1, 1) + 1 AS BIGINT), {WINDOW}) AS "window" FROM draws JOIN laid ON p >= s AND p < s + n',
+    ),
+)
+def _(spark, d):
+    return calibration.calibration_windows(v.targets(spark, d), WINDOW, DRAWS)
+
+
+PARTS = ("five_prime_UTR", "CDS", "three_prime_UTR")
+
+
+def _genome_regions(spark, d):
+    return regions.regions(v.transcripts(spark, d), v.targets(spark, d).withColumnRenamed("seq_id", "contig"), PARTS, whole_if_missing=True)
+
+
+@query(
+    "cp1_genome_regions",
+    with_(
+        v.TARGETS, v.TRANSCRIPTS,
+        "pieces AS (SELECT t, region, o, CASE WHEN r.strand = '+' THEN s + greatest(a, o) - o ELSE e - (least(z, o + e - s) - o) END AS bs, CASE WHEN r.strand = '+' THEN s + least(z, o + e - s) - o ELSE e - (greatest(a, o) - o) END AS be FROM reg r JOIN ex USING (t) WHERE greatest(a, o) < least(z, o + e - s))",
+        "blocks AS (SELECT t, region, string_agg((bs + 1) || '-' || be, ',' ORDER BY o) AS blocks FROM pieces GROUP BY t, region)",
+        then="SELECT 't' || t || '|' || region AS region_id, 't' || t AS transcript, 'g' || (t % 7) AS gene, region, contig, strand, substr(line, CAST(a + 1 AS BIGINT), CAST(z - a AS BIGINT)) AS sequence, blocks FROM reg JOIN blocks USING (t, region)",
+    ),
+)
+def _(spark, d):
+    return _genome_regions(spark, d).withColumn("blocks", outputs.blocks_text(F.col("blocks")))
+
+
+@query(
+    "wn13_genomic_sites",
+    with_(
+        v.TARGETS, v.TRANSCRIPTS,
+        "site AS (SELECT t, region, contig, strand, a, unnest(range(0, CAST(z - a - 7 AS BIGINT), 17)) AS p FROM reg)",
+        "ends AS (SELECT site.*, f.o AS fo, f.s AS fs, f.e AS fe, l.o AS lo, l.s AS ls, l.e AS le FROM site JOIN ex f ON f.t = site.t AND f.o <= a + p AND a + p < f.o + f.e - f.s JOIN ex l ON l.t = site.t AND l.o <= a + p + 7 AND a + p + 7 < l.o + l.e - l.s)",
+        then="""SELECT 't' || t || '|' || region AS region_id, p AS "start", p + 8 AS "end", contig || ':' || CASE WHEN strand = '+' THEN (fs + a + p - fo + 1) || '-' || (ls + a + p + 7 - lo + 1) ELSE (le - (a + p + 7 - lo)) || '-' || (fe - (a + p - fo)) END || '(' || strand || ')' AS genomic FROM ends""",
+    ),
+)
+def _(spark, d):
+    starts = F.sequence(F.lit(0), F.char_length("sequence") - 8, F.lit(17))
+    rows = _genome_regions(spark, d).filter(F.char_length("sequence") >= 8).select("*", F.explode(starts).alias("start")).withColumn("start", F.col("start").cast("long")).withColumn("end", F.col("start") + 8)
+    return rows.select("region_id", "start", "end", regions.genomic(F.col("contig"), F.col("strand"), F.col("blocks"), F.col("start"), F.col("end")).alias("genomic"))
+
+
 @query("wn3_peaks")
 def _(spark, d):
     rows = intervals.block_starts(v.members(spark, d), gap=200)

@@ -125,6 +125,29 @@ def targets(spark: SparkSession, d: str) -> DataFrame:
 TARGETS = f"targets AS (SELECT p_brand AS seq_id, string_agg({_sql_sequence('p_partkey')}, '' ORDER BY p_partkey) AS sequence FROM part GROUP BY p_brand)"
 
 
+def transcripts(spark: SparkSession, d: str) -> DataFrame:
+    """Spliced transcripts on the long sequences: transcript, gene, contig, strand, exons, cds. One of four has no coding part."""
+    s = F.col("s_suppkey")
+    exon = lambda k: F.struct((s * 7 % 50 + k * 60).cast("bigint").alias("s"), (s * 7 % 50 + k * 60 + 20 + s * (k + 1) % 31).cast("bigint").alias("e"))
+    exons = F.transform(F.sequence(F.lit(0), (2 + s % 3).cast("int")), exon)
+    last = F.size("exons") - 1
+    coding = F.transform("exons", lambda x, i: F.struct(F.when(i == 0, x["s"] + 5).otherwise(x["s"]).alias("s"), F.when(i == last, x["e"] - 7).otherwise(x["e"]).alias("e")))
+    contig = F.concat(F.lit("Brand#"), (1 + s % 5).cast("string"), (1 + F.floor(s / 5) % 5).cast("string"))
+    rows = load(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("t"), s.cast("string")).alias("transcript"), F.concat(F.lit("g"), (s % 7).cast("string")).alias("gene"), contig.alias("contig"), F.when(s % 2 == 0, "+").otherwise("-").alias("strand"), exons.alias("exons"))
+    return rows.withColumn("cds", F.when(s % 4 == 0, F.array().cast("array<struct<s:bigint,e:bigint>>")).otherwise(coding)).drop("s_suppkey")
+
+
+#: tx, ex (an exon a row, with its offset in the transcript), line and reg (the regions' spans in the transcript)
+TRANSCRIPTS = """tx AS (SELECT s_suppkey AS t, 'Brand#' || (1 + s_suppkey % 5) || (1 + s_suppkey // 5 % 5) AS contig, CASE WHEN s_suppkey % 2 = 0 THEN '+' ELSE '-' END AS strand, unnest(range(0, 3 + s_suppkey % 3)) AS k FROM supplier),
+ex0 AS (SELECT *, t * 7 % 50 + k * 60 AS s, t * 7 % 50 + k * 60 + 20 + t * (k + 1) % 31 AS e FROM tx),
+ex AS (SELECT *, coalesce(sum(e - s) OVER (PARTITION BY t ORDER BY CASE WHEN strand = '+' THEN k ELSE -k END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o, sum(e - s) OVER (PARTITION BY t) AS n FROM ex0),
+line AS (SELECT t, contig, strand, any_value(n) AS n, CASE WHEN strand = '+' THEN string_agg(substr(sequence, s + 1, e - s), '' ORDER BY k) ELSE reverse(translate(string_agg(substr(sequence, s + 1, e - s), '' ORDER BY k), 'ACGTUN', 'TGCAAN')) END AS line
+  FROM ex JOIN targets ON contig = seq_id GROUP BY t, contig, strand),
+spans AS (SELECT *, CASE WHEN strand = '+' THEN 5 ELSE 7 END AS cs, n - CASE WHEN strand = '+' THEN 7 ELSE 5 END AS ce FROM line),
+reg AS (SELECT t, contig, strand, line, 'five_prime_UTR' AS region, 0 AS a, cs AS z FROM spans WHERE t % 4 > 0 UNION ALL SELECT t, contig, strand, line, 'CDS', cs, ce FROM spans WHERE t % 4 > 0
+  UNION ALL SELECT t, contig, strand, line, 'three_prime_UTR', ce, n FROM spans WHERE t % 4 > 0 UNION ALL SELECT t, contig, strand, line, 'transcript', 0, n FROM spans WHERE t % 4 = 0)"""
+
+
 def guides(spark: SparkSession, d: str) -> DataFrame:
     """guide_id, candidate, decoy (null: real), guide of 22 bases: one of six suppliers is real, the others its decoys."""
     s = load(spark, d, "supplier")

@@ -60,9 +60,9 @@ def attribute(attributes: str, key: str):
 
 
 def parse_gff(lines: DataFrame) -> DataFrame:
-    """contig, type, start, end, strand, attributes of the records of a GFF3 text (``value``, and ``line``, its number): up to ``##FASTA``."""
-    stop = lines.filter(F.startswith("value", F.lit("##FASTA"))).agg(F.min("line")).first()[0]
-    rows = lines if stop is None else lines.filter(F.col("line") < stop)
+    """contig, type, start, end, strand, attributes of the records of GFF3 texts (``numbered_lines``), each up to its own ``##FASTA``."""
+    stops = lines.filter(F.startswith("value", F.lit("##FASTA"))).groupBy("file").agg(F.min("line").alias("stop"))
+    rows = lines.join(stops, "file", "left").filter(F.col("stop").isNull() | (F.col("line") < F.col("stop")))
     f = F.split("value", "\t")
     rows = rows.filter(~F.startswith("value", F.lit("#"))).select(f.alias("f")).filter(F.size("f") >= 9)
     return rows.select(
@@ -77,6 +77,10 @@ def features(records: DataFrame, genome: str) -> DataFrame:
     return rows.select(F.lit(genome).alias("genome"), "contig", "strand", "start", "end", "type", name.alias("name"))
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """value, line of a small text file (annotation), lines from 0."""
-    return spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("line", "value"))
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """value, file, line of text files of any size; ``line`` orders a file's lines: the part of the file that a task reads, and the place in it.
+
+    Files are read in parts as Spark splits them; numbers are the same in each reading of the files with the same settings.
+    """
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("row"))
+    return rows.select(F.regexp_replace("value", r"\r$", "").alias("value"), "file", F.struct("part", "row").alias("line"))
