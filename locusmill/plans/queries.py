@@ -776,11 +776,56 @@ def _(spark, d):
     return seeds.distinct_sequences(v.targets(spark, d)).select("seq_id", F.char_length("sequence").cast("long").alias("n"))
 
 
-@query("jn11_outcomes")
+def _evaluated(spark, d):
+    """Planted features and judged loci on their contigs; a representative starts a little inside of its locus."""
+    c = v.contigs(spark, d).select("genome", "contig", "role", "length", "circular")
+    found = _judged_loci(spark, d).withColumn("rep_start", F.col("start") + F.col("n") % 3).withColumn("rep_end", F.col("end") - F.col("n") % 2)
+    return v.planted(spark, d).join(c, ["genome", "contig"]), found.join(c.drop("role"), ["genome", "contig"])
+
+
+def _outcomes(spark, d):
+    features, found = _evaluated(spark, d)
+    return evaluation.outcomes(evaluation.judged_features(features, v.contigs(spark, d).select("genome", "role")), found)
+
+
+EVALUATED = with_(
+    v.MEMBERS, v.CONTIGS, v.PLANTED, _blocks(0), LOCI, JUDGED,
+    "found AS (SELECT j.*, s + n % 3 AS rs, e - n % 2 AS re FROM judged j)",
+    "truth AS (SELECT * FROM planted JOIN contigs USING (genome, contig))",
+    "sharing AS (SELECT feature_id, category, expected, role, locus_id, t.s, t.e, strand, length, rs, re, total, kind, pass, greatest(0, least(t.e, l.e + k * length) - greatest(t.s, l.s + k * length)) AS n FROM truth t JOIN found l USING (genome, contig, strand) JOIN (VALUES (0), (1), (-1)) v(k) ON k = 0 OR circular)",
+    "touching AS (SELECT feature_id, category, expected, role, locus_id, s, e, strand, length, rs, re, total, kind, pass, max(n) AS shared FROM sharing GROUP BY ALL HAVING max(n) > 0)",
+    "is_judged AS (SELECT * FROM touching WHERE role = 'focus' AND regexp_matches(category, '^(srna|trf5|trf3_cca)'))",
+    "offs AS (SELECT *, shared >= e - s AS covers, ((CASE WHEN strand = '+' THEN rs - s ELSE e - re END + length // 2) % length + length) % length - length // 2 AS off FROM is_judged)",
+    "owned AS (SELECT *, coalesce(abs(off) <= 3 AND total >= 0.1 * max(total) FILTER (abs(off) <= 3) OVER (PARTITION BY feature_id), false) AS own FROM offs)",
+    "held AS (SELECT o.*, own AND EXISTS (SELECT 1 FROM owned x WHERE x.locus_id = o.locus_id AND x.feature_id <> o.feature_id AND x.covers AND x.category LIKE 'srna%') AS holds FROM owned o)",
+    """facts AS (SELECT feature_id, count(*) FILTER (own) AS k, bool_or(holds) AS holds, bool_or(own AND pass) AS own_pass, bool_or(own AND kind = 'background') AS own_back, count(*) FILTER (covers) AS covering, bool_and(kind = 'background') FILTER (covers) AS all_back,
+  string_agg(locus_id, ',' ORDER BY locus_id) AS loci, arg_min(locus_id, (NOT own, -total, locus_id)) AS best_locus, arg_min(off, (NOT own, -total, locus_id)) AS best_offset FROM held GROUP BY feature_id)""",
+    """outcome AS (SELECT t.feature_id, t.category, t.expected, coalesce(loci, '') AS loci, best_locus, best_offset, own_pass, CASE WHEN k > 1 THEN 'split' WHEN k = 1 AND own_back THEN 'background' WHEN k = 1 AND holds THEN 'merged' WHEN k = 1 AND own_pass THEN 'pass' WHEN k = 1 THEN 'fail'
+  WHEN covering > 0 AND all_back THEN 'background' WHEN covering > 0 THEN 'merged' WHEN f.feature_id IS NOT NULL THEN 'partial' ELSE 'missed' END AS outcome
+  FROM truth t LEFT JOIN facts f USING (feature_id) WHERE t.role = 'focus' AND regexp_matches(t.category, '^(srna|trf5|trf3_cca)'))""",
+    then="",
+)
+
+
+@query("jn11_outcomes", EVALUATED + "SELECT feature_id, category, expected, outcome, CASE WHEN expected = 'fail' THEN NOT coalesce(own_pass, false) ELSE outcome = expected OR expected = 'any' END AS as_expected, loci, best_locus, best_offset FROM outcome")
+def _(spark, d):
+    return _outcomes(spark, d).select("feature_id", "category", "expected", "outcome", "as_expected", "loci", "best_locus", "best_offset")
+
+
+@query(
+    "ag19_outcome_counts",
+    EVALUATED + "SELECT category, expected, CAST(sum(n) AS BIGINT) AS features, string_agg(outcome || ' ' || n, ', ' ORDER BY n DESC, outcome) AS observed FROM (SELECT category, expected, outcome, count(*) AS n FROM outcome GROUP BY ALL) GROUP BY category, expected",
+)
+def _(spark, d):
+    return evaluation.outcome_counts(_outcomes(spark, d))
+
+
+@query(
+    "jn14_false_positives",
+    EVALUATED + """SELECT locus_id, coalesce(by_, 'none') AS explained_by FROM found LEFT JOIN (SELECT locus_id, string_agg(feature_id, ',' ORDER BY shared DESC, feature_id) AS by_, bool_or(category LIKE 'srna%') AS small FROM touching GROUP BY locus_id) USING (locus_id) WHERE pass AND NOT coalesce(small, false)""",
+)
 def _(spark, d):
-    c = v.contigs(spark, d).select("genome", "contig", "length", "circular")
-    truth = v.features(spark, d).withColumn("feature_id", F.concat_ws(":", "genome", "contig", "strand", "start")).withColumn("expected", F.when(F.col("start") % 3 == 0, "any").otherwise("pass"))
-    return evaluation.outcomes(truth.join(F.broadcast(c), ["genome", "contig"]), _judged_loci(spark, d).join(F.broadcast(c), ["genome", "contig"]))
+    return evaluation.false_positives(*_evaluated(spark, d)).select("locus_id", "explained_by")
 
 
 @query("rn2_decoys")

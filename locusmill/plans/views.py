@@ -125,6 +125,21 @@ def targets(spark: SparkSession, d: str) -> DataFrame:
 TARGETS = f"targets AS (SELECT p_brand AS seq_id, string_agg({_sql_sequence('p_partkey')}, '' ORDER BY p_partkey) AS sequence FROM part GROUP BY p_brand)"
 
 
+def planted(spark: SparkSession, d: str) -> DataFrame:
+    """Planted features near the blocks of ``members``: feature_id, category, genome, contig, strand, start, end, expected, sequence."""
+    p, key, size = load(spark, d, "part"), F.col("p_partkey"), F.col("p_size")
+    of = lambda names, k: F.get(F.array(*map(F.lit, names)), k.cast("int"))
+    place = [F.concat(F.lit("g"), (key % 3).cast("string")).alias("genome"), F.concat(F.lit("c"), (size % 2).cast("string")).alias("contig"), of(("+", "-"), F.floor(size / 2) % 2).alias("strand")]
+    one = p.select(F.concat(F.lit("f"), key).alias("feature_id"), of(("srna_a", "trf5", "degradation", "srna_b", "trf3_cca"), key % 5).alias("category"), *place, (key * 200 + 1 + size % 7).cast("long").alias("start"), (key * 200 + 19 + size % 7 + size % 18).cast("long").alias("end"), of(("pass", "fail", "any", "merged"), size % 4).alias("expected"))
+    two = p.select(F.concat(F.lit("h"), key).alias("feature_id"), of(("srna_c", "repeat"), key % 2).alias("category"), *place, (key * 200 + 4).cast("long").alias("start"), (key * 200 + 12).cast("long").alias("end"), F.lit("missed").alias("expected"))
+    return one.unionByName(two)
+
+
+PLANTED = """spots AS (SELECT *, 'g' || (p_partkey % 3) AS genome, 'c' || (p_size % 2) AS contig, ['+', '-'][p_size // 2 % 2 + 1] AS strand FROM part),
+planted AS (SELECT 'f' || p_partkey AS feature_id, ['srna_a', 'trf5', 'degradation', 'srna_b', 'trf3_cca'][p_partkey % 5 + 1] AS category, genome, contig, strand, p_partkey * 200 + 1 + p_size % 7 AS s, p_partkey * 200 + 19 + p_size % 7 + p_size % 18 AS e, ['pass', 'fail', 'any', 'merged'][p_size % 4 + 1] AS expected FROM spots
+  UNION ALL SELECT 'h' || p_partkey, ['srna_c', 'repeat'][p_partkey % 2 + 1], genome, contig, strand, p_partkey * 200 + 4, p_partkey * 200 + 12, 'missed' FROM spots)"""
+
+
 def transcripts(spark: SparkSession, d: str) -> DataFrame:
     """Spliced transcripts on the long sequences: transcript, gene, contig, strand, exons, cds. One of four has no coding part."""
     s = F.col("s_suppkey")

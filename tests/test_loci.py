@@ -247,8 +247,9 @@ def test_fold_and_windows(spark):
 
 def test_outcomes(spark):
     cols = "genome string, contig string, strand string, start long, end long, length long, circular boolean"
-    truth = spark.createDataFrame([(f"t{i}", e, "g", "c", "+", s, s + 20, 1000, True) for i, (s, e) in enumerate(((100, "pass"), (200, "merged"), (225, "merged"), (400, "missed"), (990, "any")))], "feature_id string, expected string, " + cols)
+    truth = spark.createDataFrame([(f"t{i}", "srna", e, "g", "c", "+", s, s + 20, 1000, True) for i, (s, e) in enumerate(((100, "pass"), (200, "merged"), (225, "merged"), (400, "missed"), (990, "any")))], "feature_id string, category string, expected string, " + cols)
     found = spark.createDataFrame([("l0", 9.0, "peak", True, "g", "c", "+", 101, 121, 1000, True), ("l1", 9.0, "peak", True, "g", "c", "+", 200, 250, 1000, True), ("l2", 9.0, "peak", False, "g", "c", "+", 991, 1009, 1000, True), ("l3", 9.0, "peak", True, "g", "c", "+", 600, 620, 1000, True)], "locus_id string, total double, kind string, pass boolean, " + cols)
+    found = found.withColumn("rep_start", F.col("start")).withColumn("rep_end", F.col("end"))
     got = {r["feature_id"]: (r["outcome"], r["as_expected"]) for r in evaluation.outcomes(truth, found).collect()}
     assert got == {"t0": ("pass", True), "t1": ("merged", True), "t2": ("merged", True), "t3": ("missed", True), "t4": ("fail", True)}
     assert rows(evaluation.false_positives(truth, found), "locus_id") == [("l3",)]
