@@ -84,18 +84,36 @@ def anti_overlap(left: DataFrame, right: DataFrame, keys: list[str], row: str) -
     return left.join(hit, row, "left_anti")
 
 
-def depth_runs(intervals: DataFrame, weight: Column, keys: list[str] = KEYS, bin_size: int = BIN) -> DataFrame:
-    """Runs [start, end) of equal depth > 0: the running sum of +weight at starts and -weight at ends, bins carried over by one row each."""
-    w = weight.cast("double")
-    events = intervals.select(*keys, F.explode(F.array(F.struct(F.col("start").alias("pos"), w.alias("w")), F.struct(F.col("end").alias("pos"), (-w).alias("w")))).alias("e"))
-    events = events.groupBy(*keys, F.col("e.pos").alias("start")).agg(F.sum("e.w").alias("w")).withColumn("_bin", F.floor(F.col("start") / bin_size))
-    bins = events.groupBy(*keys, "_bin").agg(F.sum("w").alias("_w"), F.min("start").alias("_first"))
+def signed_runs(intervals: DataFrame, weights: dict[str, Column], keys: list[str] = KEYS, bin_size: int = BIN) -> DataFrame:
+    """keys, start, end and a running sum of each of ``weights``: runs [start, end) between neighbouring starts and ends of intervals.
+
+    Each interval is an event of +weight at its start and one of -weight at its end; running sums go on over bins by a row each. Rows follow the intervals in number, not their bases.
+    """
+    names = list(weights)
+    w = {n: c.cast("double") for n, c in weights.items()}
+    event = lambda pos, sign: F.struct(F.col(pos).alias("pos"), *[(sign * c).alias(f"w{i}") for i, c in enumerate(w.values())])
+    events = intervals.select(*keys, F.explode(F.array(event("start", 1), event("end", -1))).alias("e"))
+    events = events.groupBy(*keys, F.col("e.pos").alias("start")).agg(*[F.sum(f"e.w{i}").alias(f"_w{i}") for i in range(len(names))]).withColumn("_bin", F.floor(F.col("start") / bin_size))
+    bins = events.groupBy(*keys, "_bin").agg(*[F.sum(f"_w{i}").alias(f"_s{i}") for i in range(len(names))], F.min("start").alias("_first"))
     over = Window.partitionBy(*keys).orderBy("_bin")
-    bins = bins.withColumn("_base", F.coalesce(F.sum("_w").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).withColumn("_next", F.lead("_first").over(over))
+    base = [F.coalesce(F.sum(f"_s{i}").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias(f"_b{i}") for i in range(len(names))]
+    bins = bins.select(*keys, "_bin", *base, F.lead("_first").over(over).alias("_next"))
     inside = Window.partitionBy(*keys, "_bin").orderBy("start")
-    rows = events.join(bins, [*keys, "_bin"]).withColumn("depth", F.col("_base") + F.sum("w").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("end", F.coalesce(F.lead("start").over(inside), F.col("_next")))
-    return rows.filter("depth > 1e-9 AND end IS NOT NULL").select(*keys, "start", "end", "depth")
+    sums = [(F.col(f"_b{i}") + F.sum(f"_w{i}").over(inside.rowsBetween(Window.unboundedPreceding, 0))).alias(n) for i, n in enumerate(names)]
+    rows = events.join(bins, [*keys, "_bin"]).select(*keys, "start", F.coalesce(F.lead("start").over(inside), F.col("_next")).alias("end"), *sums)
+    return rows.filter("end IS NOT NULL")
+
+
+def depth_runs(intervals: DataFrame, weight: Column, keys: list[str] = KEYS, bin_size: int = BIN) -> DataFrame:
+    """Runs [start, end) of equal depth > 0."""
+    return signed_runs(intervals, {"depth": weight}, keys, bin_size).filter("depth > 1e-9")
+
+
+def sample_runs(placed: DataFrame, contigs: DataFrame, weight: Column, samples: list[str]) -> DataFrame:
+    """genome, contig, strand, start, end, depth and ``depth_<sample>``: the runs of reads (with sample) on contigs (genome, contig, length, circular), over the origin too."""
+    rows = split_at_origin(placed.join(contigs.select("genome", "contig", "length", "circular"), ["genome", "contig"]).withColumn("_w", weight))
+    each = {f"depth_{s}": F.when(F.col("sample") == s, F.col("_w")).otherwise(0.0) for s in samples}
+    return signed_runs(rows, {"depth": F.col("_w"), **each}).filter("depth > 1e-9")
 
 
 def split_at_origin(intervals: DataFrame) -> DataFrame:

@@ -8,14 +8,21 @@ from pyspark.sql import functions as F
 MIN_DECOY_SCORES = 20
 
 
-def site_count_fdr(counts: DataFrame) -> DataFrame:
+#: Equal stretches of a key's scores that are ordered one by one.
+SCORE_BINS = 1024
+
+
+def site_count_fdr(counts: DataFrame, pooled: bool = False) -> DataFrame:
     """candidate, site_class (and any): real sites, mean and population sd of decoys, enrichment and FDR (null without a divisor).
 
-    ``counts``: candidate, decoy (null: real), site_class, n, zeros too.
+    ``counts``: candidate, decoy (its number, null: real), site_class, n, zeros too. ``pooled``: also the candidate ``all``, whose decoy of a number is the sum of all
+    candidates' decoys of that number. All sums are grouping sets of one aggregation.
     """
-    each = counts.groupBy("candidate", "decoy", "site_class").agg(F.sum("n").alias("n"))
-    any_ = each.groupBy("candidate", "decoy").agg(F.sum("n").alias("n")).select("candidate", "decoy", F.lit("any").alias("site_class"), "n")
-    rows = each.unionByName(any_)
+    candidate, decoy, cls = F.col("candidate"), F.col("decoy"), F.col("site_class")
+    sets = [[candidate, decoy, cls], [candidate, decoy]] + ([[decoy, cls], [decoy]] if pooled else [])
+    rows = counts.groupingSets(sets, candidate, decoy, cls).agg(F.sum("n").alias("n"), F.grouping("candidate").alias("_all"), F.grouping("site_class").alias("_any"))
+    name = F.when(F.col("_all") == 1, "all").otherwise(candidate.cast("string")) if pooled else candidate
+    rows = rows.select(name.alias("candidate"), "decoy", F.when(F.col("_any") == 1, "any").otherwise(cls).alias("site_class"), "n")
     real, decoy = F.when(F.col("decoy").isNull(), F.col("n")), F.when(F.col("decoy").isNotNull(), F.col("n"))
     out = rows.groupBy("candidate", "site_class").agg(F.coalesce(F.sum(real), F.lit(0)).alias("real_sites"), F.coalesce(F.avg(decoy), F.lit(0.0)).alias("decoy_mean"), F.coalesce(F.stddev_pop(decoy), F.lit(0.0)).alias("decoy_sd"))
     positive = lambda c: F.when(F.col(c) > 0, F.col(c))
@@ -26,18 +33,36 @@ def q_values(scores: DataFrame, keys: list[str], score: str, n_decoys: int, pseu
     """keys, threshold (a distinct real score), real_sites, decoy_sites, fdr, q of rows (keys, decoy flag ``is_decoy``, score).
 
     Rows are counted by distinct score first. At a threshold, decoys that pass (plus ``pseudo``) by ``n_decoys`` and by real ones that
-    pass is the FDR; q is the least FDR of the thresholds at least as lax.
+    pass is the FDR; q is the least FDR of the thresholds at least as lax. A key's scores are dealt into bins from its least to its greatest one: running counts and the
+    running minimum go on over bins by a row each, so no task orders all scores of a key.
     """
     s = -F.col(score) if higher_is_better else F.col(score)
     rows = scores.filter(F.col(score).isNotNull()).groupBy(*keys, s.alias("_s")).agg(F.count_if(~F.col("is_decoy")).alias("r"), F.count_if(F.col("is_decoy")).alias("d"))
-    up = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("real_sites", F.sum("r").over(up)).withColumn("decoy_sites", F.sum("d").over(up)).filter("r > 0")
+    span = rows.groupBy(*keys).agg(F.min("_s").cast("double").alias("_lo"), F.max("_s").cast("double").alias("_hi"))
+    place = F.floor((F.col("_s").cast("double") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * SCORE_BINS)
+    rows = rows.join(span, keys).withColumn("_bin", F.when(F.col("_hi") > F.col("_lo"), F.least(place, F.lit(SCORE_BINS - 1))).otherwise(0).cast("int")).drop("_lo", "_hi")
+    over = Window.partitionBy(*keys).orderBy("_bin")
+    before, behind = over.rowsBetween(Window.unboundedPreceding, -1), over.rowsBetween(1, Window.unboundedFollowing)
+    sums = rows.groupBy(*keys, "_bin").agg(F.sum("r").alias("_r"), F.sum("d").alias("_d"))
+    base = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c)
+    sums = sums.select(*keys, "_bin", base("_r"), base("_d"))
+    inside = Window.partitionBy(*keys, "_bin").orderBy("_s")
+    up, down = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(0, Window.unboundedFollowing)
+    rows = rows.join(sums, [*keys, "_bin"])
+    rows = rows.withColumn("real_sites", F.col("_r") + F.sum("r").over(up)).withColumn("decoy_sites", F.col("_d") + F.sum("d").over(up)).filter("r > 0")
     rows = rows.withColumn("fdr", F.least(F.lit(1.0), (F.col("decoy_sites") + pseudo) / F.lit(float(max(1, n_decoys))) / F.col("real_sites")))
-    down = Window.partitionBy(*keys).orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.withColumn("q", F.least(F.lit(1.0), F.min("fdr").over(down)))
+    least = rows.groupBy(*keys, "_bin").agg(F.min("fdr").alias("_f"))
+    least = least.select(*keys, "_bin", F.min("_f").over(behind).alias("_rest"))
+    out = rows.join(least, [*keys, "_bin"]).withColumn("q", F.least(F.lit(1.0), F.min("fdr").over(down), F.col("_rest")))
     return out.select(*keys, (-F.col("_s") if higher_is_better else F.col("_s")).alias("threshold"), "real_sites", "decoy_sites", "fdr", "q")
 
 
+def with_class_fdr(rows: DataFrame, fdr: DataFrame, site_class: str = "site_class", out: str = "class_fdr") -> DataFrame:
+    """``rows`` (candidate, a class) with the FDR of that class for their candidate (``site_count_fdr``)."""
+    held = fdr.select(F.col("candidate").cast("string").alias("_c"), F.col("site_class").alias("_k"), F.col("fdr").alias(out))
+    return rows.join(held, (F.col("candidate").cast("string") == F.col("_c")) & (F.col(site_class) == F.col("_k")), "left").drop("_c", "_k")
+
+
 def standardised(scores: DataFrame, score: str) -> DataFrame:
     """Add ``z``: the score against the candidate's decoys, a decoy's against the other decoys, null where these are too few or all equal.
 

@@ -117,6 +117,24 @@ def _(spark, d):
     return cover.groupBy(*keys).agg(F.count(F.lit(1)).alias("covered"), F.sum("depth").alias("depth"), F.sum("five_ends").alias("five_ends"))
 
 
+FLAGS = ["A", "N", "R"]
+
+
+@query(
+    "wn9_sample_runs",
+    with_(
+        v.MEMBERS, v.CONTIGS,
+        """cut AS (SELECT genome, contig, strand, sample, s, CASE WHEN circular THEN least(e, length) ELSE e END AS e, weight * n AS w FROM members JOIN contigs USING (genome, contig)
+  UNION ALL SELECT genome, contig, strand, sample, 0, e - length, weight * n FROM members JOIN contigs USING (genome, contig) WHERE circular AND e > length)""",
+        "events AS (SELECT genome, contig, strand, pos, sum(w) AS w, " + ", ".join(f"coalesce(sum(w) FILTER (sample = '{s}'), 0) AS w_{s}" for s in FLAGS) + " FROM (SELECT genome, contig, strand, sample, s AS pos, w FROM cut UNION ALL SELECT genome, contig, strand, sample, e, -w FROM cut) GROUP BY ALL)",
+        "runs AS (SELECT genome, contig, strand, pos AS s, lead(pos) OVER o AS e, sum(w) OVER o AS depth, " + ", ".join(f"sum(w_{s}) OVER o AS depth_{s}" for s in FLAGS) + " FROM events WINDOW o AS (PARTITION BY genome, contig, strand ORDER BY pos))",
+        then='SELECT genome, contig, strand, CAST(s AS BIGINT) AS "start", CAST(e AS BIGINT) AS "end", depth, ' + ", ".join(f"depth_{s}" for s in FLAGS) + " FROM runs WHERE e IS NOT NULL AND depth > 1e-9",
+    ),
+)
+def _(spark, d):
+    return intervals.sample_runs(v.members(spark, d), v.contigs(spark, d), F.col("weight") * F.col("n"), FLAGS)
+
+
 @query(
     "ag17_binned_depth",
     with_(
@@ -397,6 +415,31 @@ def _(spark, d):
     return seeds.target_summary(_sites(spark, d).join(g, "guide_id").select("candidate", F.col("seq_id").alias("transcript"), F.substring("seq_id", 1, 7).alias("gene"), "site_class"))
 
 
+POOLED = """sets AS (SELECT CASE WHEN GROUPING(candidate) = 1 THEN 'all' ELSE CAST(candidate AS VARCHAR) END AS candidate, decoy, CASE WHEN GROUPING(site_class) = 1 THEN 'any' ELSE site_class END AS site_class, sum(n) AS n
+  FROM counts GROUP BY GROUPING SETS ((candidate, decoy, site_class), (candidate, decoy), (decoy, site_class), (decoy))),
+pooled AS (SELECT candidate, site_class, CAST(coalesce(sum(n) FILTER (decoy IS NULL), 0) AS BIGINT) AS real_sites, coalesce(avg(n) FILTER (decoy IS NOT NULL), 0) AS m, coalesce(stddev_pop(n) FILTER (decoy IS NOT NULL), 0) AS sd FROM sets GROUP BY ALL),
+pooled_fdr AS (SELECT candidate, site_class, real_sites, round(m, 9) AS decoy_mean, round(sd, 9) AS decoy_sd, round(real_sites / nullif(m, 0), 9) AS enrichment, round(CASE WHEN real_sites > 0 THEN least(1.0, m / real_sites) END, 9) AS fdr FROM pooled)"""
+
+
+def _pooled_fdr(spark, d):
+    out = significance.site_count_fdr(seeds.class_counts(_sites(spark, d), v.guides(spark, d)), pooled=True)
+    return out.withColumns({c: F.round(c, 9) for c in ("decoy_mean", "decoy_sd", "enrichment", "fdr")})
+
+
+@query("se5_pooled_fdr", with_(v.GUIDES, v.TARGETS, SITES, CLASS_COUNTS, POOLED, then="SELECT * FROM pooled_fdr"))
+def _(spark, d):
+    return _pooled_fdr(spark, d)
+
+
+@query(
+    "ag12_targets_with_fdr",
+    with_(v.GUIDES, v.TARGETS, SITES, CLASS_COUNTS, POOLED, then="SELECT t.candidate, transcript, gene, sites, best_class, fdr AS best_class_fdr FROM (" + SQL["ag12_target_summary"][SQL["ag12_target_summary"].rindex("SELECT candidate, seq_id") :] + ") t LEFT JOIN pooled_fdr f ON CAST(t.candidate AS VARCHAR) = f.candidate AND best_class = f.site_class"),
+)
+def _(spark, d):
+    out = significance.with_class_fdr(QUERIES["ag12_target_summary"](spark, d), _pooled_fdr(spark, d), "best_class", "best_class_fdr")
+    return out.select("candidate", "transcript", "gene", "sites", "best_class", "best_class_fdr")
+
+
 def _q_sql(keys: str, pseudo: int) -> str:
     return with_(
         v.SCORES,
