@@ -97,16 +97,16 @@ def distinct_sequences(regions: DataFrame) -> DataFrame:
     return regions.select(F.sha2("sequence", 256).alias("seq_id"), "sequence").distinct()
 
 
-def class_counts(found: DataFrame, guides: DataFrame) -> DataFrame:
+def class_counts(found: DataFrame, guides: DataFrame, classes: tuple[str, ...] = CLASSES) -> DataFrame:
     """candidate, decoy, site_class, n of every guide and class, zeros too. ``guides``: guide_id, candidate, decoy (its number, null: real)."""
-    frame = guides.select("guide_id", "candidate", "decoy", F.explode(F.array(*map(F.lit, CLASSES))).alias("site_class"))
+    frame = guides.select("guide_id", "candidate", "decoy", F.explode(F.array(*map(F.lit, classes))).alias("site_class"))
     n = found.groupBy("guide_id", "site_class").agg(F.count(F.lit(1)).alias("n"))
     return frame.join(n, ["guide_id", "site_class"], "left").select("candidate", "decoy", "site_class", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def target_summary(hits: DataFrame) -> DataFrame:
+def target_summary(hits: DataFrame, classes: tuple[str, ...] = CLASSES) -> DataFrame:
     """candidate, transcript, gene: sites, best_class and sites of each class."""
     rows = hits.groupBy("candidate", "transcript", "gene").agg(
-        F.count(F.lit(1)).alias("sites"), F.min_by("site_class", class_rank(F.col("site_class"))).alias("best_class"), *[F.count_if(F.col("site_class") == c).alias("n_" + c.replace("-", "_")) for c in CLASSES]
+        F.count(F.lit(1)).alias("sites"), F.min_by("site_class", class_rank(F.col("site_class"))).alias("best_class"), *[F.count_if(F.col("site_class") == c).alias("n_" + c.replace("-", "_")) for c in classes]
     )
     return rows
