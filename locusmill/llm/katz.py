@@ -26,6 +26,8 @@ from locusmill.llm.words import give_back, mixed, slices, string_hashes, sums, w
 END, START = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 #: Counts up to this are discounted.
 LAST = 5
+#: The flattest power of a count that numbers of types are taken to follow: at -1 their sum has no bound.
+FLATTEST = -1.1
 #: Text for one partition of the model.
 PART_MB = 16
 CHUNK_MB = 8
@@ -39,15 +41,13 @@ def held_out(doc_id) -> bool:
 def discounts(n: np.ndarray) -> np.ndarray:
     """Factors for counts 1 to LAST from n, the numbers of types seen 1 to LAST + 1 times (n[0] is unused): Good-Turing, as Katz normalises it.
 
-    Copies of documents make raw numbers of types uneven at every size of corpus, so log n is fitted by a line over log count first; the
-    factors then lie in (0, 1) whenever the line falls faster than 1 / count. Where it doesn't, or with fewer than two numbers, half a count is taken off each.
+    Copies of documents make raw numbers of types uneven at every size of corpus, so log n is fitted by a line over log count first. The line falls at least as
+    count ** ``FLATTEST``, and as count ** -2 where there are fewer than two numbers to fit, so the factors lie in (0, 1) whatever the counts are.
     """
     r = np.arange(1, LAST + 2)
     some = n[1:] > 0
-    slope = np.polyfit(np.log(r[some]), np.log(n[1:][some]), 1)[0] if some.sum() > 1 else 0.0
-    r = r[:-1]
-    if slope >= -1 - 1e-9:
-        return np.concatenate([[0.0], (r - 0.5) / r])
+    slope = np.polyfit(np.log(r[some]), np.log(n[1:][some]), 1)[0] if some.sum() > 1 else -2.0
+    slope, r = min(slope, FLATTEST), r[:-1]
     tail = (LAST + 1.0) ** (slope + 1)
     return np.concatenate([[0.0], ((1 + 1 / r) ** (slope + 1) - tail) / (1 - tail)])
 

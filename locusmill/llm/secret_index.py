@@ -8,6 +8,7 @@ mandatory trigram has no query and scans every document.
 
 from __future__ import annotations
 
+import re
 import re._parser as parser
 from dataclasses import dataclass
 from itertools import chain
@@ -164,9 +165,19 @@ def postings(docs: DataFrame, key: str, text: str, rules: tuple[Rule, ...]) -> D
     """(trigram, key) for each trigram of the rules' queries that occurs in a text, ASCII letters in either case."""
     grams = sorted(set(chain.from_iterable(chain.from_iterable(trigram_query(r) for r in rules))))
     low = docs.select(F.col(key).alias("key"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("low"))
-    held = [F.when(F.contains("low", F.lit(g)), F.lit(i)) for i, g in enumerate(grams)]
-    hit = low.select("key", F.explode(F.array_compact(F.array(*held))).alias("i") if grams else F.lit(None).alias("i"))
-    return hit.select(F.get(F.array(*[F.lit(g) for g in grams]) if grams else F.array(F.lit("")), "i").alias("trigram"), "key")
+    # one pass over a text, whatever the number of rules: the named trigrams at each of its places, by their first letters
+    found = F.array_distinct(F.regexp_extract_all("low", F.lit(_any_of(grams)), F.lit(1)))
+    return low.select(F.explode(found).alias("trigram"), "key")
+
+
+def _any_of(grams: list[str]) -> str:
+    """A pattern that matches before each of the trigrams, group 1 being it."""
+    by_first: dict[str, list[str]] = {}
+    for g in grams:
+        by_first.setdefault(g[0], []).append(g[1:])
+    heads = "".join(re.escape(a) for a in by_first)
+    tails = "|".join(re.escape(a) + ("(?:" + "|".join(map(re.escape, z)) + ")") for a, z in by_first.items())
+    return f"(?=[{heads}])(?=({tails}))" if grams else r"(?!)()"
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -192,7 +203,8 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 def _spans(text: Column, rule: Rule) -> Column:
     """Leftmost non-overlapping matches as (kind, start, end) in code points.
 
-    The pieces between the matches and the matches themselves alternate, so a match starts after the lengths of all before it.
+    The pieces between the matches and the matches themselves alternate, so a match starts after the lengths of all before it. Lengths are
+    summed up in blocks of matches and then over blocks, as each step along an array copies what it has so far.
     """
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.value_group)) if rule.value_group else found
@@ -206,10 +218,35 @@ def _spans(text: Column, rule: Rule) -> Column:
         span = F.struct(start.alias("start"), (start + x["n"]).alias("end"), F.lit(rule.kind).alias("kind"))
         return F.struct((start + x["n"]).alias("at"), F.when(x["v"] >= rule.min_chars, F.array_append(a["out"], span)).otherwise(a["out"]).alias("out")).cast(state)
 
-    walked = F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out")).cast(state), step, lambda a: a["out"])
+    first = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out")).cast(state)
+    walked = _let(F.transform(_blocks(parts), lambda b: F.aggregate(b, first, step)), lambda own: F.flatten(F.zip_with(own, _before(F.transform(own, lambda b: b["at"])), _moved)))
     return F.when(F.size(found) > 0, walked)
 
 
+#: Elements of an array that are walked at once.
+BLOCK = 256
+
+
+def _let(value: Column, f) -> Column:
+    """``f`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def _blocks(array: Column) -> Column:
+    return _let(array, lambda whole: F.transform(F.sequence(F.lit(0), F.greatest(F.size(whole) - 1, F.lit(0)), F.lit(BLOCK)), lambda i: F.slice(whole, i + 1, F.lit(BLOCK))))
+
+
+def _before(sizes: Column, join=lambda a, b: a + b) -> Column:
+    """For each element the sum (``join``) of those before it."""
+    state = "struct<at:int,out:array<int>>"
+    step = lambda a, x: F.struct(join(a["at"], x).alias("at"), F.array_append(a["out"], a["at"]).alias("out")).cast(state)
+    return F.aggregate(sizes, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")).cast(state), step, lambda a: a["out"])
+
+
+def _moved(block: Column, by: Column) -> Column:
+    return F.transform(block["out"], lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["kind"].alias("kind")))
+
+
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = (*BASE, *ADDED)) -> DataFrame:
     """Add ``spans``, an array of (start, end, kind) over the whole text by start, then by the rules' order.
 
@@ -242,17 +279,24 @@ def mask_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rules
     found = find_secrets(docs, key, text, rules)
     step = "struct<at:int,out:string>"
     body = F.col(text)
-    hidden = F.aggregate(
-        "spans",
-        F.struct(F.lit(1).alias("at"), F.lit("").alias("out")).cast(step),
-        lambda a, s: F.when(
-            s["start"] + 1 >= a["at"],
-            F.struct((s["end"] + 1).alias("at"), F.concat(a["out"], F.substring(body, a["at"], s["start"] + 1 - a["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("out")),
-        )
-        .otherwise(F.struct(F.greatest(a["at"], s["end"] + 1).alias("at"), a["out"].alias("out")))
-        .cast(step),
-        lambda a: F.concat(a["out"], F.substring(body, a["at"], F.char_length(body))),
-    )
+
+    last = lambda b: F.coalesce(F.array_max(F.transform(b, lambda s: s["end"])), F.lit(0))
+
+    def walked(spans: Column, first: Column) -> Column:
+        """The part of the text that a block of spans hides; it goes on where the blocks before it have come. Places are looked up in this part, as a text is read from its start for each."""
+
+        def within(part: Column) -> Column:
+            def walk(a: Column, s: Column) -> Column:
+                shown = F.concat(a["out"], F.substring(part, a["at"] - first + 1, s["start"] - a["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+                return F.when(s["start"] >= a["at"], F.struct(s["end"].alias("at"), shown.alias("out"))).otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).cast(step)
+
+            return F.aggregate(spans, F.struct(first.alias("at"), F.lit("").alias("out")).cast(step), walk, lambda a: a["out"])
+
+        return _let(F.substring(body, first + 1, F.greatest(last(spans) - first, F.lit(0))), within)
+
+    shown = _let(_blocks(F.col("spans")), lambda bs: F.array_join(F.zip_with(bs, _before(F.transform(bs, last), F.greatest), walked), ""))
+    end = F.array_max(F.transform("spans", lambda s: s["end"]))
+    hidden = F.concat(shown, F.substring(body, end + 1, F.char_length(body)))
     return found.withColumn(text, F.when(F.size("spans") > 0, hidden).otherwise(body)).drop("spans")
 
 

@@ -8,6 +8,10 @@ in a row, or ``k + w + STEP_CHARS - 2`` characters inside long words, share a ke
 
 from __future__ import annotations
 
+import json
+import math
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,43 +74,47 @@ def as_text(fp: Column) -> Column:
     return F.array_join(F.transform(fp, lambda x: F.concat_ws(":", x["pos"].cast("string"), F.lower(F.hex(x["hash"])))), ",")
 
 
-#: Ranges of keys, at most.
-RANGES = 4096
+#: Rows of a range of keys, at least; with very many rows, both ranges and the rows of each grow as the root of their number.
+RUN_ROWS = 10_000
+LEAST = -(1 << 63)
 
 
-def _range_starts(cuts: list[int]) -> list[tuple[int, int]]:
-    """(key, tie) at which each range but the first starts. A key that is several quantiles has ranges of its own, cut evenly along its ties, which are hashes."""
-    starts = []
-    for v in sorted(set(cuts)):
-        times = cuts.count(v)
-        starts += [(v, -(1 << 63) + (k << 64) // times) for k in range(times)]
-        if times > 1:
-            starts.append((v + 1, -(1 << 63)))
-    return starts
+def _range_starts(cuts: list[int], null_ranges: int) -> list[tuple[int, int, int]]:
+    """(1 unless the key is null, key, tie) at which each range but the first starts. Null keys, and a key that is several quantiles, have ranges of their own, cut evenly along their ties, which are hashes."""
+    starts = [(0, 0, LEAST + (k << 64) // null_ranges) for k in range(1, null_ranges)]
+    if null_ranges:
+        starts.append((1, LEAST, LEAST))
+    times = Counter(cuts)
+    for v in sorted(times):
+        starts += [(1, v, LEAST + (k << 64) // times[v]) for k in range(times[v])]
+        if times[v] > 1 and v < -LEAST - 1:
+            starts.append((1, v + 1, LEAST))
+    return sorted(set(starts))
 
 
-def _found(starts: list[tuple[int, int]], at: Column) -> Column:
+def _found(starts: list[tuple[int, int, int]], at: Column) -> Column:
     """How many of the sorted starts are not above ``at``, by halves."""
     if not starts:
         return F.lit(0)
-    known = F.array(*[F.struct(F.lit(v).cast("long"), F.lit(t).cast("long")) for v, t in starts])
+    known = F.from_json(F.lit(json.dumps([{"a": a, "k": k, "t": t} for a, k, t in starts])), "array<struct<a:int,k:bigint,t:bigint>>")
     steps = [1 << b for b in reversed(range(len(starts).bit_length()))]
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda p, step: F.when(F.get(known, p + step - 1) <= at, p + step).otherwise(p))
 
 
-def with_next(df: DataFrame, key: str, columns: list[str], run_rows: int = 10_000) -> DataFrame:
+def with_next(df: DataFrame, key: str, columns: list[str], run_rows: int = RUN_ROWS) -> DataFrame:
     """Add ``next_<c>`` for each column: its value in the next row by ``key``, ties by ``tie``; after the last row, the first's.
 
-    Keys are integers, ties hashes. Rows are dealt into key ranges cut at quantiles of the keys, about ``run_rows`` rows each, and
+    Keys are integers, ties hashes. Rows are dealt into key ranges cut at quantiles of the keys, ``run_rows`` rows each or the root of all rows if that is more, and
     ordered inside each; the first row of a range is also sent to the end of the range before it, so that texts
-    are shuffled once. There are at most ``RANGES`` quantiles, so their table is broadcast.
+    are shuffled once. Equal and null keys are cut along their ties; rows that agree in both stay in one range. There is a start and a first row for each range: no more than the root of all rows.
     ``df`` must have the columns ``key`` and ``tie`` and is read twice. Null keys come first.
     """
-    rows = df.count()
-    parts = min(RANGES, rows // run_rows)
+    rows, null = df.agg(F.count(F.lit(1)), F.count_if(F.col(key).isNull())).first()
+    run_rows = max(run_rows, math.isqrt(rows))
+    parts = (rows - null) // run_rows
     cuts = df.agg(F.percentile_approx(key, [k / parts for k in range(1, parts)], 20 * parts)).first()[0] if parts > 1 else None
-    at = F.struct(F.col(key).cast("long"), F.col("tie"))
-    run = F.when(F.col(key).isNull(), -1).otherwise(_found(_range_starts(list(cuts or [])), at)).cast("long")
+    at = F.struct(F.when(F.col(key).isNull(), 0).otherwise(1).alias("a"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("k"), F.col("tie").alias("t"))
+    run = _found(_range_starts(list(cuts or []), -(-null // run_rows)), at).cast("long")
     dealt = df.withColumn("_run", run)
     firsts = dealt.groupBy("_run").agg(F.min(F.struct(F.col(key), F.col("tie"))).alias("_first"))
     every = Window.orderBy("_run")  # one row for each range

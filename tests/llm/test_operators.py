@@ -3,9 +3,11 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import statistics
+import time
 import zlib
 
 import numpy as np
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from locusmill.llm import curve_packing, hash_tree, jaccard, katz, mixing, quality, secret_index, token_counts, url_graph, winnow  # noqa: E402
+from locusmill.llm import common, curve_packing, hash_tree, jaccard, katz, mixing, quality, secret_index, token_counts, url_graph, winnow  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -186,8 +188,8 @@ def test_quality_rejects_documents_labelled_bad(spark):
 def test_threshold_lies_between_labels():
     scores = quality.pd.DataFrame({"good": [True] * 3 + [False] * 3, "llr": [-3.0, -0.2, 0.4, -1.0, -0.6, 0.1], "n": [1, 50, 99, 5, 5, 1]})
     assert quality.threshold_between(scores) == pytest.approx(-0.4)  # one good document of 150 may be lost
-    assert quality.threshold_between(scores[scores["good"]]) == quality.threshold_between(scores[~scores["good"]]) == quality.THRESHOLD
-    assert quality.threshold_between(scores[scores["llr"] > -0.3]) == quality.THRESHOLD
+    assert quality.threshold_between(scores[scores["good"]]) == -3.0 and quality.threshold_between(scores[~scores["good"]]) == -math.inf
+    assert quality.threshold_between(scores[scores["llr"] > -0.3]) == -0.2  # no bad one below: no good one is lost
 
 
 def test_katz(docs, none, rows):
@@ -434,8 +436,51 @@ def test_next_row_by_quantiles(spark):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     want = {a[2]: b[2] for a, b in zip(order, [*order[1:], order[0]])}
     assert {r["n"]: r["next_n"] for r in got.collect()} == want
-    starts = winnow._range_starts([3, 7, 7, 9])
-    assert starts[:1] == [(3, -(1 << 63))] and starts[3] == (8, -(1 << 63)) and starts == sorted(starts)
+    starts = winnow._range_starts([3, 7, 7, 9], 0)
+    low = -(1 << 63)
+    assert starts == [(1, 3, low), (1, 7, low), (1, 7, 0), (1, 8, low), (1, 9, low)]
+    assert winnow._range_starts([(1 << 63) - 1] * 2, 2) == [(0, 0, 0), (1, low, low), (1, (1 << 63) - 1, low), (1, (1 << 63) - 1, 0)]
+
+
+def test_null_ids_are_cut_too(spark):
+    rng = random.Random(4)
+    rows = [(None if k % 3 == 0 else rng.randrange(10**6), rng.randrange(-(1 << 63), 1 << 63)) for k in range(9000)]
+    df = spark.createDataFrame(rows, "id long, tie long")
+    starts = winnow._range_starts([], 0)
+    assert winnow._found(starts, F.lit(0)) is not None
+    null = sum(i is None for i, _ in rows)
+    cuts = df.agg(F.percentile_approx("id", [k / 60 for k in range(1, 60)], 1200)).first()[0]
+    at = F.struct(F.when(F.col("id").isNull(), 0).otherwise(1).alias("a"), F.coalesce("id", F.lit(0)).alias("k"), F.col("tie").alias("t"))
+    each = sorted(r["n"] for r in df.groupBy(winnow._found(winnow._range_starts(list(cuts), -(-null // 100)), at)).agg(F.count(F.lit(1)).alias("n")).collect())
+    assert each[-1] <= 2 * each[len(each) // 2] and len(each) >= 85
+
+
+def test_discounts_are_factors_for_any_counts():
+    for n in ([0, 10, 9, 9, 9, 9, 9], [0, 100, 0, 0, 0, 0, 0], [0] * 7, [0, 1, 2, 3, 4, 5, 6], [0, 90, 30, 15, 9, 6, 4]):
+        d = katz.discounts(np.array(n))
+        assert d[0] == 0 and all(0 < x < 1 for x in d[1:]) and list(d) == sorted(d)
+
+
+def test_very_many_secrets_in_one_text(spark):
+    n = 60_000
+    text = " ".join(f"{k:016x}" for k in range(n)) + ' password = "abcdefghijkl123"'
+    took = time.time()
+    got = secret_index.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["spans"]
+    assert [(s["start"], s["end"], s["kind"]) for s in got[:n]] == [(17 * k, 17 * k + 16, "hex") for k in range(n)] and got[n]["kind"] == "assign" and len(got) == n + 1
+    masked = secret_index.mask_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["text"]
+    assert masked.startswith("[HEX] [HEX]") and masked.count("[HEX]") == n and masked.endswith(" [ASSIGN]\"") and time.time() - took < 60
+
+
+def test_folder_without_the_setting(spark, monkeypatch):
+    class Unset:
+        sparkContext = spark.sparkContext
+        conf = type("Conf", (), {"get": staticmethod(lambda key, other=None: other)})
+
+    one = common.shared_dir(Unset)
+    assert one == common.shared_dir(Unset) and os.path.isdir(one)
+    monkeypatch.setattr(Unset, "sparkContext", type("C", (), {"master": "spark://host:7077", "applicationId": "x"}))
+    with pytest.raises(ValueError, match="checkpoint"):
+        common.shared_dir(Unset)
 
 
 def test_winnowing_takes_the_rightmost(spark):
