@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from locusmill.llm import sql
 from locusmill.llm.common import table
 from locusmill.llm.curve_packing import op5_curve_packing
 from locusmill.llm.hash_tree import op9_hash_tree
@@ -42,4 +43,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_merkle_manifest": sql.manifest(), "op13_limb_codes": sql.codes()}
