@@ -47,7 +47,7 @@ def circular_merge(blocks: DataFrame, contigs: DataFrame, keys: list[str] = KEYS
     ``contigs``: genome, contig, length, circular. The joined block ends beyond the contig; ``wraps`` tells which do.
     """
     edge = blocks.groupBy(*keys).agg(F.min(F.struct("start", "end", "n")).alias("_f"), F.max(F.struct("start", "end", "n")).alias("_l"), F.count(F.lit(1)).alias("_k"))
-    edge = edge.join(F.broadcast(contigs), ["genome", "contig"])
+    edge = edge.join(contigs, ["genome", "contig"])
     edge = edge.withColumn("_join", F.col("circular") & (F.col("_k") > 1) & (F.col("_l.end") + gap - F.col("length") >= F.col("_f.start")))
     rows = blocks.join(edge.select(*keys, "_f", "_l", "_join", "length", "circular"), keys)
     first, last = F.col("_join") & (F.col("start") == F.col("_f.start")), F.col("_join") & (F.col("start") == F.col("_l.start"))
@@ -127,7 +127,7 @@ def split_at_origin(intervals: DataFrame) -> DataFrame:
 
 def coverage(placed: DataFrame, contigs: DataFrame, weight: Column) -> DataFrame:
     """genome, contig, strand, position (from 1), depth, five_ends of covered positions."""
-    rows = placed.join(F.broadcast(contigs), ["genome", "contig"]).withColumn("_w", weight)
+    rows = placed.join(contigs, ["genome", "contig"]).withColumn("_w", weight)
     runs = depth_runs(split_at_origin(rows), F.col("_w"))
     depth = runs.select(*KEYS, F.explode(F.sequence("start", F.col("end") - 1)).alias("pos"), "depth")
     five = F.when(F.col("strand") == "+", F.col("start")).otherwise(F.col("end") - 1)
@@ -141,6 +141,6 @@ def binned_depth(cover: DataFrame, contigs: DataFrame, bins: int = 3000) -> Data
     """Depth summed over at most ``bins`` bins of a contig, empty bins as 0."""
     width = F.greatest(F.lit(1), F.ceil(F.col("length") / bins))
     frame = contigs.select("genome", "contig", width.alias("width"), F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / width))).alias("bin"))
-    held = cover.join(F.broadcast(contigs.select("genome", "contig", width.alias("width"))), ["genome", "contig"])
+    held = cover.join(contigs.select("genome", "contig", width.alias("width")), ["genome", "contig"])
     held = held.groupBy("genome", "contig", F.floor((F.col("position") - 1) / F.col("width")).alias("bin")).agg(F.sum("depth").alias("depth"))
     return frame.join(held, ["genome", "contig", "bin"], "left").select("genome", "contig", "bin", "width", F.coalesce("depth", F.lit(0.0)).alias("depth"))

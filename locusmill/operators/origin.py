@@ -35,7 +35,7 @@ def distinct_hits(hits: DataFrame, contigs: DataFrame) -> DataFrame:
 
     ``contigs``: ref, genome, contig, role, length, circular; small, one row for each contig.
     """
-    rows = hits.join(F.broadcast(contigs), "ref")
+    rows = hits.join(contigs, "ref")
     at = folded(F.col("start"), F.col("length"), F.col("circular"))
     rows = rows.withColumn("end", at + F.col("end") - F.col("start")).withColumn("start", at)
     return rows.select("read_id", "genome", "contig", "role", "start", "end", "strand", "mismatches").distinct()

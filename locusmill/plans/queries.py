@@ -49,7 +49,7 @@ def _(spark, d):
     return collapse.counts(v.reads(spark, d), 18, 28)
 
 
-SAMPLES = ["click", "view", "purchase"]
+SAMPLES = ["click", "error", "purchase", "signup", "view"]
 
 
 @query(
@@ -267,7 +267,7 @@ RANKS = "CASE type WHEN 'tRNA' THEN 1 WHEN 'rRNA' THEN 2 WHEN 'ncRNA' THEN 8 WHE
     ),
 )
 def _(spark, d):
-    rows = _merged(spark, d).join(F.broadcast(v.contigs(spark, d).select("genome", "contig", "length", "circular")), ["genome", "contig"])
+    rows = _merged(spark, d).join(v.contigs(spark, d).select("genome", "contig", "length", "circular"), ["genome", "contig"])
     return loci.annotate(rows, v.features(spark, d))
 
 

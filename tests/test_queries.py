@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from locusmill.plans.queries import QUERIES, SQL
+from locusmill.plans.handed import QUERIES, SQL
 
 DIR = "/root/testdata/sf0.001"
 TABLES = ("customer", "documents", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
