@@ -18,7 +18,10 @@ REGION_COLUMNS = ["region_id", "transcript", "gene", "region", "length", "contig
 def weight_text(w: Column, significant: int = 6) -> Column:
     """So many significant digits without closing zeros, with an exponent below 0.0001, as C's ``%.6g`` has it for weights up to 1."""
     digits = significant - 1 - F.floor(F.log10(w))
-    fixed = F.regexp_replace(F.format_string("%.10f", F.round(w * F.pow(F.lit(10.0), digits)) / F.pow(F.lit(10.0), digits)), r"\.?0+$", "")
+    scale = F.pow(F.lit(10.0), digits)
+    # halves go to the even digit only where the number itself ends there, as sums of powers of two do
+    whole = F.when(w * (1 << 30) == F.floor(w * (1 << 30)), F.bround(w * scale)).otherwise(F.round(w * scale))
+    fixed = F.regexp_replace(F.format_string("%.10f", whole / scale), r"\.?0+$", "")
     small = F.regexp_replace(F.format_string(f"%.{significant - 1}e", w), r"\.?0+e", "e")
     return F.when(w < 1e-4, small).otherwise(fixed)
 
