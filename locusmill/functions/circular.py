@@ -42,6 +42,14 @@ def half_open(start: Column, end: Column, length: Column, wraps: Column) -> tupl
     return start - 1, F.when(wraps, end + length).otherwise(end)
 
 
+def checked_interval(start: Column, end: Column, length: Column) -> tuple[Column, Column]:
+    """A written interval (from 1, both included; over the origin if it ends before it starts) as half-open; one that leaves its contig is an error."""
+    inside = (start >= 1) & (start <= length) & (end >= 1) & (end <= length)
+    outside = F.raise_error(F.format_string("interval %s-%s leaves a contig of %s bases", start, end, length)).cast("bigint")
+    a, z = half_open(start, end, length, end < start)
+    return F.when(F.coalesce(inside, F.lit(False)), a).otherwise(outside), z
+
+
 def precursor_windows(start: Column, end: Column, strand: Column, length: Column, circular: Column, near: int, far: int) -> Column:
     """The two windows in which a candidate is the 5' or the 3' arm of a hairpin: an array to explode.
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusmill.functions.sequences import flank_au, part, reverse_complement
+from locusmill.operators.stretches import with_stretch
 
 # Site classes, strongest first, and the bases each spans before and after t1.
 CLASSES = ("8mer", "7mer-m8", "7mer-A1", "6mer", "offset-6mer")
@@ -17,8 +18,8 @@ def class_rank(c: Column) -> Column:
     return F.when(at == 0, len(CLASSES) + 1).otherwise(at)
 
 
-#: Bases of a piece of a target.
-PIECE = 1000
+#: Bases of a piece of a target, around a site that count, and of the longest site.
+PIECE, FLANK, LONGEST = 1000, 30, 40
 
 
 def windows(targets: DataFrame, k: int, before: int = 0, after: int = 0) -> DataFrame:
@@ -84,12 +85,18 @@ def supplementary_pairing(guide: Column, sequence: Column, t1: Column) -> Column
 
 
 def with_context(found: DataFrame, regions: DataFrame) -> DataFrame:
-    """Every region that has a site's sequence, with distances from its ends and the A/U share around. ``regions``: seq_id, region_id, region, sequence."""
-    rows = found.join(regions, "seq_id")
-    n = F.char_length("sequence")
-    rows = rows.withColumn("dist_5p", F.col("start")).withColumn("dist_3p", n - F.col("end"))
+    """Every region that has a site's sequence, with distances from its ends and the A/U share around; of sites with ``guide``, supp_pairing too. ``regions``: seq_id, region_id, region, sequence.
+
+    What lies around a site is cut from pieces of the sequences, and regions join by their lengths, so a site's row never holds a whole sequence.
+    """
+    rows = with_stretch(found, regions.select("seq_id", "sequence").dropDuplicates(["seq_id"]), FLANK, FLANK, LONGEST)
+    inside = lambda c: F.col(c) - F.col("stretch_start")
+    rows = rows.withColumn("au_flanks", flank_au(F.col("stretch"), inside("start"), inside("end")))
+    if "guide" in found.columns:
+        rows = rows.withColumn("supp_pairing", supplementary_pairing(F.col("guide"), F.col("stretch"), inside("t1")))
+    rows = rows.drop("stretch", "stretch_start").join(regions.withColumn("_n", F.char_length("sequence")).drop("sequence"), "seq_id")
     near = (F.col("region") == "three_prime_UTR") & (F.col("start") < 15)
-    return rows.withColumn("au_flanks", flank_au(F.col("sequence"), F.col("start"), F.col("end"))).withColumn("near_stop", near)
+    return rows.withColumns({"dist_5p": F.col("start"), "dist_3p": F.col("_n") - F.col("end"), "near_stop": near}).drop("_n")
 
 
 def distinct_sequences(regions: DataFrame) -> DataFrame:

@@ -142,6 +142,16 @@ def _(spark, d):
     return rows.select("genome", "contig", "strand", "first", "last", "wraps_origin", start.alias("back_start"), end.alias("back_end"))
 
 
+@query(
+    "fn12_checked_intervals",
+    "SELECT l_orderkey, l_linenumber, a - 1 AS \"start\", CASE WHEN z < a THEN z + 500 ELSE z END AS \"end\" FROM (SELECT *, 1 + l_partkey % 500 AS a, 1 + (l_partkey + l_suppkey) % 500 AS z FROM lineitem)",
+)
+def _(spark, d):
+    rows = v.load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (1 + F.col("l_partkey") % 500).alias("a"), (1 + (F.col("l_partkey") + F.col("l_suppkey")) % 500).alias("z"))
+    start, end = circ.checked_interval(F.col("a"), F.col("z"), F.lit(500))
+    return rows.select("l_orderkey", "l_linenumber", start.alias("start"), end.alias("end"))
+
+
 NEAR, FAR = 15, 50
 
 

@@ -375,10 +375,21 @@ def _(spark, d):
     return seeds.with_context(_sites(spark, d), regions).select("guide_id", "seq_id", "start", "site_class", "dist_5p", "dist_3p", "near_stop", "au_flanks")
 
 
-@query("fn7_supplementary")
+PAIRED = [f"coalesce(t1 - {i - 1} - o >= 0 AND translate(substr(guide, {i}, 1), 'ACGT', 'TGCA') = substr(sequence, CAST(t1 - {i - 2} - o AS BIGINT), 1), false) AS b{i}" for i in range(13, 17)]
+
+
+@query(
+    "fn7_supplementary",
+    with_(
+        v.GUIDES, v.TARGETS, SITES,
+        f"opposite AS (SELECT guide_id, seq_id, t1, guide, {', '.join(PAIRED)} FROM sites, (VALUES (0), (1), (2), (3), (4)) x(o))",
+        then="SELECT guide_id, seq_id, t1, max(CASE WHEN b13 AND b14 AND b15 AND b16 THEN 4 WHEN (b13 AND b14 AND b15) OR (b14 AND b15 AND b16) THEN 3 WHEN (b13 AND b14) OR (b14 AND b15) OR (b15 AND b16) THEN 2 WHEN b13 OR b14 OR b15 OR b16 THEN 1 ELSE 0 END) AS supp_pairing FROM opposite GROUP BY guide_id, seq_id, t1",
+    ),
+)
 def _(spark, d):
-    rows = _sites(spark, d).join(v.guides(spark, d).select("guide_id", "guide"), "guide_id").join(v.targets(spark, d), "seq_id")
-    return rows.select("guide_id", "seq_id", "t1", seeds.supplementary_pairing(F.col("guide"), F.col("sequence"), F.col("t1")).alias("supp_pairing"))
+    regions = v.targets(spark, d).withColumn("region", F.lit("CDS")).withColumn("region_id", F.col("seq_id"))
+    rows = _sites(spark, d).join(v.guides(spark, d).select("guide_id", "guide"), "guide_id")
+    return seeds.with_context(rows, regions).select("guide_id", "seq_id", "t1", "supp_pairing")
 
 
 CLASS_LIST = "(VALUES " + ", ".join(f"('{c}')" for c in seeds.CLASSES) + ") c(site_class)"

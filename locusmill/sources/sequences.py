@@ -21,6 +21,11 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter("marked OR name <> ''").select("name", "header", "sequence")
 
 
+def fasta_names(spark: SparkSession, path: str) -> DataFrame:
+    """name of each record."""
+    return read_fasta(spark, path).select("name")
+
+
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
     """candidate, genome, guide of a FASTA of candidates: the genome stands before ``|`` in the header's second word; U becomes T."""
     word = F.regexp_extract("header", r"^\S+\s+(\S+)", 1)

@@ -7,13 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusmill.functions.circular import five_prime, half_open
+from locusmill.functions.circular import checked_interval, five_prime, half_open
 from locusmill.functions.sequences import folding_indices, gc_percent
 from locusmill.operators import align, collapse, discovery, evaluation, hairpins, intervals, origin, planted, precursors, regions, reports, scoring, seeds, shuffles, significance
 from locusmill.operators.loci import LocusRules
 from locusmill.operators.peaks import PeakRules
 from locusmill.sources import outputs, settings, tables
-from locusmill.sources.sequences import read_candidates, read_decoys, read_fasta, read_fastq, write_fasta
+from locusmill.sources.sequences import fasta_names, read_candidates, read_decoys, read_fasta, read_fastq, write_fasta
 
 
 def named_paths(items: list[str]) -> dict[str, list[str]]:
@@ -103,7 +103,7 @@ def assign_origin(spark: SparkSession, collapsed: str, reference: str, out: str,
         many = tables.read_tsv(spark, f"{aligned}/excess.tsv")
     else:
         hits = tables.parse_sam(spark.read.text(sam))
-        many = read_fasta(spark, excess).select(F.col("name").alias("read_id")) if excess else c.reads.select("read_id").limit(0)
+        many = fasta_names(spark, excess).select(F.col("name").alias("read_id")) if excess else c.reads.select("read_id").limit(0)
     found = origin.distinct_hits(hits, ref.contigs.select("ref", "genome", "contig", "role", "length", "circular"))
     judged = origin.classify(found, rules)
     every = origin.with_unaligned(judged, c.reads, many)
@@ -211,11 +211,9 @@ def _guides(spark: SparkSession, candidates: str, decoys: str, genomes: list[str
     return real.select(F.col("candidate").alias("guide_id"), "candidate", F.lit(None).cast("int").alias("decoy"), "guide").unionByName(made.select("guide_id", "candidate", number.alias("decoy"), "guide"))
 
 
-def _placed_sites(found: DataFrame, held: DataFrame, targets: DataFrame, guides: DataFrame) -> DataFrame:
+def _placed_sites(found: DataFrame, held: DataFrame, guides: DataFrame) -> DataFrame:
     """Sites of real guides in every region that has their sequence, with context and place on the genome. ``held``: regions with seq_id."""
     rows = found.join(guides.filter("decoy IS NULL").select("guide_id", "candidate", "guide"), "guide_id")
-    rows = rows.join(targets, "seq_id")
-    rows = rows.withColumn("supp_pairing", seeds.supplementary_pairing(F.col("guide"), F.col("sequence"), F.col("t1"))).drop("sequence", "guide")
     rows = seeds.with_context(rows, held)
     place = regions.genomic(F.col("contig"), F.col("strand"), F.col("blocks"), F.col("start"), F.col("end"))
     return rows.withColumn("genomic", place).withColumns({"site_start": F.col("start") + 1, "site_end": F.col("end")})
@@ -241,7 +239,7 @@ def seed_sites(spark: SparkSession, candidates: str, region_table: str, out: str
     t = _targets(spark, candidates, decoys, region_table, list(genomes), seed, list(classes))
     found = seeds.sites(t.guides.select("guide_id", "guide"), t.targets, t.classes, t.seed)
     fdr = significance.site_count_fdr(seeds.class_counts(found, t.guides, t.classes), pooled=True)
-    rows = significance.with_class_fdr(_placed_sites(found, t.held, t.targets, t.guides), outputs.fdr_text(fdr))
+    rows = significance.with_class_fdr(_placed_sites(found, t.held, t.guides), outputs.fdr_text(fdr))
     summary = significance.with_class_fdr(seeds.target_summary(rows, t.classes), outputs.fdr_text(fdr), "best_class", "best_class_fdr")
     outputs.write_sites(rows, summary, fdr, t.classes, out)
 
@@ -255,7 +253,7 @@ def score_sites(
     scored, curves = scoring.with_significance(jobs, predictors, scoring.decoys_each(t.guides), fdr)
     found = seeds.sites(t.guides.select("guide_id", "guide"), t.targets, t.classes, t.seed)
     counts = outputs.fdr_text(significance.site_count_fdr(seeds.class_counts(found, t.guides, t.classes), pooled=True))
-    rows = scoring.attached(significance.with_class_fdr(_placed_sites(found, t.held, t.targets, t.guides), counts), scored)
+    rows = scoring.attached(significance.with_class_fdr(_placed_sites(found, t.held, t.guides), counts), scored)
     own = [(p.name, p.ranked, [*[f.split()[0] for f in p.columns.split(", ")], f"{p.name}_z"]) for p in predictors]
     made = scored.filter("decoy IS NOT NULL").drop("decoy").join(t.targets.select("seq_id", F.col("sequence").alias("region_sequence")), "seq_id")
     made = made.select(F.col("guide_id").alias("decoy"), "candidate", "region_sequence", "site_class", (F.col("start") + 1).alias("site_start"), *[c for _, _, cs in own for c in cs])
@@ -277,13 +275,13 @@ def fold_precursors(
         raise ValueError("flanks are two numbers from 0 up, a short and a long one")
     near, far = sorted(flanks)
     ref, loci = load_reference(spark, reference), load_loci(spark, discovered)
-    named = read_fasta(spark, candidates).select(F.col("name").alias("locus_id")) if candidates else None
+    named = fasta_names(spark, candidates).select(F.col("name").alias("locus_id")) if candidates else None
     chosen, unknown = precursors.selected(loci, named, anchor)
     contigs = read_fasta(spark, f"{reference}/reference.fasta").select(F.col("name").alias("ref"), "sequence").join(ref.contigs, "ref")
     contigs = contigs.withColumn("sequence", F.left("sequence", F.col("length").cast("int")))  # without the overhang
     held = precursors.needed_contigs(chosen, contigs.select("genome", "contig", "sequence", "circular")).withColumn("ref", F.concat_ws("|", "genome", "contig"))
     rows = chosen.join(ref.contigs.select("genome", "contig", "length", "ref"), ["genome", "contig"])
-    start, end = half_open(F.col("start"), F.col("end"), F.col("length"), F.col("end") < F.col("start"))
+    start, end = checked_interval(F.col("start"), F.col("end"), F.col("length"))
     windows = hairpins.windows(rows.select("candidate", "ref", start.alias("start"), end.alias("end"), "strand"), held, near, far)
     folds = hairpins.folded(hairpins.with_shuffles(windows.select("candidate", "window", "sequence"), shuffled, str(random_seed)), fold)
     p = significance.empirical_p(folds.select("candidate", "window", "shuffle", "mfe"), ["candidate", "window"]).withColumnRenamed("p", "pvalue")

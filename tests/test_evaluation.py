@@ -120,3 +120,16 @@ def test_rejected_reads(spark):
     assert sorted(map(tuple, rows.collect())) == [("a", 6, 10, "fail", "missed", True, True), ("b", 5, 10, "pass", "missed", False, False)]
     sums, rows = evaluation.rejected_reads(by.limit(0), origin.filter("class = 'assigned'"), counts, judged)
     assert [tuple(r) for r in sums.collect()] == [(0, 0, 0)] and rows.count() == 0
+
+
+def test_checked_intervals(spark):
+    import pytest
+
+    from locusmill.functions.circular import checked_interval
+
+    rows = spark.createDataFrame([(1, 10), (8, 3), (10, 10)], "a long, z long")
+    start, end = checked_interval(F.col("a"), F.col("z"), F.lit(10))
+    assert [tuple(r) for r in rows.select(start, end).collect()] == [(0, 10), (7, 13), (9, 10)]
+    for a, z in ((0, 5), (3, 11), (11, 2)):
+        with pytest.raises(Exception, match="leaves a contig"):
+            spark.createDataFrame([(a, z)], "a long, z long").select(start, end).collect()
