@@ -4,7 +4,8 @@ Tokens are lower-case words and an end of text; the history of a text's first to
 texts into chunks and sends, to the partition of each history's hash, the chunk's distinct (history, token) pairs and the documents
 they stand in. A partition so holds all counts of its histories. It asks the partitions of the token hashes for the tokens'
 total counts; with these and the counts of counts it has Good-Turing discounts, backoff weights and the probability of every
-token sent to it, and returns one sum for each document. No step collects the model, and no n-gram is dropped.
+token sent to it, and returns one sum for each document. No step collects the model, and no n-gram is dropped. A history with more than a partition's
+share of all tokens is dealt by its pairs instead; its sums over them come from all partitions before anything is scored.
 
 p(w|h) = d(c) c(h,w) / c(h) for a seen pair, else a(h) p(w); p(w) = d(c) c(w) / N for a known word, and what the discounts leave
 is the probability of the one unknown word. a(h) makes the probabilities after h sum to 1 exactly; an unseen h leaves p(w).
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusmill.llm.words import give_back, mixed, slices, string_hashes, sums, word_codes
+from locusmill.llm.words import give_back, mixed, ragged, slices, string_hashes, sums, word_codes
 
 END, START = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 #: Counts up to this are discounted.
@@ -75,15 +76,42 @@ def _wide(b: bytes) -> np.ndarray:
     return np.frombuffer(b, f"<u{b[0]}", offset=1).astype(np.int64)
 
 
-SENT = "part int, chunk long, hists binary, fan binary, names binary, tok binary, times binary, docs binary, train binary, ids binary, sizes binary"
+#: ``runs``: the documents of each pair; ``docs`` and ``times``: for each of those the document and how often it has the pair.
+SENT = "part int, chunk long, hists binary, fan binary, names binary, tok binary, runs binary, docs binary, times binary, train binary, ids binary, sizes binary"
 
 
 def _schema(text: str) -> pa.Schema:
-    kind = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    kind = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
     return pa.schema([(x.split()[0], kind[x.split()[1]]) for x in text.split(", ")])
 
 
-def _send(parts: int, text: str):
+def _frequent(parts: int, text: str):
+    """Of each chunk, how many tokens it has (null name), and the words, and the start, with half a partition's share of them or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, text, mb=CHUNK_MB, gather=True):
+            w = word_codes(b.column(text), lower=True)
+            n = np.append(np.bincount(w.codes, minlength=len(w.names)), b.num_rows)
+            names = np.append(string_hashes(w.names), START).astype(np.uint64)
+            total = int(len(w.codes) + b.num_rows)
+            some = 2 * parts * n >= total
+            yield pa.RecordBatch.from_arrays([pa.array([None, *names[some].view(np.int64).tolist()], pa.int64()), pa.array([total, *n[some].tolist()], pa.int64())], ["name", "n"])
+
+    return run
+
+
+def hot_histories(docs: DataFrame, parts: int, text: str) -> np.ndarray:
+    """Hashes of the histories with a partition's share of all tokens or more, and of no more than twice as many; ``2 * parts`` rows at most come to the driver.
+
+    What chunks leave out is less than half a share of all tokens. Results don't depend on which histories are dealt by pair.
+    """
+    found = docs.select(text).mapInArrow(_frequent(parts, text), "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    total = found.filter("name IS NULL").select(F.col("n").alias("total"))
+    rows = found.filter("name IS NOT NULL").join(F.broadcast(total)).filter(2 * parts * F.col("n") >= F.col("total")).select("name").collect()  # one row
+    return np.sort(np.array([r["name"] for r in rows], np.int64).view(np.uint64))
+
+
+def _send(parts: int, text: str, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 24
         for b in slices(batches, text, mb=CHUNK_MB, gather=True):
@@ -109,7 +137,16 @@ def _send(parts: int, text: str):
             start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             times = np.diff(np.append(start, len(key)))
             h, t = by_part[key[start] // v], key[start] % v
-            cuts = np.searchsorted(to[h], np.arange(parts + 1))
+            where = np.where(np.isin(names, hot)[h], mixed(_pair_key(names[h], names[t])) % np.uint64(parts), to[h]).astype(np.int64)
+            moved = np.argsort(where, kind="stable")
+            h, t, where = h[moved], t[moved], where[moved]
+            # each pair's documents, ascending, once each
+            doc = ragged(doc, start[moved], times[moved])
+            pair = np.repeat(np.arange(len(h)), times[moved])
+            first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])]))
+            each, doc, runs = np.diff(np.append(first, len(doc))), doc[first], np.bincount(pair[first], minlength=len(h))
+            at_doc = np.concatenate([[0], np.cumsum(runs)])
+            cuts = np.searchsorted(where, np.arange(parts + 1))
             train = np.packbits([not held_out(i) for i in ids]).tobytes()
             home = chunk % parts
             known = np.array([i or 0 for i in ids], "<i8").tobytes() + np.array([i is None for i in ids], "u1").tobytes()
@@ -120,10 +157,10 @@ def _send(parts: int, text: str):
                     continue
                 hs, fan = _runs(h[a:z])
                 used, at = np.unique(t[a:z], return_inverse=True)
-                span = slice(start[a], start[z] if z < len(start) else len(doc)) if a < z else slice(0, 0)
+                span = slice(at_doc[a], at_doc[z])
                 rows.append(
                     {
-                        "part": p, "chunk": chunk, "hists": names[hs].tobytes(), "fan": _small(fan), "names": names[used].tobytes(), "tok": _small(at), "times": _small(times[a:z]), "docs": _small(doc[span]), "train": train,
+                        "part": p, "chunk": chunk, "hists": names[hs].tobytes(), "fan": _small(fan), "names": names[used].tobytes(), "tok": _small(at), "runs": _small(runs[a:z]), "docs": _small(doc[span]), "times": _small(each[span]), "train": train,
                         "ids": known if p == home else None,
                         "sizes": _small(w.lengths + 1) if p == home else None,
                     }
@@ -146,11 +183,11 @@ def _pairs(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """history, token and training count of each pair sent, chunk after chunk."""
     hs, ts, cs = [], [], []
     for r in rows:
-        times, docs = _wide(r["times"]), _wide(r["docs"])
+        runs, docs, times = _wide(r["runs"]), _wide(r["docs"]), _wide(r["times"])
         train = np.unpackbits(np.frombuffer(r["train"], np.uint8)).astype(np.int64)
         hs.append(np.repeat(np.frombuffer(r["hists"], "<u8"), _wide(r["fan"])))
         ts.append(np.frombuffer(r["names"], "<u8")[_wide(r["tok"])])
-        cs.append(sums(train[docs], np.concatenate([[0], np.cumsum(times)])))
+        cs.append(sums(train[docs] * times, np.concatenate([[0], np.cumsum(runs)])))
     none = np.zeros(0, np.uint64)
     return np.concatenate([*hs, none]), np.concatenate([*ts, none]), np.concatenate([*cs, np.zeros(0, np.int64)])
 
@@ -181,7 +218,7 @@ def _ask(parts: int):
     return run
 
 
-ANSWERED = "part int, names binary, counts binary, words binary, pairs binary"
+ANSWERED = "part int, names binary, counts binary, words binary, pairs binary, hist long, total double, mass double, below double"
 
 
 def _answer(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,6 +237,7 @@ class Model:
     """Probabilities of one partition: its pairs and, for its tokens, the words' total counts."""
 
     def __init__(self, h: np.ndarray, t: np.ndarray, c: np.ndarray, answers: list[dict]) -> None:
+        hot, answers = [r for r in answers if r["hist"] is not None], [r for r in answers if r["hist"] is None]
         words = sum(np.frombuffer(r["words"], "<i8") for r in answers)
         self.n, self.v = int(words[-2]), int(words[-1])
         d1, d2 = discounts(words[:-2]), discounts(sum(np.frombuffer(r["pairs"], "<i8") for r in answers))
@@ -219,9 +257,16 @@ class Model:
         first[at] = np.arange(len(at))
         ph, pt = h[first], t[first]
         self.hists, of, total = _summed(ph, self.pair_counts)
+        total = total.astype(float)
         seen = self.pair_counts > 0
         mass = np.bincount(of, np.where(seen, _discounted(self.pair_counts, d2), 0), len(self.hists))
         below = np.bincount(of, np.where(seen, self.word(self.count(pt)), 0), len(self.hists))
+        self.total, self.mass, self.below = total, mass, below
+        # of histories that are dealt by pair, the sums of all partitions
+        at = np.searchsorted(self.hists, np.array([r["hist"] for r in hot], np.int64).view(np.uint64))
+        for r, i in zip(hot, at):
+            if i < len(self.hists) and int(self.hists[i].view(np.int64)) == r["hist"]:
+                total[i], mass[i], below[i] = r["total"], r["mass"], r["below"]
         full = (total > 0) & (mass >= total - 1e-9)  # no discount: one more token makes room
         size = np.where(full, total + 1, np.maximum(total, 1))
         with np.errstate(all="ignore"):
@@ -242,6 +287,24 @@ class Model:
         return np.where(self.pair_counts[at] > 0, self.log_pair[at], self.back[self.of[at]] + np.log10(self.word(self.count(t))))
 
 
+PARTIAL = "hist long, total double, mass double, below double"
+
+
+def _partial(hot: np.ndarray):
+    """A partition's sums over the pairs of the histories that are dealt by pair."""
+
+    def run(sent: pa.Table, answers: pa.Table) -> pa.Table:
+        h, t, c = _pairs(sent.to_pylist())
+        mine = np.isin(h, hot)
+        if not mine.any():
+            return pa.Table.from_pylist([], _schema(PARTIAL))
+        model = Model(h[mine], t[mine], c[mine], answers.to_pylist())
+        give_back()
+        return pa.table({"hist": model.hists.view(np.int64), "total": model.total.astype(float), "mass": model.mass, "below": model.below})
+
+    return run
+
+
 SCORED = "chunk long, docs binary, values binary, ids binary, sizes binary, n long"
 
 
@@ -253,12 +316,12 @@ def _score(sent: pa.Table, answers: pa.Table) -> pa.Table:
         model = Model(h, t, c, got)
         at = 0
         for r in rows:
-            times, docs = _wide(r["times"]), _wide(r["docs"])
-            mine = slice(at, at + len(times))
-            at += len(times)
+            runs, docs, times = _wide(r["runs"]), _wide(r["docs"]), _wide(r["times"])
+            mine = slice(at, at + len(runs))
+            at += len(runs)
             count = model.count(t[mine])
             base = np.log10((count + 0.1) / (model.n + 0.1 * (model.v + 1)))
-            each = [np.repeat(x, times) for x in (model.log_prob(h[mine], t[mine]), base, count > 0)]
+            each = [np.repeat(x, runs) * times for x in (model.log_prob(h[mine], t[mine]), base, count > 0)]
             some, of = np.unique(docs, return_inverse=True)
             values = np.stack([np.bincount(of, x, len(some)) for x in each])
             out.append({"chunk": r["chunk"], "docs": _small(some), "values": values.tobytes(), "ids": r["ids"], "sizes": r["sizes"], "n": model.n})
@@ -296,9 +359,15 @@ def katz_scores(docs: DataFrame, text: str = "text") -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     parts = max(12, int(size / 1e6 / PART_MB) + 1)
-    sent = docs.mapInArrow(_send(parts, text), SENT)
+    hot = hot_histories(docs, parts, text)
+    sent = docs.mapInArrow(_send(parts, text, hot), SENT)
     by_part = sent.groupBy("part")
     answers = by_part.applyInArrow(_ask(parts), ASKED).groupBy("to").applyInArrow(_answer, ANSWERED)
+    if len(hot):
+        partial = by_part.cogroup(answers.groupBy("part")).applyInArrow(_partial(hot), PARTIAL)
+        whole = partial.groupBy("hist").agg(*[F.sum(c).alias(c) for c in ("total", "mass", "below")])
+        every = whole.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), *[F.lit(None).cast("binary").alias(c) for c in ("names", "counts", "words", "pairs")], "hist", "total", "mass", "below")
+        answers = answers.union(every)
     scored = by_part.cogroup(answers.groupBy("part")).applyInArrow(_score, SCORED)
     return scored.groupBy("chunk").applyInArrow(_gather, RESULT)
 
