@@ -31,7 +31,7 @@ from locusmill.llm.components import components
 from locusmill.llm.words import Words, give_back, gram_hashes, mixed, slices, string_hashes, sums, word_codes
 
 #: Text of a chunk, and for one partition of counts or signatures.
-CHUNK_MB, PART_MB = 16, 32
+CHUNK_MB, PART_MB = 12, 32
 #: Levels from this one on are frequent: sets of more than 2 ** (FREQUENT - 1) documents.
 FREQUENT = 6
 #: Members of a slice of a bucket of frequent shingles, about.
