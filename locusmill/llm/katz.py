@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locusmill.llm.common import discard, written
 from locusmill.llm.words import give_back, mixed, ragged, slices, string_hashes, sums, word_codes
 
 END, START = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
@@ -105,9 +106,10 @@ def hot_histories(docs: DataFrame, parts: int, text: str) -> np.ndarray:
 
     What chunks leave out is less than half a share of all tokens. Results don't depend on which histories are dealt by pair.
     """
-    found = docs.select(text).mapInArrow(_frequent(parts, text), "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
-    total = found.filter("name IS NULL").select(F.col("n").alias("total"))
-    rows = found.filter("name IS NOT NULL").join(F.broadcast(total)).filter(2 * parts * F.col("n") >= F.col("total")).select("name").collect()  # one row
+    found = written(docs.select(text).mapInArrow(_frequent(parts, text), "name long, n long").groupBy("name").agg(F.sum("n").alias("n")), "katz-frequent")
+    total = found.filter("name IS NULL").agg(F.sum("n")).first()[0] or 0
+    rows = found.filter("name IS NOT NULL").filter(2 * parts * F.col("n") >= total).select("name").collect()
+    discard(found)
     return np.sort(np.array([r["name"] for r in rows], np.int64).view(np.uint64))
 
 
