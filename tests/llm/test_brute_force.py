@@ -201,3 +201,28 @@ def test_stage_of_packing(stages):
     # the rest is cut at powers of two, each once
     rest = [n for n in (sum(n for _, n in h) for h in sequences.values()) if n < 4096]
     assert len(rest) == len(set(rest)) <= 12
+
+
+def test_hot_histories_are_dealt_by_pair(spark, monkeypatch):
+    from locusmill.llm import katz
+
+    rng = random.Random(6)
+    vocab = [f"w{k}" for k in range(4000)]
+    text = lambda n: " ".join(x for _ in range(n) for x in ("hot", rng.choice(vocab)))
+    rows = [(k, text(rng.randint(20, 300))) for k in range(200)] + [(900, "na " * 3000), (901, None), (902, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hot = katz.hot_histories(docs, 12, "text")
+    assert 1 <= len(hot) <= 24
+    names = katz.string_hashes(katz.pa.array(["hot", "na", "w1"]))
+    assert list(np.isin(names.astype(np.uint64), hot)) == [True, True, False]
+
+    def spread(hot):
+        sent = docs.mapInArrow(katz._send(12, "text", hot), katz.SENT).groupBy("part").agg(F.sum(F.octet_length("docs")).alias("n"))
+        return sorted(r["n"] for r in sent.collect())
+
+    salted, whole = spread(hot), spread(hot[:0])
+    assert whole[-1] > 5 * whole[len(whole) // 2] and salted[-1] < 2 * salted[len(salted) // 2]
+    key = lambda r: (r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 7), round(r["score"], 7))
+    dealt = sorted(map(key, katz.op4_katz_backoff(docs).collect()))
+    monkeypatch.setattr(katz, "hot_histories", lambda docs, parts, text: np.zeros(0, np.uint64))
+    assert sorted(map(key, katz.op4_katz_backoff(docs).collect())) == dealt
