@@ -31,7 +31,7 @@ from locusmill.llm.components import components
 from locusmill.llm.words import Words, give_back, gram_hashes, mixed, slices, string_hashes, sums, word_codes
 
 #: Text of a chunk, and for one partition of counts or signatures.
-CHUNK_MB, PART_MB = 12, 32
+CHUNK_MB, PART_MB = 12, 20
 #: Levels from this one on are frequent: sets of more than 2 ** (FREQUENT - 1) documents.
 FREQUENT = 6
 #: Members of a slice of a bucket of frequent shingles, about.
@@ -207,12 +207,17 @@ def _levels(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
     """The level of each bucket, to each chunk in the order it was sent in: 0 for a single set, k for up to 2 ** k sets."""
     rows = [r for b in batches for r in b.to_pylist()]
     sent = [np.cumsum(unpacked(r["buckets"])) for r in rows]
-    one, of = np.unique(np.concatenate(sent), return_inverse=True)
+    sizes = [len(x) for x in sent]
+    every = np.concatenate(sent)
+    del sent
+    one, of = np.unique(every, return_inverse=True)
+    del every
     total = np.bincount(of, np.concatenate([unpacked(r["counts"]) for r in rows]).astype(np.float64), len(one))
     level = np.ceil(np.log2(total)).astype(np.uint8)[of]
-    ends = np.cumsum([len(x) for x in sent])
+    del one, of, total
+    ends = np.cumsum(sizes)
     out = [pa.compress(x.tobytes(), codec="zstd", asbytes=True) for x in np.split(level, ends[:-1])]
-    yield pa.RecordBatch.from_arrays([pa.array([r["chunk"] for r in rows], pa.int64()), pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([len(x).to_bytes(4, "little") + o for x, o in zip(sent, out)], pa.binary())], schema=LEVELS)
+    yield pa.RecordBatch.from_arrays([pa.array([r["chunk"] for r in rows], pa.int64()), pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([x.to_bytes(4, "little") + o for x, o in zip(sizes, out)], pa.binary())], schema=LEVELS)
     give_back()
 
 
