@@ -136,17 +136,25 @@ def _send(parts: int, text: str, hot: np.ndarray):
             del tok, hist, docs
             order = np.argsort(key, kind="stable")
             key, doc = key[order], doc[order]
-            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            times = np.diff(np.append(start, len(key)))
-            h, t = by_part[key[start] // v], key[start] % v
-            where = np.where(np.isin(names, hot)[h], mixed(_pair_key(names[h], names[t])) % np.uint64(parts), to[h]).astype(np.int64)
-            moved = np.argsort(where, kind="stable")
-            h, t, where = h[moved], t[moved], where[moved]
+            del order
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])).astype(np.int32)
+            times = np.diff(np.append(start, np.int32(len(key))))
+            key = key[start]
+            h, t = by_part[key // v].astype(np.int32), (key % v).astype(np.int32)
+            del key
+            where = to[h].astype(np.int32)
+            salted = np.flatnonzero(np.isin(names, hot)[h])
+            where[salted] = mixed(_pair_key(names[h[salted]], names[t[salted]])) % np.uint64(parts)
+            moved = np.argsort(where, kind="stable").astype(np.int32)
+            h, t, where, start, times = (x[moved] for x in (h, t, where, start, times))
+            del moved, salted
             # each pair's documents, ascending, once each
-            doc = ragged(doc, start[moved], times[moved])
-            pair = np.repeat(np.arange(len(h)), times[moved])
-            first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])]))
-            each, doc, runs = np.diff(np.append(first, len(doc))), doc[first], np.bincount(pair[first], minlength=len(h))
+            doc = ragged(doc, start.astype(np.int64), times)
+            pair = np.repeat(np.arange(len(h), dtype=np.int32), times)
+            first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])])).astype(np.int32)
+            runs = np.bincount(pair[first], minlength=len(h)).astype(np.int32)
+            each, doc = np.diff(np.append(first, np.int32(len(doc)))), doc[first]
+            del pair, first, start, times
             at_doc = np.concatenate([[0], np.cumsum(runs)])
             cuts = np.searchsorted(where, np.arange(parts + 1))
             train = np.packbits([not held_out(i) for i in ids]).tobytes()
