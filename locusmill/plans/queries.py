@@ -692,7 +692,10 @@ PARTS = ("five_prime_UTR", "CDS", "three_prime_UTR")
 
 
 def _genome_regions(spark, d):
-    return regions.regions(v.transcripts(spark, d), v.targets(spark, d).withColumnRenamed("seq_id", "contig"), PARTS, whole_if_missing=True)
+    contigs = v.targets(spark, d).withColumnRenamed("seq_id", "contig")
+    lengths = contigs.select("contig", F.char_length("sequence").alias("n"))
+    inside = v.transcripts(spark, d).join(lengths, "contig").filter(F.element_at("exons", -1)["e"] <= F.col("n")).drop("n")
+    return regions.regions(inside, contigs, PARTS, whole_if_missing=True)
 
 
 @query(

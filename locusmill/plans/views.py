@@ -157,7 +157,7 @@ TRANSCRIPTS = """tx AS (SELECT s_suppkey AS t, 'Brand#' || (1 + s_suppkey % 5) |
 ex0 AS (SELECT *, t * 7 % 50 + k * 60 AS s, t * 7 % 50 + k * 60 + 20 + t * (k + 1) % 31 AS e FROM tx),
 ex AS (SELECT *, coalesce(sum(e - s) OVER (PARTITION BY t ORDER BY CASE WHEN strand = '+' THEN k ELSE -k END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o, sum(e - s) OVER (PARTITION BY t) AS n FROM ex0),
 line AS (SELECT t, contig, strand, any_value(n) AS n, CASE WHEN strand = '+' THEN string_agg(substr(sequence, s + 1, e - s), '' ORDER BY k) ELSE reverse(translate(string_agg(substr(sequence, s + 1, e - s), '' ORDER BY k), 'ACGTUN', 'TGCAAN')) END AS line
-  FROM ex JOIN targets ON contig = seq_id GROUP BY t, contig, strand),
+  FROM ex JOIN targets ON contig = seq_id GROUP BY t, contig, strand HAVING max(e) <= max(length(sequence))),
 spans AS (SELECT *, CASE WHEN strand = '+' THEN 5 ELSE 7 END AS cs, n - CASE WHEN strand = '+' THEN 7 ELSE 5 END AS ce FROM line),
 reg AS (SELECT t, contig, strand, line, 'five_prime_UTR' AS region, 0 AS a, cs AS z FROM spans WHERE t % 4 > 0 UNION ALL SELECT t, contig, strand, line, 'CDS', cs, ce FROM spans WHERE t % 4 > 0
   UNION ALL SELECT t, contig, strand, line, 'three_prime_UTR', ce, n FROM spans WHERE t % 4 > 0 UNION ALL SELECT t, contig, strand, line, 'transcript', 0, n FROM spans WHERE t % 4 = 0)"""
