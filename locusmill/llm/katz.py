@@ -374,10 +374,13 @@ def katz_scores(docs: DataFrame, text: str = "text") -> DataFrame:
     by_part = sent.groupBy("part")
     answers = by_part.applyInArrow(_ask(parts), ASKED).groupBy("to").applyInArrow(_answer, ANSWERED)
     if len(hot):
+        # both sides of the union are dealt by part already, so the answers are moved once for both uses
+        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        answers = answers.repartition(n, "part")
         partial = by_part.cogroup(answers.groupBy("part")).applyInArrow(_partial(hot), PARTIAL)
         whole = partial.groupBy("hist").agg(*[F.sum(c).alias(c) for c in ("total", "mass", "below")])
         every = whole.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), *[F.lit(None).cast("binary").alias(c) for c in ("names", "counts", "words", "pairs")], "hist", "total", "mass", "below")
-        answers = answers.union(every)
+        answers = answers.union(every.repartition(n, "part"))
     scored = by_part.cogroup(answers.groupBy("part")).applyInArrow(_score, SCORED)
     return scored.groupBy("chunk").applyInArrow(_gather, RESULT)
 
