@@ -2,7 +2,7 @@
 
 The n-grams (three bytes of a word between blanks) of trusted documents and of the whole corpus are counted in hash buckets. A
 document's score is the mean, over its n-grams, of the log of target share to corpus share of their buckets; it is kept if the score is
-at least a threshold, which lies between the scores of documents labelled good (each scored as if it weren't in the target) and bad. Corpus counts cover all documents; the target is a bounded sample of trusted ones. Byte n-grams are
+at least a threshold, which lies between the scores of documents labelled good (each scored as if it weren't in the target) and bad. Corpus counts cover all documents, the target all trusted ones, the threshold all labelled ones. Byte n-grams are
 few enough for a target of some dozen documents; over whole words, a small target rejects whatever it doesn't happen to hold.
 """
 
@@ -17,31 +17,22 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from locusmill.llm.common import table
-from locusmill.llm.words import Words, gram_hashes, ragged, slices, sums, word_codes
+from locusmill.llm.common import discard, table, written
+from locusmill.llm.words import Words, give_back, gram_hashes, ragged, slices, sums, word_codes
 
 BUCKETS = 1 << 14
 GRAM = 3
-#: Trusted documents that the target is fitted on, at most: those with the smallest hashes of doc_id.
-TARGET_DOCS = 20_000
 #: Share of the good documents that the threshold may reject.
 GOOD_LOST = 0.01
 
 
-def trusted_ids(labels: DataFrame, limit: int = TARGET_DOCS) -> DataFrame:
-    """At most ``limit`` ids of documents labelled good and not toxic; null ids and labels don't count."""
-    good = labels.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-    return good.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-
-
-def labelled_ids(labels: DataFrame, limit: int = TARGET_DOCS) -> DataFrame:
-    """doc_id, good: the trusted ids, and at most ``limit`` ids labelled bad and not trusted."""
-    good = trusted_ids(labels, limit)
-    bad = labels.filter((F.col("quality") == 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    bad = bad.join(F.broadcast(good), "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return good.withColumn("good", F.lit(True)).union(bad.withColumn("good", F.lit(False)))
+def labelled_ids(labels: DataFrame) -> DataFrame:
+    """doc_id, good: all ids that a row trusts (labelled good and not toxic), and all others that a row labels bad. Null ids and labels don't count."""
+    marks = {"good": (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), "_bad": F.col("quality") == 0}
+    ids = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.coalesce(F.max(m), F.lit(False)).alias(k) for k, m in marks.items()])
+    return ids.filter("good OR _bad").drop("_bad")
 
 
 def _buckets(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -55,39 +46,71 @@ def _buckets(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (gram_hashes(raw, GRAM)[same] % np.uint64(BUCKETS)).astype(np.int64), word[: 1 - GRAM][same]
 
 
-def bucket_counts(docs: DataFrame, trusted: DataFrame, text: str = "text") -> DataFrame:
-    """bucket, raw, target: n-grams of all documents and of the trusted ones. Counts are summed in each task first."""
-    known = docs.select("doc_id", text).join(F.broadcast(trusted.withColumn("_trusted", F.lit(True))), "doc_id", "left")
+def _packed(at: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending buckets, as gaps, and their counts: four planes of bytes each, compressed."""
+    planes = np.stack([np.diff(at, prepend=0), n]).astype("<u4").view(np.uint8).reshape(2, len(at), 4).transpose(0, 2, 1)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets and counts of each row of ``document_grams``."""
+    for size, grams in zip(b.column("n_buckets").to_pylist(), b.column("grams").to_pylist()):
+        planes = np.frombuffer(pa.decompress(grams, decompressed_size=8 * size, codec="zstd", asbytes=True), np.uint8)
+        gaps, n = planes.reshape(2, 4, size).transpose(0, 2, 1).copy().view("<u4").reshape(2, size).astype(np.int64)
+        yield np.cumsum(gaps), n
+
+
+def document_grams(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, ok (passes the base rules), n_buckets, grams: each document's n-grams by bucket, ``_packed``. They take less than texts to move to their labels."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for b in slices(batches, text):
             w = word_codes(b.column(text))
             at, word = _buckets(w.names)
-            good = pc.fill_null(b.column("_trusted"), False).to_numpy(zero_copy_only=False).astype(bool)
-            for to, codes in ((raw, w.codes), (target, w.codes[good[w.doc]])):
-                to += np.bincount(at, np.bincount(codes, minlength=len(w.names))[word], BUCKETS).astype(np.int64)
-        some = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(target[some])], ["bucket", "raw", "target"])
+            per = np.bincount(word, minlength=len(w.names))
+            first = np.cumsum(per) - per
+            ok = ~_base_failed(w.lengths, _repeat_words(w))
+            sizes, grams = [], []
+            for a, z in zip(w.offsets[:-1], w.offsets[1:]):
+                codes = w.codes[a:z]
+                n = np.bincount(ragged(at, first[codes], per[codes]), minlength=BUCKETS)
+                some = np.flatnonzero(n)
+                sizes.append(len(some))
+                grams.append(_packed(some, n[some]))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ok), pa.array(sizes, pa.int32()), pa.array(grams, pa.binary())], ["doc_id", "ok", "n_buckets", "grams"])
+
+    return docs.select("doc_id", text).mapInArrow(count, StructType([docs.schema["doc_id"], StructField("ok", BooleanType()), StructField("n_buckets", IntegerType()), StructField("grams", BinaryType())]))
 
-    parts = known.mapInArrow(count, "bucket long, raw long, target long")
-    return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
+def bucket_counts(grams: DataFrame) -> np.ndarray:
+    """n-grams of each bucket in all rows of ``document_grams``. Counts are summed in each task first; ``BUCKETS`` rows at most come to the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for b in batches:
+            for at, n in _unpacked(b):
+                total[at] += n
+        give_back()
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "n"])
+
+    got = grams.select("n_buckets", "grams").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(BUCKETS)
+    out[got["bucket"]] = got["n"]
+    return out
 
-def shares(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Corpus share and target n-grams of each bucket. ``BUCKETS`` rows at most come to the driver."""
-    got = counts.toPandas()
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[got["bucket"]], target[got["bucket"]] = got["raw"], got["target"]
-    return (raw + 1) / (raw.sum() + BUCKETS), target
 
+def shares(raw: np.ndarray) -> np.ndarray:
+    """Corpus share of each bucket."""
+    return (raw + 1) / (raw.sum() + BUCKETS)
 
-def log_ratios(share: np.ndarray, target: np.ndarray) -> np.ndarray:
+
+def log_ratios(share: np.ndarray, target: np.ndarray, total: float | None = None) -> np.ndarray:
     """Log of target share to corpus share of each bucket; the target is smoothed by one corpus-like count a bucket.
 
-    Without target n-grams all ratios are 0, so nothing is rejected.
+    ``total``: of all buckets' target n-grams, if only some buckets are given. Without target n-grams all ratios are 0, so nothing is rejected.
     """
-    return np.log((target + BUCKETS * share) / (target.sum() + BUCKETS) / share)
+    return np.log((target + BUCKETS * share) / ((target.sum() if total is None else total) + BUCKETS) / share)
 
 
 def _llr(w: Words, at: np.ndarray, word: np.ndarray, ratios: np.ndarray) -> np.ndarray:
@@ -101,29 +124,21 @@ def _base_failed(per: np.ndarray, again: np.ndarray) -> np.ndarray:
     return (per < 50) | (100 * again > 50 * per)
 
 
-def labelled_scores(docs: DataFrame, labelled: DataFrame, share: np.ndarray, target: np.ndarray, text: str = "text") -> DataFrame:
-    """good, llr (to 3 digits), n: how many labelled documents that pass the base rules have a score. From the target, a good one's own n-grams are taken off."""
-    known = docs.select("doc_id", text).join(F.broadcast(labelled.withColumnRenamed("good", "_good")), "doc_id")
-    model = docs.sparkSession.sparkContext.broadcast((share, target))
+def labelled_scores(known: DataFrame, share: np.ndarray, target: np.ndarray) -> DataFrame:
+    """good, llr (to 3 digits), n: how many labelled documents (``document_grams`` with good) that pass the base rules have a score. From the target, a good one's own n-grams are taken off."""
+    model = known.sparkSession.sparkContext.broadcast((share, target))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         share, target = model.value
-        whole = log_ratios(share, target)
-        for b in slices(batches, text):
-            w = word_codes(b.column(text))
-            at, word = _buckets(w.names)
-            per = np.bincount(word, minlength=len(w.names))
-            first = np.cumsum(per) - per
-            good = b.column("_good").to_numpy(zero_copy_only=False).astype(bool)
-            llr = _llr(w, at, word, whole)
-            ok = ~_base_failed(w.lengths, _repeat_words(w))
-            for i in np.flatnonzero(good & ok):
-                codes, times = np.unique(w.codes[w.offsets[i] : w.offsets[i + 1]], return_counts=True)
-                mine = np.bincount(ragged(at, first[codes], per[codes]), np.repeat(times, per[codes]), BUCKETS)
-                llr[i] = mine @ np.round(log_ratios(share, np.maximum(target - mine, 0)), 9) / mine.sum()
-            yield pa.RecordBatch.from_arrays([pa.array(good[ok]), pa.array(np.round(llr[ok], 3))], ["good", "llr"])
+        whole, total = log_ratios(share, target), target.sum()
+        for b in batches:
+            llr = []
+            for good, (at, n) in zip(b.column("good").to_pylist(), _unpacked(b)):
+                ratios = log_ratios(share[at], target[at] - n, total - n.sum()) if good else whole[at]
+                llr.append(n @ np.round(ratios, 9) / n.sum())
+            yield pa.RecordBatch.from_arrays([b.column("good"), pa.array(np.round(llr, 3), pa.float64())], ["good", "llr"])
 
-    return known.mapInArrow(score, "good boolean, llr double").groupBy("good", "llr").agg(F.count(F.lit(1)).alias("n"))
+    return known.filter("ok").select("good", "n_buckets", "grams").mapInArrow(score, "good boolean, llr double").groupBy("good", "llr").agg(F.count(F.lit(1)).alias("n"))
 
 
 def threshold_between(scores: pd.DataFrame) -> float:
@@ -199,10 +214,12 @@ def judged(docs: DataFrame, ratios: np.ndarray, text: str = "text", threshold: f
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """``judged`` with ratios and threshold fitted on these documents and labels."""
-    labelled = labelled_ids(labels)
-    share, target = shares(bucket_counts(docs, labelled.filter("good").select("doc_id"), text))
-    threshold = threshold_between(labelled_scores(docs, labelled, share, target, text).toPandas())
+    """``judged`` with ratios and threshold fitted on these documents and labels. The labels are merged in at every size, not broadcast, so that small runs tell of large ones."""
+    grams = written(document_grams(docs, text), "grams")
+    known = written(grams.join(labelled_ids(labels).hint("merge"), "doc_id"), "labelled")
+    share, target = shares(bucket_counts(grams)), bucket_counts(known.filter("good"))
+    threshold = threshold_between(labelled_scores(known, share, target).toPandas())
+    discard(grams, known)
     return judged(docs, log_ratios(share, target), text, threshold)
 
 

@@ -93,6 +93,45 @@ def test_ratios_and_kept(spark):
     assert not any(got[100 + k]["kept"] for k in range(20)) and all(got[k]["kept"] for k in range(60) if passes[k])
 
 
+def test_all_labels_count(spark):
+    """More labelled documents than a target of 20,000 held: all good ones are in the target, all good and bad ones place the threshold."""
+    good, bad, rest = 20_700, 20_300, 900
+    word = lambda kind, k: f"{kind}{(k * k * 7 + k) % 9973}x"
+    kinds = [" ".join(word("good" if j < 9 else "bad", 1000 * j + k) for k in range(55)) for j in range(12)]  # nine of good documents, three of others
+    of = lambda i: i % 9 if i < good else 9 + i % 2 if i < good + bad else 11
+    kind = F.expr(f"CASE WHEN id < {good} THEN id % 9 WHEN id < {good + bad} THEN 9 + id % 2 ELSE 11 END")
+    docs = spark.range(good + bad + rest).select(F.col("id").alias("doc_id"), F.array(*map(F.lit, kinds))[kind].alias("text"))
+    labels = spark.range(good + bad).select(F.col("id").alias("doc_id"), F.expr(f"IF(id < {good}, 1, 0)").alias("quality"), F.lit(0).alias("toxic"))
+    labelled = {r["good"]: r["n"] for r in quality.labelled_ids(labels.unionAll(labels.limit(10))).groupBy("good").agg(F.count("*").alias("n")).collect()}
+    assert labelled == {True: good, False: bad}
+    each, times = [grams(t) for t in kinds], collections.Counter(map(of, range(good + bad + rest)))
+    raw, target = (sum((collections.Counter({b: c * times[k] for b, c in each[k].items()}) for k in ks), collections.Counter()) for ks in (range(12), range(9)))
+    n = quality.BUCKETS
+    share = {b: (raw[b] + 1) / (sum(raw.values()) + n) for b in raw}
+
+    def llr(own, off=collections.Counter()):
+        total = sum(target.values()) - sum(off.values())
+        return sum(c * math.log((target[b] - off[b] + n * share[b]) / (total + n) / share[b]) for b, c in own.items()) / sum(own.values())
+
+    of_good = sorted(round(llr(each[k], each[k]), 3) for k in range(9) for _ in range(times[k]))
+    low = of_good[math.floor(0.01 * len(of_good))]
+    threshold = (low + max(x for x in (round(llr(each[k]), 3) for k in (9, 10)) if x < low)) / 2
+    got = quality.quality_rules(docs, labels).groupBy("text").agg(F.count("*").alias("n"), F.min("llr").alias("low"), F.max("llr").alias("high"), F.min("kept").alias("kept"), F.max("kept").alias("any"), F.max("base_failed").alias("failed")).collect()
+    assert {r["text"]: r["n"] for r in got} == {kinds[k]: times[k] for k in range(12)} and not any(r["failed"] for r in got)
+    for r in got:
+        want = llr(each[kinds.index(r["text"])])
+        assert r["low"] == pytest.approx(want, abs=1e-8) and r["high"] == pytest.approx(want, abs=1e-8)
+        assert r["kept"] == r["any"] == (want >= threshold)
+
+
+def test_packed_grams():
+    rng = np.random.default_rng(4)
+    rows = [np.zeros(0, np.int64), np.arange(quality.BUCKETS), np.array([quality.BUCKETS - 1]), np.sort(rng.choice(quality.BUCKETS, 700, replace=False))]
+    counts = [rng.integers(1, 2**32, len(at)) for at in rows]
+    b = quality.pa.RecordBatch.from_pydict({"n_buckets": [len(at) for at in rows], "grams": [quality._packed(at, n) for at, n in zip(rows, counts)]})
+    assert [(at.tolist(), n.tolist()) for at, n in quality._unpacked(b)] == [(at.tolist(), n.tolist()) for at, n in zip(rows, counts)]
+
+
 D = "/root/testdata/sf0.001"
 
 
