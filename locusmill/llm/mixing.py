@@ -171,7 +171,10 @@ def mix_plan(
 
 
 def pieces(placed: DataFrame, block_words: int) -> DataFrame:
-    """Each document's pieces, one for each block that it reaches into: block, and words ``lo`` to ``hi`` of the block."""
+    """Each document's pieces, one for each block that it reaches into: block, and words ``lo`` to ``hi`` of the block.
+
+    There are more of them than Spark takes them for by the file that they come from, so joins must not broadcast them.
+    """
     end = F.col("_start") + F.col("size")
     held = placed.filter(F.col("size") > 0).withColumn(
         "block", F.explode(F.sequence(F.floor(F.col("_start") / block_words), F.floor((end - 1) / block_words)))
@@ -193,7 +196,7 @@ def op1_source_mix(docs: DataFrame, block_words: int = 256, n_shards: int = 64,
     used = takes.groupBy("rank", "block", "shard").agg(F.collect_list("took").alias("tooks"))
     p = pieces(placed, block_words).alias("p")
     u = used.alias("u")
-    met = p.join(u, (F.col("p._rank") == F.col("u.rank")) & (F.col("p.block") == F.col("u.block")))
+    met = p.join(u.hint("merge"), (F.col("p._rank") == F.col("u.rank")) & (F.col("p.block") == F.col("u.block")))
     words = F.aggregate("u.tooks", F.lit(0).cast("long"), lambda a, t: a + F.greatest(F.least(t, F.col("p.hi")) - F.col("p.lo"), F.lit(0).cast("long")))
     by_shard = met.groupBy("p._rank", "p._start", "u.shard").agg(F.sum(words).alias("n")).filter("n > 0")
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("shard", "n"))), lambda x: F.concat_ws(":", x["shard"].cast("string"), x["n"].cast("string"))), ",")
@@ -222,7 +225,7 @@ def mixed_documents(docs: DataFrame, source: str, weights: tuple[float, ...], ca
     rows = keyed(docs, "doc_id", "_key")
     plan, _, takes = mix_plan(rows.select("_key", source, n_words(F.col(text)).alias("size")), source, ["_key", "size"], F.col("size"), weights, cap, block_words)
     p, used = pieces(plan, block_words).alias("p"), takes.groupBy("rank", "block").agg(F.sort_array(F.collect_list("took"), asc=False).alias("tooks")).alias("u")
-    met = p.join(used, (F.col("p._rank") == F.col("u.rank")) & (F.col("p.block") == F.col("u.block")))
+    met = p.join(used.hint("merge"), (F.col("p._rank") == F.col("u.rank")) & (F.col("p.block") == F.col("u.block")))
     # the n-th time that a block is taken goes with the n-th time of the next block
     each = met.select(F.col("p._key").alias("_key"), "p.size", "p.lo", "p.hi", "p._start", F.col("p.block").alias("block"), F.posexplode("u.tooks").alias("time", "took"))
     base = F.col("block") * block_words - F.col("_start")
