@@ -65,3 +65,12 @@ def test_counts_without_sites_are_those_of_sites(spark, pairs, by):
     got = seeds.site_counts(guides, targets, by=by)
     assert rows(got, *columns) == rows(want, *columns)
     assert rows(seeds.class_counts(got, guides), "candidate", "decoy", "site_class", "n") == rows(seeds.class_counts(seeds.sites(guides, targets), guides), "candidate", "decoy", "site_class", "n")
+
+
+def broadcasts(df, column):
+    return [line for line in joins(df) if "BroadcastHashJoin" in line and column in line]
+
+
+@pytest.mark.parametrize("name", ["jn1_align", "jn1_reported"])
+def test_index_of_contigs_is_not_broadcast(spark, name):
+    assert not broadcasts(QUERIES[name](spark, DIR), "kmer")
