@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusmill.functions.sequences import interval_text, reverse_complement
-from locusmill.operators.stretches import cut, pieces
+from locusmill.operators.stretches import SHORT, cut, pieces
 from locusmill.sources.tables import attribute
 
 BLOCKS = "array<struct<s:bigint,e:bigint>>"
@@ -130,8 +130,14 @@ def transcript_regions(transcripts: DataFrame, table: DataFrame | None = None, w
     parts = table.select("transcript", "region", (F.col("start").cast("long") - 1).alias("from"), F.col("end").cast("long").alias("to"), gene.alias("_gene"))
     if wanted:
         parts = parts.filter(F.col("region").isin(*wanted))
-    held = (F.col("from") >= 0) & (F.col("from") < F.col("to")) & (F.col("to") <= F.char_length("line"))
-    outside = F.raise_error(F.format_string("region %s %s-%s lies outside of transcript %s", "region", F.col("from") + 1, "to", "transcript")).cast("string")
-    sequence = F.when(F.coalesce(held, F.lit(False)), F.substring("line", (F.col("from") + 1).cast("int"), (F.col("to") - F.col("from")).cast("int"))).otherwise(outside)
-    out = named(rows.join(parts, "transcript"), F.col("region"), F.coalesce("_gene", "transcript"), sequence)
+    # lengths go to the regions, and bases come from the pieces that a region touches: no row holds a whole transcript; equal rows are cut once
+    parts = parts.groupBy(*parts.columns).agg(F.count(F.lit(1)).alias("_times")).join(rows.select("transcript", F.char_length("line").alias("_n")), "transcript")
+    held = (F.col("from") >= 0) & (F.col("from") < F.col("to")) & (F.col("to") <= F.col("_n"))
+    outside = F.raise_error(F.format_string("region %s %s-%s lies outside of transcript %s", "region", F.col("from") + 1, "to", "transcript")).cast("bigint")
+    parts = parts.withColumn("start", F.when(F.coalesce(held, F.lit(False)), F.col("from")).otherwise(outside))
+    spans = parts.select("transcript", "region", "_gene", "_times", "start", F.col("to").alias("end"), F.lit(0).alias("part"))
+    spans = spans.withColumn("_row", F.struct("region", "start", "end", "_gene", "_times"))
+    found = cut(spans.select("transcript", "_row", "start", "end", "part"), pieces(rows.select("transcript", F.col("line").alias("sequence")), "transcript", SHORT).hint("merge"), ["transcript", "_row"], "transcript", SHORT)
+    found = found.select("transcript", "_row.region", "_row._gene", "sequence", F.explode(F.sequence(F.lit(1), F.col("_row._times").cast("int"))).alias("_time"))
+    out = named(found, F.col("region"), F.coalesce("_gene", "transcript"), F.col("sequence"))
     return out.unionByName(whole(rows.join(parts.select("transcript").distinct(), "transcript", "left_anti"))) if whole_if_missing else out

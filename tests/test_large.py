@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from locusmill.operators import seeds
+from locusmill.operators import regions, seeds
 from locusmill.plans.handed import QUERIES
 
 DIR = "/root/testdata/sf0.001"
@@ -83,3 +83,18 @@ def test_a_pattern_in_a_long_sequence(spark):
     want = [i for i in range(len(text)) if text.startswith("ACA", i)]
     assert sorted(r["at"] for r in got.collect()) == want
     assert "occurrences" not in plan(QUERIES["wn14_occurrences"](spark, DIR)) and "explode(filter" not in plan(QUERIES["wn14_occurrences"](spark, DIR))
+
+
+def test_regions_come_from_pieces(spark):
+    rng = random.Random(4)
+    text = {n: "".join(rng.choice("acguACGT") for _ in range(k)) for n, k in (("t1", 3500), ("t2", 900), ("t3", 5))}
+    spans = [("t1", "a", 1, 3500, "g"), ("t1", "a", 1, 3500, "g"), ("t1", "b", 990, 1010, ""), ("t1", "b", 1000, 1000, None), ("t2", "a", 1001 - 200, 900, ""), ("t1", "c", 1000, 2001, "h")]
+    table = spark.createDataFrame(spans, "transcript string, region string, start int, end int, gene string")
+    names = spark.createDataFrame(list(text.items()), "name string, sequence string")
+    found = regions.transcript_regions(names, table, whole_if_missing=True)
+    up = lambda t: t.upper().replace("U", "T")
+    want = Counter((f"{t}|{r}", t, g or t, r, up(text[t])[s - 1 : e]) for t, r, s, e, g in spans)
+    want["t3|transcript", "t3", "t3", "transcript", up(text["t3"])] += 1
+    assert rows(found, "region_id", "transcript", "gene", "region", "sequence") == want
+    # no join carries a line besides: the sequence's pieces meet the spans
+    assert any("piece" in line for line in joins(QUERIES["cp2_transcript_regions"](spark, DIR)))
