@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from locusmill.operators import regions, seeds
+from locusmill.operators import regions, seeds, shuffles
 from locusmill.plans.handed import QUERIES
 
 DIR = "/root/testdata/sf0.001"
@@ -98,3 +98,16 @@ def test_regions_come_from_pieces(spark):
     assert rows(found, "region_id", "transcript", "gene", "region", "sequence") == want
     # no join carries a line besides: the sequence's pieces meet the spans
     assert any("piece" in line for line in joins(QUERIES["cp2_transcript_regions"](spark, DIR)))
+
+
+def test_decoys_where_every_seed_is_real(spark, monkeypatch):
+    guides = spark.createDataFrame([(f"c{i}", g) for i, g in enumerate(["ACACACACACACACAC", "CACACACACACACACA", "AAAAAAAAAAAA", "ACGTTGCAAC", "GATTACAGATTACAGG"])], "candidate string, guide string")
+    names = ("guide_id", "candidate", "decoy", "guide")
+    fast = rows(shuffles.decoys(guides, 4), *names)
+    real = {g[1:8] for g in ("ACACACACACACACAC", "CACACACACACACACA", "AAAAAAAAAAAA", "ACGTTGCAAC", "GATTACAGATTACAGG")}
+    assert [shuffles._all_real(g, real, 2, 8) for g in ("ACACACACACACACAC", "AAAAAAAAAAAA", "GATTACAGATTACAGG", "ACGT")] == [True, True, False, False]
+    monkeypatch.setattr(shuffles, "_all_real", lambda *_: False)
+    for (i, c, k, s), n in fast.items():
+        g = {f"c{j}": x for j, x in enumerate(["ACACACACACACACAC", "CACACACACACACACA", "AAAAAAAAAAAA", "ACGTTGCAAC", "GATTACAGATTACAGG"])}[c]
+        drawn = [shuffles.shuffled(g, f"1:{c}:{k}:{t}") for t in range(101)]
+        assert n == 1 and s == next((x for x in drawn if x[1:8] not in real), drawn[-1])
