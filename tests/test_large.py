@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from locusmill.operators import regions, seeds, shuffles
+from locusmill.operators import regions, scoring, seeds, shuffles, significance
 from locusmill.plans.handed import QUERIES
 
 DIR = "/root/testdata/sf0.001"
@@ -111,3 +111,16 @@ def test_decoys_where_every_seed_is_real(spark, monkeypatch):
         g = {f"c{j}": x for j, x in enumerate(["ACACACACACACACAC", "CACACACACACACACA", "AAAAAAAAAAAA", "ACGTTGCAAC", "GATTACAGATTACAGG"])}[c]
         drawn = [shuffles.shuffled(g, f"1:{c}:{k}:{t}") for t in range(101)]
         assert n == 1 and s == next((x for x in drawn if x[1:8] not in real), drawn[-1])
+
+
+def test_equal_scores_are_counted_and_weak_sites_not_looked_up(spark):
+    rng = random.Random(6)
+    scored = spark.createDataFrame([(rng.randrange(3), rng.choice([None, 1, 2, 3]), rng.choice(["8mer", "7mer-m8"]), rng.randrange(9)) for _ in range(600)], "candidate long, decoy long, site_class string, score long")
+    scored = scored.withColumn("is_decoy", F.col("decoy").isNotNull())
+    told = scored.groupBy(*scored.columns).agg(F.count("*").alias("times"))
+    assert rows(significance.q_values(told, ["candidate", "site_class"], "score", 3, 1, times="times"), "*") == rows(significance.q_values(scored, ["candidate", "site_class"], "score", 3, 1), "*")
+    keys = ("candidate", "decoy", "site_class", "score", F.round("z", 6))
+    assert set(rows(significance.standardised(told, "score", "times"), *keys)) == set(rows(significance.standardised(scored, "score"), *keys))
+    sites = spark.createDataFrame([(0, "t", i, c) for i in range(40) for c in seeds.CLASSES], "candidate long, seq_id string, start int, site_class string")
+    real = sites.filter("site_class IN ('8mer', '7mer-m8') AND start % 3 > 0").withColumn("decoy", F.lit(None).cast("long")).withColumn("paired", F.col("start") * 0.5)
+    assert rows(scoring.attached(sites, real, scoring.WEAK), "*") == rows(scoring.attached(sites, real), "*")
